@@ -17,6 +17,21 @@ MAX_ENTRIES = 100_000
 MAX_BYTES = 16 * 1024 * 1024
 
 
+def computed_once(df: DataFrame, drop: tuple[str, ...] = (), **columns: Column) -> DataFrame:
+    """Add columns that later expressions and filters read instead of repeating.
+
+    The optimizer copies a projected expression into every filter and expression
+    above it; with nested array functions that multiplies the work on each row.
+    The output of a generator is not copied, and one over a single-element array
+    costs next to nothing. `drop` lists the helper columns used up here: an
+    attached index must go in the step that probes it, or rows would carry it.
+    """
+    kept = [c for c in df.columns if c not in drop]
+    done = df.select(*kept, *[c.alias(f"_once_{name}") for name, c in columns.items()])
+    row = F.struct(*[F.col(f"_once_{name}").alias(name) for name in columns])
+    return done.select(*kept, F.inline(F.array(row)))
+
+
 def entry_count(dim: DataFrame, key: str, max_entries: int = MAX_ENTRIES) -> int | None:
     """Number of dictionary entries, or None when it is over the bound."""
     n, size = (
@@ -38,23 +53,31 @@ class Index:
     def attach(self, df: DataFrame, name: str) -> DataFrame:
         return df.withColumn(name, self.frame.scalar())
 
+    def probe_all(self, column: Column, key: Column) -> Column:
+        """All values stored for `key`, in their order; [] when absent."""
+        slot = F.get(column, F.pmod(F.xxhash64(key), F.lit(self.slots)).cast("int"))
+        return F.transform(F.filter(slot, lambda e: e["k"] == key), lambda e: e["v"])
+
     def probe(self, column: Column, key: Column) -> Column:
-        """Value stored for `key`, null when absent."""
+        """First value stored for `key`, null when absent."""
         slot = F.get(column, F.pmod(F.xxhash64(key), F.lit(self.slots)).cast("int"))
         return F.get(F.filter(slot, lambda e: e["k"] == key), F.lit(0))["v"]
 
 
-def build_index(dim: DataFrame, key: str, value: str, entries: int) -> Index:
-    """Fold a dictionary (one row per key, `entries` rows) into an Index."""
+def build_index(dim: DataFrame, key: Column, value: Column, order: Column, entries: int) -> Index:
+    """Fold a dictionary of `entries` rows; values of one key are kept in `order`."""
     slots = 1 << max(entries, 1).bit_length()
-    by_slot = dim.groupBy(F.pmod(F.xxhash64(key), F.lit(slots)).alias("h")).agg(
-        F.collect_list(F.struct(F.col(key).alias("k"), F.col(value).alias("v"))).alias("entries")
-    )
+    entry = F.struct(order.alias("o"), key.alias("k"), value.alias("v"))
+    rows = dim.select(F.pmod(F.xxhash64(key), F.lit(slots)).alias("h"), entry.alias("e"))
     # every slot gets an element, so that a probe is an offset into the array
-    filled = (
-        by_slot.select(F.col("h").cast("bigint").alias("h"), "entries")
-        .join(dim.sparkSession.range(slots).select(F.col("id").alias("h")), "h", "right")
-        .agg(F.array_sort(F.collect_list(F.struct("h", "entries"))).alias("a"))
-        .select(F.col("a.entries").alias("slots"))
+    blank = dim.sparkSession.range(0, slots, 1, 1).select(
+        F.col("id").alias("h"), F.lit(None).cast(rows.schema["e"].dataType).alias("e")
+    )
+    folded = (
+        rows.unionByName(blank)
+        .groupBy("h")
+        .agg(F.array_sort(F.collect_list("e")).alias("slot"))
+        .agg(F.array_sort(F.collect_list(F.struct("h", "slot"))).alias("a"))
+        .select(F.col("a.slot").alias("slots"))
     )
-    return Index(filled, slots)
+    return Index(folded, slots)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from jobloom import fixed_values as fixed
 from jobloom.functions.text import title_words
 from jobloom.functions.values import array_or_empty, count_in
-from jobloom.operators.lookup import MAX_ENTRIES, Index, build_index, entry_count
+from jobloom.operators.lookup import MAX_ENTRIES, Index, build_index, computed_once, entry_count
 from jobloom.operators.nearest import nearest_roles
 from jobloom.operators.skills import names, with_buckets
 
@@ -20,11 +20,11 @@ def has_engineering_term(title: Column) -> Column:
 
 def title_role(title: Column, roles: Column) -> Column:
     """Role of the first title rule that matches and whose role is known."""
-    out = F.lit(None).cast("string")
-    for key, role in reversed(fixed.TITLE_RULES):
-        hit = title.contains(key) & F.array_contains(roles, role)
-        out = F.when(hit, F.lit(role)).otherwise(out)
-    return out
+    rules = F.array(
+        *[F.struct(F.lit(k).alias("key"), F.lit(r).alias("role")) for k, r in fixed.TITLE_RULES]
+    )
+    hits = F.filter(rules, lambda r: F.contains(title, r["key"]) & F.array_contains(roles, r["role"]))
+    return F.get(hits, F.lit(0))["role"]
 
 
 def title_boost(role: Column, title: Column) -> Column:
@@ -43,13 +43,6 @@ def passes_gates(role: Column, matched: Column, ml_core: Column, data_core: Colu
     return (matched >= 2) & (~is_ml | (ml_core >= 2)) & ((role != "Data Engineer") | (data_core >= 2))
 
 
-def role_list(role_skill: DataFrame) -> DataFrame:
-    """(role, place): roles of a bounded table in their order, numbered from 0."""
-    firsts = role_skill.groupBy("role").agg(F.min("role_ord").alias("role_ord"))
-    place = F.row_number().over(Window.orderBy("role_ord", "role")) - 1
-    return firsts.select("role", place.alias("place"))
-
-
 def role_terms(role_skill: DataFrame) -> DataFrame:
     """(role, skill, times): lower-cased role skills; a repeat in the list counts again."""
     return role_skill.groupBy("role", F.lower("skill").alias("skill")).agg(F.count("*").alias("times"))
@@ -65,31 +58,37 @@ def overlap_counts(jobs: DataFrame, key: str, technical: str, role_skill: DataFr
     )
 
 
-def _best_inline(df: DataFrame, index: Index, roles: Column) -> DataFrame:
-    """Add `_best` from the row's own skills; `_role_index` maps a skill to role places."""
-    probe = lambda s: F.coalesce(
-        index.probe(F.col("_role_index"), s), F.array().cast("array<int>")
+def _best_inline(df: DataFrame, index: Index) -> DataFrame:
+    """Add `_best` from the row's own skills; `index` maps a skill to its (role_ord, role)s."""
+    df = computed_once(
+        index.attach(df, "_index"),
+        ("_index",),
+        _hits=F.flatten(
+            F.transform(F.array_distinct("_technical"), lambda s: index.probe_all(F.col("_index"), s))
+        ),
     )
-    df = df.withColumn("_hits", F.flatten(F.transform(F.array_distinct("_technical"), probe)))
-    scored = F.transform(
-        F.filter(
-            F.transform(
-                F.array_distinct("_hits"),
-                lambda place: F.struct(
-                    place.alias("place"),
-                    F.get(roles, place).alias("role"),
-                    F.size(F.filter("_hits", lambda h: h == place)).alias("matched"),
-                ),
-            ),
-            lambda c: passes_gates(c["role"], c["matched"], F.col("_ml_core"), F.col("_data_core")),
+    candidates = F.transform(
+        F.array_distinct("_hits"),
+        lambda r: F.struct(
+            r["role_ord"].alias("role_ord"),
+            r["role"].alias("role"),
+            F.size(F.filter("_hits", lambda h: h["role_ord"] == r["role_ord"])).alias("matched"),
         ),
+    )
+    df = computed_once(df, ("_hits",), _candidates=F.filter(candidates, lambda c: c["matched"] >= 2))
+    passed = F.filter(
+        "_candidates",
+        lambda c: passes_gates(c["role"], c["matched"], F.col("_ml_core"), F.col("_data_core")),
+    )
+    scored = F.transform(
+        passed,
         lambda c: F.struct(
             overlap_score(c["matched"], c["role"], F.col("_title")).alias("score"),
-            (-c["place"]).alias("first"),
+            (-c["role_ord"]).alias("first"),
             c["role"].alias("role"),
         ),
     )
-    return df.withColumn("_best", F.array_max(scored))
+    return computed_once(df, ("_candidates",), _best=F.array_max(scored))
 
 
 def _best_joined(df: DataFrame, key: str, role_skill: DataFrame) -> DataFrame:
@@ -133,41 +132,42 @@ def decide(
     if tagged is None:
         df = with_buckets(df, key, skills, taxonomy, "_tagged", max_entries)
         tagged = "_tagged"
-    df = (
-        df.withColumn("_title", F.lower(F.coalesce(F.col(title), F.lit(""))))
-        .withColumn("_technical", names(F.col(tagged), "technical"))
-        .withColumn("_strong", count_in(F.col("_technical"), fixed.HARD_TECH))
-        .withColumn("_ml_core", count_in(F.col("_technical"), fixed.ML_CORE))
-        .withColumn("_data_core", count_in(F.col("_technical"), fixed.DATA_CORE))
-        .withColumn("_data_any", count_in(F.col("_technical"), fixed.DATA_FALLBACK))
+    tech = F.col("_technical")
+    df = computed_once(
+        df,
+        _title=F.lower(F.coalesce(F.col(title), F.lit(""))),
+        _technical=names(F.col(tagged), "technical"),
+    )
+    df = computed_once(
+        df,
+        _strong=count_in(tech, fixed.HARD_TECH),
+        _ml_core=count_in(tech, fixed.ML_CORE),
+        _data_core=count_in(tech, fixed.DATA_CORE),
+        _data_any=count_in(tech, fixed.DATA_FALLBACK),
+        _backend=count_in(tech, fixed.BACKEND_INDICATORS),
     )
     entries = entry_count(role_skill, "skill", max_entries)
     if entries is not None:
-        roles = role_list(role_skill)
-        ordered = F.transform(
-            F.array_sort(F.collect_list(F.struct("place", "role"))), lambda r: r["role"]
-        )
-        places = (
-            role_skill.join(roles, "role")
-            .groupBy(F.lower("skill").alias("skill"))
-            .agg(F.array_sort(F.collect_list("place")).alias("places"))
+        listed = F.struct("role_ord", "role")
+        df = _best_inline(
+            df, build_index(role_skill, F.lower("skill"), listed, F.col("role_ord"), entries)
         )
-        index = build_index(places, "skill", "places", entries)
-        df = df.withColumn("_roles", roles.agg(ordered.alias("r")).scalar())
-        df = _best_inline(index.attach(df, "_role_index"), index, F.col("_roles"))
     else:
-        known = role_skill.filter(F.col("role").isin(*[r for _, r in fixed.TITLE_RULES]))
-        df = df.withColumn("_roles", known.agg(F.collect_set("role").alias("r")).scalar())
         df = _best_joined(df, key, role_skill)
-
+    titled = role_skill.filter(F.col("role").isin(*[r for _, r in fixed.TITLE_RULES]))
+    known = titled.agg(F.collect_set("role").alias("r"))
+    df = computed_once(
+        df.withColumn("_roles", known.scalar()),
+        ("_roles",),
+        _winner=F.struct("_best.role", F.coalesce("_best.score", F.lit(0.0)).alias("score")),
+        _title_role=title_role(F.col("_title"), F.col("_roles")),
+        _gated=(F.col("_strong") == 0) & ~has_engineering_term(F.col("_title")),
+    )
     no_title = F.coalesce(F.col(title), F.lit("")) == ""
     no_skills = F.size(array_or_empty(F.col(skills))) == 0
-    by_title = title_role(F.col("_title"), F.col("_roles"))
-    score = F.coalesce(F.col("_best.score"), F.lit(0.0))
-    winner = F.col("_best.role")
-    backend = F.size(F.filter("_technical", lambda s: s.isin(*fixed.BACKEND_INDICATORS))) > 0
-    winner = F.when((winner == "Frontend Developer") & backend, "Fullstack Developer").otherwise(winner)
-    gated = (F.col("_strong") == 0) & ~has_engineering_term(F.col("_title"))
+    by_title, gated = F.col("_title_role"), F.col("_gated")
+    score, best = F.col("_winner.score"), F.col("_winner.role")
+    winner = F.when((best == "Frontend Developer") & (F.col("_backend") > 0), "Fullstack Developer").otherwise(best)
 
     def pick(role: Column | str, how: str) -> Column:
         return F.struct(
@@ -185,17 +185,17 @@ def decide(
         .when(F.col("_strong") > 0, pick("Software Engineer / Developer", "low_confidence"))
         .otherwise(pick(F.lit(None).cast("string"), "onet"))
     )
-    return (
-        df.withColumn("_choice", choice)
-        .withColumn("role", F.col("_choice.role"))
-        .withColumn("extracted_by", F.col("_choice.how"))
-        .withColumn("needs_vector", F.col("extracted_by") == "onet")
-        .withColumn("fell_through", F.col("needs_vector") & ~gated)
-        .withColumnRenamed("_technical", "technical")
-        .drop(
-            "_tagged", "_title", "_strong", "_ml_core", "_data_core", "_data_any", "_hits",
-            "_roles", "_role_index", "_best", "_choice",
-        )
+    chosen = computed_once(df, _choice=choice)
+    chosen = computed_once(
+        chosen,
+        role=F.col("_choice.role"),
+        extracted_by=F.col("_choice.how"),
+        needs_vector=F.col("_choice.how") == "onet",
+        fell_through=(F.col("_choice.how") == "onet") & ~gated,
+    )
+    return chosen.withColumnRenamed("_technical", "technical").drop(
+        "_tagged", "_title", "_strong", "_ml_core", "_data_core", "_data_any", "_backend",
+        "_best", "_winner", "_title_role", "_gated", "_choice",
     )
 
 

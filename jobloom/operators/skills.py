@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from jobloom.fixed_values import CATEGORIES
 from jobloom.functions.text import canonical
 from jobloom.functions.values import array_or_empty
-from jobloom.operators.lookup import MAX_ENTRIES, build_index, entry_count
+from jobloom.operators.lookup import MAX_ENTRIES, build_index, computed_once, entry_count
 from jobloom.operators.ranking import global_row_number
 
 
@@ -36,27 +36,24 @@ def with_buckets(
     max_entries: int = MAX_ENTRIES,
 ) -> DataFrame:
     """Add array<struct(skill, bucket)>: canonical skills in their order, bucket null if unknown."""
-    dim = one_bucket(taxonomy)
-    entries = entry_count(dim, "skill", max_entries)
+    entries = entry_count(taxonomy, "skill", max_entries)
     if entries is not None:
-        index = build_index(dim, "skill", "bucket", entries)
+        index = build_index(
+            taxonomy, F.col("skill"), F.col("bucket"), F.col("precedence"), entries
+        )
 
         def tag(skill: Column) -> Column:
             return F.struct(skill.alias("skill"), index.probe(F.col("_taxonomy"), skill).alias("bucket"))
 
         terms = F.transform(array_or_empty(F.col(skills)), canonical)
-        return (
-            df.withColumn("_terms", terms)
-            .transform(lambda d: index.attach(d, "_taxonomy"))
-            .withColumn(out, F.transform(F.col("_terms"), tag))
-            .drop("_terms", "_taxonomy")
-        )
+        probed = index.attach(computed_once(df, _terms=terms), "_taxonomy")
+        return computed_once(probed, ("_terms", "_taxonomy"), **{out: F.transform("_terms", tag)})
 
     # Over the bound: one row per skill, joined, and put together again per row key.
     tagged = (
         df.select(key, F.posexplode(skills).alias("pos", "term"))
         .select(key, "pos", canonical(F.col("term")).alias("skill"))
-        .join(dim, "skill", "left")
+        .join(one_bucket(taxonomy), "skill", "left")
         .groupBy(key)
         .agg(F.array_sort(F.collect_list(F.struct("pos", "skill", "bucket"))).alias("t"))
         .select(

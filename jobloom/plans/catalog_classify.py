@@ -130,18 +130,19 @@ def term_batches(spark, sf_dir):
     return skills.chunk(part_terms(spark, sf_dir), "skill", 25)
 
 
-def stub_classifier(terms: list[str]) -> list[tuple[str, str]]:
-    """Stands in for a caller's classifier; the answer depends on the term alone."""
-    return [(t, fixed.CATEGORIES[len(t) % 3]) for t in terms]
-
-
 @query(
     "classify_terms_hook",
     """WITH p AS (SELECT DISTINCT lower(concat(p_name, ' ', p_brand)) AS skill FROM part)
     SELECT skill, (['technical', 'tools', 'soft'])[length(skill) % 3 + 1] AS category FROM p""",
 )
 def classify_terms_hook(spark, sf_dir):
-    return skills.classify_terms(part_terms(spark, sf_dir), "skill", stub_classifier, 25)
+    categories = fixed.CATEGORIES
+
+    def stub(terms: list[str]) -> list[tuple[str, str]]:
+        """Stands in for a caller's classifier; the answer depends on the term alone."""
+        return [(t, categories[len(t) % 3]) for t in terms]
+
+    return skills.classify_terms(part_terms(spark, sf_dir), "skill", stub, 25)
 
 
 @query(

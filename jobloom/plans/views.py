@@ -16,6 +16,11 @@ def pick(values: list, n: Column) -> Column:
     return F.get(F.array(*[F.lit(v).cast("string") for v in values]), n.cast("int"))
 
 
+def literal(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
+    """A small dictionary as a local relation, whose size the planner knows."""
+    return spark.sql(f"SELECT * FROM VALUES {sql_rows(rows)} AS t({columns})")
+
+
 def job_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders as jobs; the company is looked up by the queries that need it."""
     o = table(spark, sf_dir, "orders")
@@ -151,7 +156,7 @@ V_BASKETS = f"""v_baskets AS (
 
 
 def taxonomy(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TAXONOMY, "skill string, bucket string, precedence int")
+    return literal(spark, TAXONOMY, "skill, bucket, precedence")
 
 
 V_TAXONOMY = f"""v_taxonomy AS (
@@ -160,7 +165,7 @@ V_TAXONOMY = f"""v_taxonomy AS (
 
 
 def role_skill(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(ROLE_ROWS, "role string, role_ord int, skill string")
+    return literal(spark, ROLE_ROWS, "role, role_ord, skill")
 
 
 V_ROLE_SKILL = f"""v_role_skill AS (
