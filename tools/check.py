@@ -20,7 +20,7 @@ def rows(frame: pd.DataFrame) -> list[tuple]:
     frame = frame[sorted(frame.columns)]
 
     def plain(v):
-        if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+        if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v):
             return ""
         if isinstance(v, float) and v == int(v):
             return str(int(v))
