@@ -16,7 +16,7 @@ def latest(df: DataFrame, keys: list[str], seq: str | Column) -> DataFrame:
     return picked.select(*keys, "_row.*")
 
 
-def job_nodes(jobs: DataFrame, as_of, expiry_days: int = GRAPH_EXPIRY_DAYS, key: str = "job_id") -> DataFrame:
+def job_nodes(jobs: DataFrame, as_of, expiry_days: int = GRAPH_EXPIRY_DAYS, key: str = "_id") -> DataFrame:
     """Job properties; creation and expiry count from this write."""
     now = dates.moment(as_of)
     return jobs.select(
@@ -37,7 +37,7 @@ def role_nodes(jobs: DataFrame, seq: str = "_id") -> DataFrame:
     return latest(rows, ["role_title"], "_seq").drop("_seq")
 
 
-def maps_to(jobs: DataFrame, key: str = "job_id") -> DataFrame:
+def maps_to(jobs: DataFrame, key: str = "_id") -> DataFrame:
     return (
         jobs.filter(F.col("role_title").isNotNull())
         .select(F.col(key).alias("job_key"), "role_title")
@@ -45,7 +45,7 @@ def maps_to(jobs: DataFrame, key: str = "job_id") -> DataFrame:
     )
 
 
-def posted_by(jobs: DataFrame, key: str = "job_id") -> DataFrame:
+def posted_by(jobs: DataFrame, key: str = "_id") -> DataFrame:
     return (
         jobs.filter(F.col("company_name").isNotNull())
         .select(F.col(key).alias("job_key"), F.col("company_name").alias("company"))
@@ -53,12 +53,12 @@ def posted_by(jobs: DataFrame, key: str = "job_id") -> DataFrame:
     )
 
 
-def terms_of(jobs: DataFrame, terms: str, name: str, key: str = "job_id") -> DataFrame:
+def terms_of(jobs: DataFrame, terms: str, name: str, key: str = "_id") -> DataFrame:
     """Edges from each job to its distinct skills or tools."""
     return jobs.select(F.col(key).alias("job_key"), F.explode(F.array_distinct(terms)).alias(name)).distinct()
 
 
-def offers_salary(jobs: DataFrame, key: str = "job_id") -> DataFrame:
+def offers_salary(jobs: DataFrame, key: str = "_id") -> DataFrame:
     """Edges to salary nodes; half-open salaries are left to `broken_salaries`."""
     return (
         jobs.filter(F.col("salary_min").isNotNull() & F.col("salary_max").isNotNull())
@@ -103,7 +103,7 @@ KEYS = {
 }
 
 
-def build_graph(jobs: DataFrame, as_of, key: str = "job_id", seq: str = "_id") -> dict[str, DataFrame]:
+def build_graph(jobs: DataFrame, as_of, key: str = "_id", seq: str = "_id") -> dict[str, DataFrame]:
     """All node and edge tables of a set of `graph_safe` jobs, keyed as in KEYS."""
     newest = latest(jobs.withColumn("_w", F.col(seq)), [key], "_w").drop("_w").select(*jobs.columns)
     company, skill, tool = (

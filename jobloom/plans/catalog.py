@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from jobloom.plans import catalog_classify, catalog_graph, catalog_records  # noqa: F401
+from jobloom.plans import catalog_classify, catalog_feeds, catalog_graph, catalog_records  # noqa: F401
 from jobloom.plans.registry import ORACLES, QUERIES
 
 

@@ -280,7 +280,7 @@ _G = """g AS (
       'IT' AS industry FROM g""",
 )
 def graph_job_nodes(spark, sf_dir):
-    nodes = graph.job_nodes(safe_jobs(spark, sf_dir), AS_OF)
+    nodes = graph.job_nodes(safe_jobs(spark, sf_dir), AS_OF, key="job_id")
     return nodes.select(
         "job_key", "title", "source_url",
         text_time("created_at").alias("created_at"),
@@ -304,7 +304,7 @@ def graph_role_nodes(spark, sf_dir):
     "graph_role_edges", f"WITH {_G} SELECT DISTINCT job_key, role_title FROM g"
 )
 def graph_role_edges(spark, sf_dir):
-    return graph.maps_to(safe_jobs(spark, sf_dir))
+    return graph.maps_to(safe_jobs(spark, sf_dir), "job_id")
 
 
 @query(
@@ -312,7 +312,7 @@ def graph_role_edges(spark, sf_dir):
     f"WITH {_G} SELECT DISTINCT job_key, company FROM g WHERE company IS NOT NULL",
 )
 def graph_company_edges(spark, sf_dir):
-    return graph.posted_by(safe_jobs(spark, sf_dir))
+    return graph.posted_by(safe_jobs(spark, sf_dir), "job_id")
 
 
 @query(
@@ -320,7 +320,7 @@ def graph_company_edges(spark, sf_dir):
     "SELECT CAST(o_orderkey AS VARCHAR) AS job_key, 'skill' || (o_orderkey % 11) AS skill FROM orders",
 )
 def graph_skill_edges(spark, sf_dir):
-    return graph.terms_of(safe_jobs(spark, sf_dir), "graph_skills", "skill")
+    return graph.terms_of(safe_jobs(spark, sf_dir), "graph_skills", "skill", "job_id")
 
 
 @query(
@@ -328,7 +328,7 @@ def graph_skill_edges(spark, sf_dir):
     "SELECT CAST(o_orderkey AS VARCHAR) AS job_key, 'tool' || (o_orderkey % 6) AS tool FROM orders",
 )
 def graph_tool_edges(spark, sf_dir):
-    return graph.terms_of(safe_jobs(spark, sf_dir), "graph_tools", "tool")
+    return graph.terms_of(safe_jobs(spark, sf_dir), "graph_tools", "tool", "job_id")
 
 
 @query(
@@ -345,7 +345,7 @@ def graph_salary_nodes(spark, sf_dir):
     f"WITH {_G} SELECT DISTINCT job_key, min, max FROM g WHERE min IS NOT NULL AND max IS NOT NULL",
 )
 def graph_salary_edges(spark, sf_dir):
-    return graph.offers_salary(safe_jobs(spark, sf_dir))
+    return graph.offers_salary(safe_jobs(spark, sf_dir), "job_id")
 
 
 @query(

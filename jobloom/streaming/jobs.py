@@ -144,7 +144,7 @@ def metrics_stream(
     )
 
 
-def graph_stream(jobs: DataFrame, root: str, as_of, key: str = "job_id", seq: str = "_id") -> StreamingQuery:
+def graph_stream(jobs: DataFrame, root: str, as_of, key: str = "_id", seq: str = "_id") -> StreamingQuery:
     """Finished jobs to node and edge tables, one batch folder per table and micro-batch."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
