@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from jobloom import fixed_values as fixed, schemas
 from jobloom.functions import dates, text, values
+from jobloom.operators.lookup import computed_once
 
 Fields = dict[str, Column]
 
@@ -265,17 +266,8 @@ def _fallback_time(as_of) -> Column:
 
 
 def normalize_source(raw: DataFrame, source: str, as_of=None) -> DataFrame:
-    """Raw rows of one source as job columns, next to the raw identity columns."""
-    parser = PARSERS[source]
-    return (
-        raw.filter(F.lower("source") == source)
-        .withColumn("_p", F.from_json("payload", parser.schema))
-        .select(
-            F.col("source").alias("raw_source"),
-            "external_id",
-            F.inline(F.array(_parsed_struct(parser, F.col("_p"), _fallback_time(as_of)))),
-        )
-    )
+    """Raw rows of one source as job columns, next to the raw columns."""
+    return normalize(raw.filter(F.lower("source") == source), as_of, [source])
 
 
 def normalize(raw: DataFrame, as_of=None, sources: list[str] | None = None) -> DataFrame:
@@ -286,26 +278,24 @@ def normalize(raw: DataFrame, as_of=None, sources: list[str] | None = None) -> D
     """
     site = F.lower(F.col("source"))
     parsers = {s: PARSERS[s] for s in (sources or PARSERS)}
-    payloads = [
-        F.when(site == name, F.from_json("payload", parser.schema)).alias(f"_p{i}")
+    payloads = {
+        f"_p{i}": F.when(site == name, F.from_json("payload", parser.schema))
         for i, (name, parser) in enumerate(parsers.items())
-    ]
-    job = F.lit(None)
+    }
+    job = None
     for i, (name, parser) in enumerate(parsers.items()):
         struct = _parsed_struct(parser, F.col(f"_p{i}"), _fallback_time(as_of))
-        job = F.when(site == name, struct) if i == 0 else job.when(site == name, struct)
-    kept = [c for c in raw.columns if c not in ("source", "payload")]
-    parsed = raw.select("source", *kept, *payloads).select(
-        F.col("source").alias("raw_source"), *kept, job.alias("_job")
-    )
-    names = [n for n, _ in _target_fields()]
+        job = F.when(site == name, struct) if job is None else job.when(site == name, struct)
+    parsed = computed_once(raw, ("payload",), **payloads)
+    parsed = computed_once(parsed, tuple(payloads), _job=job)
+    names = [n for n, _ in _target_fields() if n != "error"]
+    kept = [c for c in raw.columns if c not in (*names, "source", "payload", "error")]
+    no_parser = F.concat(F.lit("no parser for "), F.coalesce("source", F.lit("null")))
     return parsed.select(
-        "raw_source",
+        F.col("source").alias("raw_source"),
         *kept,
-        *[F.col(f"_job.{n}").alias(n) for n in names if n != "error"],
-        F.when(F.col("_job").isNull(), F.concat(F.lit("no parser for "), F.coalesce("raw_source", F.lit("null"))))
-        .otherwise(F.col("_job.error"))
-        .alias("error"),
+        *[F.col(f"_job.{n}").alias(n) for n in names],
+        F.when(F.col("_job").isNull(), no_parser).otherwise(F.col("_job.error")).alias("error"),
     )
 
 

@@ -46,13 +46,14 @@ def _all_present(keys: tuple[str, ...]) -> Column:
 
 
 def clean_batch(
-    raw: DataFrame, jobs: DataFrame, order: str = "created_at", as_of=None
+    raw: DataFrame, jobs: DataFrame, order: str = "created_at", as_of=None, unique: bool = False
 ) -> DataFrame:
     """Queued raw rows as job rows with the outcome of each in `raw_status` and `error`.
 
     completed: the row becomes a job. duplicate: its `_id` is a job already, or an
     earlier good row of the batch has it. failed: no external id, or unreadable.
-    `order` must be unique within an `_id`.
+    `order` must be unique within an `_id`. Rows of `stage_raw` have each key once:
+    pass `unique` and the search for earlier rows is left out.
     """
     queued = raw.filter(F.col("status") == "queued").drop("status")
     parsed = with_job_id(normalize(queued, as_of), "raw_source", "external_id")
@@ -60,22 +61,24 @@ def clean_batch(
     parsed = parsed.withColumn(
         "error", F.when(no_id, F.lit("Missing externalId")).otherwise(F.col("error"))
     )
-    good_first = (
-        parsed.filter(F.col("error").isNull()).groupBy("_id").agg(F.min(order).alias("_first"))
-    )
     known = jobs.select("_id", F.lit(True).alias("_known"))
+    joined = parsed.join(known, "_id", "left")
+    if unique:
+        joined = joined.withColumn("_earlier", F.lit(False))
+    else:
+        good = parsed.filter(F.col("error").isNull())
+        first = good.groupBy("_id").agg(F.min(order).alias("_first"))
+        joined = joined.join(first, "_id", "left").withColumn("_earlier", F.col(order) > F.col("_first"))
     status = (
         F.when(no_id, "failed")
-        .when(F.col("_known") | (F.col(order) > F.col("_first")), "duplicate")
+        .when(F.col("_known") | F.col("_earlier"), "duplicate")
         .when(F.col("error").isNotNull(), "failed")
         .otherwise("completed")
     )
     return (
-        parsed.join(known, "_id", "left")
-        .join(good_first, "_id", "left")
-        .withColumn("raw_status", status)
+        joined.withColumn("raw_status", status)
         .withColumn("error", F.when(F.col("raw_status") == "failed", F.col("error")))
-        .drop("_known", "_first")
+        .drop("_known", "_earlier", "_first")
     )
 
 

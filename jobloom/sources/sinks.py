@@ -3,11 +3,16 @@ writing it again replaces it and nothing is added twice."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from jobloom.operators.graph import KEYS, latest
 from jobloom.sources.readers import read_or_empty
 
+# Tables of one graph batch written at the same time; they do not depend on each other.
+WRITERS = 4
+
 
 def write_batch(df: DataFrame, path: str, batch: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch={batch}")
@@ -31,9 +36,11 @@ def write_jobs(jobs: DataFrame, path: str, batch: int, existing: DataFrame | Non
 
 
 def write_graph(graph: dict[str, DataFrame], root: str, batch: int) -> None:
-    """Append one batch of every node and edge table."""
-    for name, df in graph.items():
-        write_batch(df, f"{root}/{name}", batch)
+    """Append one batch of every node and edge table, a few tables at a time."""
+    with ThreadPoolExecutor(WRITERS) as pool:
+        writes = [pool.submit(write_batch, df, f"{root}/{name}", batch) for name, df in graph.items()]
+        for write in writes:
+            write.result()
 
 
 def read_graph(spark: SparkSession, root: str, names: list[str] | None = None) -> dict[str, DataFrame]:
