@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # White space as the source data defines it: ASCII blanks plus the Unicode spaces.
+SPACES = (
+    "\t\n\x0b\f\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+)
+# The same as a regular expression class.
 SPACE_CHARS = r"\s\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 SPACE = f"[{SPACE_CHARS}]"
 
 
 def squeeze(text: Column) -> Column:
     """Trim every kind of white space, not only the plain blank."""
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    return F.trim(text, F.lit(SPACES))
 
 
 def canonical(text: Column) -> Column:

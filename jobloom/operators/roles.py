@@ -8,7 +8,7 @@ from jobloom import fixed_values as fixed
 from jobloom.functions.text import title_words
 from jobloom.functions.values import array_or_empty, count_in
 from jobloom.operators.lookup import MAX_ENTRIES, Index, build_index, computed_once, entry_count
-from jobloom.operators.nearest import nearest_roles
+from jobloom.operators.nearest import with_nearest
 from jobloom.operators.skills import names, with_buckets
 
 BEST = "struct<score:double,first:int,role:string>"
@@ -27,14 +27,15 @@ def title_role(title: Column, roles: Column) -> Column:
     return F.get(hits, F.lit(0))["role"]
 
 
-def title_boost(role: Column, title: Column) -> Column:
+def title_boost(words: Column, title: Column) -> Column:
     """0.1 for each longer word of the role name found in the title, added one by one."""
-    hits = F.filter(title_words(role), lambda w: F.contains(title, w))
+    hits = F.filter(words, lambda w: F.contains(title, w))
     return F.aggregate(hits, F.lit(0.0), lambda acc, _: acc + F.lit(0.1))
 
 
-def overlap_score(matched: Column, role: Column, title: Column) -> Column:
-    return matched / (matched + F.lit(3)) + title_boost(role, title)
+def overlap_score(matched: Column, words: Column, title: Column) -> Column:
+    """Coverage of the role's skills plus the boost for its `words` in the title."""
+    return matched / (matched + F.lit(3)) + title_boost(words, title)
 
 
 def passes_gates(role: Column, matched: Column, ml_core: Column, data_core: Column) -> Column:
@@ -59,7 +60,7 @@ def overlap_counts(jobs: DataFrame, key: str, technical: str, role_skill: DataFr
 
 
 def _best_inline(df: DataFrame, index: Index) -> DataFrame:
-    """Add `_best` from the row's own skills; `index` maps a skill to its (role_ord, role)s."""
+    """Add `_best` from the row's own skills; `index` maps a skill to the roles that list it."""
     df = computed_once(
         index.attach(df, "_index"),
         ("_index",),
@@ -72,6 +73,7 @@ def _best_inline(df: DataFrame, index: Index) -> DataFrame:
         lambda r: F.struct(
             r["role_ord"].alias("role_ord"),
             r["role"].alias("role"),
+            r["words"].alias("words"),
             F.size(F.filter("_hits", lambda h: h["role_ord"] == r["role_ord"])).alias("matched"),
         ),
     )
@@ -83,7 +85,7 @@ def _best_inline(df: DataFrame, index: Index) -> DataFrame:
     scored = F.transform(
         passed,
         lambda c: F.struct(
-            overlap_score(c["matched"], c["role"], F.col("_title")).alias("score"),
+            overlap_score(c["matched"], c["words"], F.col("_title")).alias("score"),
             (-c["role_ord"]).alias("first"),
             c["role"].alias("role"),
         ),
@@ -104,7 +106,7 @@ def _best_joined(df: DataFrame, key: str, role_skill: DataFrame) -> DataFrame:
         .agg(
             F.max(
                 F.struct(
-                    overlap_score(F.col("matched"), F.col("role"), F.col("_title")).alias("score"),
+                    overlap_score(F.col("matched"), title_words(F.col("role")), F.col("_title")).alias("score"),
                     (-F.col("role_ord")).alias("first"),
                     "role",
                 )
@@ -148,7 +150,7 @@ def decide(
     )
     entries = entry_count(role_skill, "skill", max_entries)
     if entries is not None:
-        listed = F.struct("role_ord", "role")
+        listed = F.struct("role_ord", "role", title_words(F.col("role")).alias("words"))
         df = _best_inline(
             df, build_index(role_skill, F.lower("skill"), listed, F.col("role_ord"), entries)
         )
@@ -225,13 +227,11 @@ def find_role(
         return out.drop("needs_vector")
 
     settled = decided.filter(~F.col("needs_vector"))
-    left_over = decided.filter(F.col("needs_vector"))
-    vectors = embeddings.select(F.col("key").alias(key), "vector").join(
-        left_over.select(key), key, "left_semi"
+    left_over = decided.filter(F.col("needs_vector")).join(
+        embeddings.select(F.col("key").alias(key), F.col("vector").alias("_vector")), key, "left"
     )
-    nearest = nearest_roles(vectors, key, "vector", role_vec).select(key, F.col("role").alias("_near"))
     matched = (
-        left_over.join(nearest, key, "left")
+        with_nearest(left_over, "_vector", role_vec, "_near")
         .withColumn("role", F.coalesce("_near", F.lit("Others")))
         .select(*decided.columns)
     )

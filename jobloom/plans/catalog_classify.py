@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from jobloom import fixed_values as fixed
-from jobloom.functions.text import canonical
+from jobloom.functions.text import canonical, title_words
 from jobloom.functions.values import array_or_empty
 from jobloom.operators import roles, skills
 from jobloom.operators.nearest import nearest_roles
@@ -289,7 +289,7 @@ def role_overlap_scores(spark, sf_dir):
     jobs = jobs.select("job_key", "title", F.col("classified.technical").alias("technical"))
     counts = roles.overlap_counts(jobs, "job_key", "technical", views.role_skill(spark))
     titles = views.title_view(spark, sf_dir)
-    score = roles.overlap_score(F.col("matched"), F.col("role"), F.lower(F.coalesce("title", F.lit(""))))
+    score = roles.overlap_score(F.col("matched"), title_words(F.col("role")), F.lower(F.coalesce("title", F.lit(""))))
     return counts.join(titles, "job_key").select("job_key", "role", "matched", F.round(score, 6).alias("score"))
 
 
