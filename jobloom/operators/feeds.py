@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from jobloom.fixed_values import CYCLE_SOURCES
 from jobloom.functions import dates
+from jobloom.operators.lookup import settled
 
 
 def streak_stops(
@@ -60,8 +61,11 @@ def streak_stops(
 def cut_at_streak(
     df: DataFrame, feed: str, seq: str, is_new: str, k: int, page: str | None = None, width: int = 100_000
 ) -> DataFrame:
-    """Rows read before the feed is stopped; the row that completes the streak is the last."""
-    stops = streak_stops(df, feed, seq, is_new, k, page, width)
+    """Rows read before the feed is stopped; the row that completes the streak is the last.
+
+    The stops are one row per feed and run first, so that rows of a hot feed stay in place.
+    """
+    stops = settled(streak_stops(df, feed, seq, is_new, k, page, width))
     return (
         df.join(stops, feed, "left")
         .filter(F.col("stop").isNull() | (F.col(seq) <= F.col("stop")))
@@ -82,7 +86,7 @@ def page_stops(df: DataFrame, feed: str, page: str, is_new: str, after: int = 5)
 
 def cut_at_stale_page(df: DataFrame, feed: str, page: str, is_new: str, after: int = 5) -> DataFrame:
     """Rows of the pages read before (and including) the first stale one."""
-    stops = page_stops(df, feed, page, is_new, after)
+    stops = settled(page_stops(df, feed, page, is_new, after))
     return (
         df.join(stops, feed, "left")
         .filter(F.col("stop").isNull() | (F.col(page) <= F.col("stop")))

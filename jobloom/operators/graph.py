@@ -37,33 +37,33 @@ def role_nodes(jobs: DataFrame, seq: str = "_id") -> DataFrame:
     return latest(rows, ["role_title"], "_seq").drop("_seq")
 
 
+def _edges(rows: DataFrame, key: str) -> DataFrame:
+    """Edges once each. `_id` is unique among job rows, so its edges need no shuffle."""
+    return rows if key == "_id" else rows.distinct()
+
+
 def maps_to(jobs: DataFrame, key: str = "_id") -> DataFrame:
-    return (
-        jobs.filter(F.col("role_title").isNotNull())
-        .select(F.col(key).alias("job_key"), "role_title")
-        .distinct()
-    )
+    rows = jobs.filter(F.col("role_title").isNotNull())
+    return _edges(rows.select(F.col(key).alias("job_key"), "role_title"), key)
 
 
 def posted_by(jobs: DataFrame, key: str = "_id") -> DataFrame:
-    return (
-        jobs.filter(F.col("company_name").isNotNull())
-        .select(F.col(key).alias("job_key"), F.col("company_name").alias("company"))
-        .distinct()
-    )
+    rows = jobs.filter(F.col("company_name").isNotNull())
+    return _edges(rows.select(F.col(key).alias("job_key"), F.col("company_name").alias("company")), key)
 
 
 def terms_of(jobs: DataFrame, terms: str, name: str, key: str = "_id") -> DataFrame:
     """Edges from each job to its distinct skills or tools."""
-    return jobs.select(F.col(key).alias("job_key"), F.explode(F.array_distinct(terms)).alias(name)).distinct()
+    rows = jobs.select(F.col(key).alias("job_key"), F.explode(F.array_distinct(terms)).alias(name))
+    return _edges(rows, key)
 
 
 def offers_salary(jobs: DataFrame, key: str = "_id") -> DataFrame:
     """Edges to salary nodes; half-open salaries are left to `broken_salaries`."""
-    return (
-        jobs.filter(F.col("salary_min").isNotNull() & F.col("salary_max").isNotNull())
-        .select(F.col(key).alias("job_key"), F.col("salary_min").alias("min"), F.col("salary_max").alias("max"))
-        .distinct()
+    rows = jobs.filter(F.col("salary_min").isNotNull() & F.col("salary_max").isNotNull())
+    return _edges(
+        rows.select(F.col(key).alias("job_key"), F.col("salary_min").alias("min"), F.col("salary_max").alias("max")),
+        key,
     )
 
 
@@ -104,8 +104,14 @@ KEYS = {
 
 
 def build_graph(jobs: DataFrame, as_of, key: str = "_id", seq: str = "_id") -> dict[str, DataFrame]:
-    """All node and edge tables of a set of `graph_safe` jobs, keyed as in KEYS."""
-    newest = latest(jobs.withColumn("_w", F.col(seq)), [key], "_w").drop("_w").select(*jobs.columns)
+    """All node and edge tables of a set of `graph_safe` jobs, keyed as in KEYS.
+
+    `key` identifies a job in the graph: its unique `_id`, or a column such as
+    "job_id" that several rows may share; then the last row in `seq` order counts.
+    """
+    newest = jobs
+    if key != "_id":
+        newest = latest(jobs.withColumn("_w", F.col(seq)), [key], "_w").drop("_w").select(*jobs.columns)
     company, skill, tool = (
         posted_by(jobs, key),
         terms_of(jobs, "graph_skills", "skill", key),

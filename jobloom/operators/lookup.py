@@ -32,6 +32,21 @@ def computed_once(df: DataFrame, drop: tuple[str, ...] = (), **columns: Column)
     return done.select(*kept, F.inline(F.array(row)))
 
 
+def settled(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """A small result run now, so that joins know its size and broadcast it.
+
+    A result over the bound stays a plan of its own and its joins shuffle, with
+    skewed keys split at run time.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    spark = df.sparkSession
+    if not rows:
+        return spark.createDataFrame([], df.schema)
+    return F.broadcast(spark.createDataFrame(rows, df.schema))
+
+
 def entry_count(dim: DataFrame, key: str, max_entries: int = MAX_ENTRIES) -> int | None:
     """Number of dictionary entries, or None when it is over the bound."""
     n, size = (

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from typing import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobloom import fixed_values as fixed
@@ -231,7 +234,7 @@ def find_role(
         embeddings.select(F.col("key").alias(key), F.col("vector").alias("_vector")), key, "left"
     )
     matched = (
-        with_nearest(left_over, "_vector", role_vec, "_near")
+        with_nearest(left_over, key, "_vector", role_vec, "_near")
         .withColumn("role", F.coalesce("_near", F.lit("Others")))
         .select(*decided.columns)
     )
@@ -249,6 +252,22 @@ def role_text(title: Column, skills: Column) -> Column:
     return F.concat(F.coalesce(title, F.lit("")), F.lit(". "), F.array_join(skills, ", "))
 
 
+def embed_texts(
+    df: DataFrame, key: str, title: str, skills: str, embedder: Callable[[list[str]], list[list[float]]]
+) -> DataFrame:
+    """(key, vector): role texts through a caller's embedder, one call per Arrow batch.
+
+    The embedder runs on the workers and has to be importable or a closure there.
+    """
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([[float(x) for x in v] for v in embedder(texts.tolist())])
+
+    vector = F.pandas_udf(run, "array<double>")(role_text(F.col(title), F.col(skills)))
+    return df.select(F.col(key).alias("key"), vector.alias("vector"))
+
+
 def unmatched_skills(decided: DataFrame, key: str, title: str, role_skill: DataFrame) -> DataFrame:
     """(key, role, skill, title): technical skills outside the list of the chosen role.
 

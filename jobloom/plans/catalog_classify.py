@@ -8,7 +8,7 @@ from jobloom import fixed_values as fixed
 from jobloom.functions.text import canonical, title_words
 from jobloom.functions.values import array_or_empty
 from jobloom.operators import roles, skills
-from jobloom.operators.nearest import nearest_roles
+from jobloom.operators.nearest import cosine, nearest_roles
 from jobloom.plans import views
 from jobloom.plans.fixtures import BUCKET_TEXTS, ROLE_ROWS, ROLE_SKILLS, sql_in, sql_rows
 from jobloom.plans.registry import query
@@ -355,3 +355,30 @@ def skill_arrays(spark, sf_dir):
         F.size(F.array_distinct(left)).cast("bigint").alias("n_left"),
         F.array_join(array_or_empty(left), " ").contains("ring").alias("has_ring"),
     )
+
+
+@query(
+    "cosine_scores",
+    """SELECT vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]),
+      (SELECT CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id = 0)), 6) AS score FROM embeddings""",
+)
+def cosine_scores(spark, sf_dir):
+    v = views.table(spark, sf_dir, "embeddings")
+    first = v.filter("vec_id = 0").select("embedding").scalar()
+    score = F.round(cosine(F.col("embedding"), F.col("first")), 6)
+    return v.select("vec_id", "embedding", first.alias("first")).select("vec_id", score.alias("score"))
+
+
+@query(
+    "embedder_hook",
+    f"""WITH {views.V_TITLES}
+    SELECT job_key, CAST(length(coalesce(title, '') || '. ') AS DOUBLE) AS x, 1.0::DOUBLE AS y FROM v_titles""",
+)
+def embedder_hook(spark, sf_dir):
+    def stub(texts: list[str]) -> list[list[float]]:
+        """Stands in for a caller's embedder."""
+        return [[len(t), 1] for t in texts]
+
+    jobs = views.title_view(spark, sf_dir).withColumn("skills", F.array().cast("array<string>"))
+    vectors = roles.embed_texts(jobs, "job_key", "title", "skills", stub)
+    return vectors.select(F.col("key").alias("job_key"), F.col("vector")[0].alias("x"), F.col("vector")[1].alias("y"))

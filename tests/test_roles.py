@@ -88,7 +88,7 @@ def test_nearest_against_brute_force(spark, max_bytes):
         "k bigint, v array<double>",
     )
     got = {}
-    for r in nearest_roles(queries, "k", "v", role_vec, k=2, max_bytes=max_bytes).collect():
+    for r in nearest_roles(queries, "k", "v", role_vec, k=2, max_bytes=max_bytes, group_rows=7).collect():
         got.setdefault(r["k"], {})[r["place"]] = r["role"]
     unit = role_rows / np.linalg.norm(role_rows, axis=1, keepdims=True)
     scores = query_rows @ unit.T
