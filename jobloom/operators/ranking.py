@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from jobloom.operators.lookup import computed_once
+
 SAMPLE_ROWS = 4096
 
 
@@ -35,10 +37,10 @@ def global_row_number(df: DataFrame, order: list[Column], name: str, splits: int
             .alias("p")
         )
     )
-    ranged = (
-        keyed.withColumn("_points", points.scalar())
-        .withColumn("_range", F.size(F.filter("_points", lambda p: p <= F.col("_key"))))
-        .drop("_points")
+    ranged = computed_once(
+        keyed.withColumn("_points", points.scalar()),
+        ("_points",),
+        _range=F.size(F.filter("_points", lambda p: p <= F.col("_key"))),
     )
     sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
