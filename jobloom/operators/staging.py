@@ -46,7 +46,12 @@ def _all_present(keys: tuple[str, ...]) -> Column:
 
 
 def clean_batch(
-    raw: DataFrame, jobs: DataFrame, order: str = "created_at", as_of=None, unique: bool = False
+    raw: DataFrame,
+    jobs: DataFrame,
+    order: str = "created_at",
+    as_of=None,
+    unique: bool = False,
+    sources: list[str] | None = None,
 ) -> DataFrame:
     """Queued raw rows as job rows with the outcome of each in `raw_status` and `error`.
 
@@ -56,7 +61,7 @@ def clean_batch(
     pass `unique` and the search for earlier rows is left out.
     """
     queued = raw.filter(F.col("status") == "queued").drop("status")
-    parsed = with_job_id(normalize(queued, as_of), "raw_source", "external_id")
+    parsed = with_job_id(normalize(queued, as_of, sources), "raw_source", "external_id")
     no_id = F.coalesce(F.col("external_id"), F.lit("")) == ""
     parsed = parsed.withColumn(
         "error", F.when(no_id, F.lit("Missing externalId")).otherwise(F.col("error"))

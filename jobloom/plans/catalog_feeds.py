@@ -208,7 +208,7 @@ def stream_clean(spark, sf_dir):
     root = scratch_dir(spark, "clean")
     landing(payloads(spark, sf_dir, "naukri"), f"{root}/landing")
     raw = streams.file_stream(spark, f"{root}/landing", schemas.RAW, maxFilesPerTrigger=2)
-    streams.clean_stream(raw, dictionaries(spark), root, "2001-08-01").awaitTermination()
+    streams.clean_stream(raw, dictionaries(spark), root, "2001-08-01", ["naukri"]).awaitTermination()
     jobs = sinks.read_batches(spark, f"{root}/jobs", schemas.JOB)
     return jobs.select("_id", "job_title", "role_title", F.array_join("skills.technical", "|").alias("technical"))
 

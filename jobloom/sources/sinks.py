@@ -25,7 +25,9 @@ def read_batches(spark: SparkSession, path: str, schema: str, before: int | None
 
 
 def current(log: DataFrame, keys: list[str]) -> DataFrame:
-    """Latest row per key of a batch log."""
+    """Latest row per key of a batch log; rows that are all key are just distinct."""
+    if set(log.columns) == {*keys, "batch"}:
+        return log.select(*keys).distinct()
     return latest(log, keys, "batch").drop("batch")
 
 
@@ -43,11 +45,20 @@ def write_graph(graph: dict[str, DataFrame], root: str, batch: int) -> None:
             write.result()
 
 
-def read_graph(spark: SparkSession, root: str, names: list[str] | None = None) -> dict[str, DataFrame]:
-    """Current state of the node and edge tables."""
-    return {
-        name: current(spark.read.parquet(f"{root}/{name}"), KEYS[name]) for name in (names or KEYS)
-    }
+def read_graph(
+    spark: SparkSession, root: str, names: list[str] | None = None, columns: dict[str, list[str]] | None = None
+) -> dict[str, DataFrame]:
+    """Current state of node and edge tables; `columns` lists what is needed of a table.
+
+    Choose columns here and not later: the latest-row step carries all it is given.
+    """
+    chosen = columns or {}
+    tables = {}
+    for name in names or KEYS:
+        log = spark.read.parquet(f"{root}/{name}")
+        wanted = dict.fromkeys([*KEYS[name], *chosen[name], "batch"]) if name in chosen else log.columns
+        tables[name] = current(log.select(*wanted), KEYS[name])
+    return tables
 
 
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:

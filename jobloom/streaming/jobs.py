@@ -31,13 +31,18 @@ def _start(df: DataFrame, checkpoint: str, step, mode: str = "append") -> Stream
     )
 
 
-def clean_stream(raw: DataFrame, dictionaries: Dictionaries, root: str, as_of) -> StreamingQuery:
-    """Raw arrivals to `cleaned` (all rows with their outcome) and `jobs`."""
+def clean_stream(
+    raw: DataFrame, dictionaries: Dictionaries, root: str, as_of, sources: list[str] | None = None
+) -> StreamingQuery:
+    """Raw arrivals to `cleaned` (all rows with their outcome) and `jobs`.
+
+    `sources` narrows the parsers to those that can occur.
+    """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         done = read_batches(spark, f"{root}/jobs", schemas.JOB, before=batch_id)
-        write_batch(clean_batch(batch, done, as_of=as_of), f"{root}/cleaned", batch_id)
+        write_batch(clean_batch(batch, done, as_of=as_of, sources=sources), f"{root}/cleaned", batch_id)
         cleaned = spark.read.parquet(f"{root}/cleaned/batch={batch_id}")
         good = first_copies(cleaned.filter(F.col("raw_status") == "completed"), ["_id"], ["created_at"])
         write_batch(job_rows(good, dictionaries, as_of), f"{root}/jobs", batch_id)
