@@ -43,9 +43,20 @@ def null_if_empty(arr: Column) -> Column:
     return F.when(F.size(arr) > 0, arr)
 
 
-def count_in(arr: Column, words: tuple[str, ...]) -> Column:
-    """How many elements, repeats included, are among `words`."""
-    return F.size(F.filter(arr, lambda s: s.isin(*words)))
+def sql_text(value: str | None) -> str:
+    """A text constant in SQL; long constant lists are cheaper to hand over as one expression."""
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def text_array(texts) -> Column:
+    return F.expr(f"array({', '.join(sql_text(t) for t in texts)})")
+
+
+def count_in(column: str, words: tuple[str, ...]) -> Column:
+    """How many elements of an array column, repeats included, are among `words`."""
+    return F.expr(f"size(filter({column}, s -> s IN ({', '.join(sql_text(w) for w in words)})))")
 
 
 def job_type_of(types: Column) -> Column:
@@ -64,3 +75,8 @@ def job_type_of(types: Column) -> Column:
 
 def difficulty_of(min_years: Column) -> Column:
     return F.when(min_years > 6, "senior").when(min_years > 2, "mid").otherwise("entry")
+
+
+def one_period(period: Column) -> Column:
+    """Salary period in one wording: one source says "year" where the others say "yearly"."""
+    return F.when(period == "year", F.lit("yearly")).when(period == "month", F.lit("monthly")).otherwise(period)

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from jobloom.fixed_values import CYCLE_ZONE, DEMAND_TIERS
 from jobloom.functions import dates
 from jobloom.functions.text import report_line
+from jobloom.operators.feeds import in_range
 from jobloom.operators.ranking import global_row_number, top_per_group
 
 
@@ -118,9 +119,8 @@ def link_totals(links: DataFrame) -> DataFrame:
 
 def source_counts(df: DataFrame, start, end, ts: str = "created_at") -> DataFrame:
     """(source, jobs) of rows created in [start, end); a missing source counts as unknown."""
-    window = df.filter((F.col(ts) >= dates.moment(start)) & (F.col(ts) < dates.moment(end)))
     name = F.coalesce(F.nullif("source", F.lit("")), F.lit("unknown"))
-    return window.groupBy(name.alias("source")).agg(F.count("*").alias("jobs"))
+    return in_range(df, ts, start, end).groupBy(name.alias("source")).agg(F.count("*").alias("jobs"))
 
 
 def cycle_report(df: DataFrame, label: str, as_of, ts: str = "created_at", zone: str = CYCLE_ZONE) -> DataFrame:

@@ -8,6 +8,7 @@ with its own source's schema only, and no source needs a scan of its own.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -258,6 +259,16 @@ def _parsed_struct(parser: Parser, payload: Column, fallback: Column) -> Column:
     )
 
 
+@lru_cache(maxsize=256)
+def _job_struct(app: str, source: str, parser: Parser, payload: str, as_of) -> Column:
+    """A parser's struct over one payload column, built once per application.
+
+    Micro-batches ask for the same expressions again and again, and building them
+    takes longer than planning them.
+    """
+    return _parsed_struct(parser, F.col(payload), _fallback_time(as_of))
+
+
 def _fallback_time(as_of) -> Column:
     times = [F.col("created_at").cast("timestamp")]
     if as_of is not None:
@@ -282,9 +293,10 @@ def normalize(raw: DataFrame, as_of=None, sources: list[str] | None = None) -> D
         f"_p{i}": F.when(site == name, F.from_json("payload", parser.schema))
         for i, (name, parser) in enumerate(parsers.items())
     }
+    app = raw.sparkSession.sparkContext.applicationId
     job = None
     for i, (name, parser) in enumerate(parsers.items()):
-        struct = _parsed_struct(parser, F.col(f"_p{i}"), _fallback_time(as_of))
+        struct = _job_struct(app, name, parser, f"_p{i}", as_of)
         job = F.when(site == name, struct) if job is None else job.when(site == name, struct)
     parsed = computed_once(raw, ("payload",), **payloads)
     parsed = computed_once(parsed, tuple(payloads), _job=job)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from jobloom import fixed_values as fixed
 from jobloom.functions.text import title_words
-from jobloom.functions.values import array_or_empty, count_in
+from jobloom.functions.values import array_or_empty, count_in, sql_text
 from jobloom.operators.lookup import MAX_ENTRIES, Index, build_index, computed_once, entry_count
 from jobloom.operators.nearest import with_nearest
 from jobloom.operators.skills import names, with_buckets
@@ -23,9 +23,8 @@ def has_engineering_term(title: Column) -> Column:
 
 def title_role(title: Column, roles: Column) -> Column:
     """Role of the first title rule that matches and whose role is known."""
-    rules = F.array(
-        *[F.struct(F.lit(k).alias("key"), F.lit(r).alias("role")) for k, r in fixed.TITLE_RULES]
-    )
+    pairs = (f"named_struct('key', {sql_text(k)}, 'role', {sql_text(r)})" for k, r in fixed.TITLE_RULES)
+    rules = F.expr(f"array({', '.join(pairs)})")
     hits = F.filter(rules, lambda r: F.contains(title, r["key"]) & F.array_contains(roles, r["role"]))
     return F.get(hits, F.lit(0))["role"]
 
@@ -137,7 +136,6 @@ def decide(
     if tagged is None:
         df = with_buckets(df, key, skills, taxonomy, "_tagged", max_entries)
         tagged = "_tagged"
-    tech = F.col("_technical")
     df = computed_once(
         df,
         _title=F.lower(F.coalesce(F.col(title), F.lit(""))),
@@ -145,11 +143,11 @@ def decide(
     )
     df = computed_once(
         df,
-        _strong=count_in(tech, fixed.HARD_TECH),
-        _ml_core=count_in(tech, fixed.ML_CORE),
-        _data_core=count_in(tech, fixed.DATA_CORE),
-        _data_any=count_in(tech, fixed.DATA_FALLBACK),
-        _backend=count_in(tech, fixed.BACKEND_INDICATORS),
+        _strong=count_in("_technical", fixed.HARD_TECH),
+        _ml_core=count_in("_technical", fixed.ML_CORE),
+        _data_core=count_in("_technical", fixed.DATA_CORE),
+        _data_any=count_in("_technical", fixed.DATA_FALLBACK),
+        _backend=count_in("_technical", fixed.BACKEND_INDICATORS),
     )
     entries = entry_count(role_skill, "skill", max_entries)
     if entries is not None:

@@ -66,24 +66,28 @@ def clean_batch(
     parsed = parsed.withColumn(
         "error", F.when(no_id, F.lit("Missing externalId")).otherwise(F.col("error"))
     )
-    known = jobs.select("_id", F.lit(True).alias("_known"))
-    joined = parsed.join(known, "_id", "left")
-    if unique:
-        joined = joined.withColumn("_earlier", F.lit(False))
-    else:
+    seen = jobs.select("_id", F.lit(True).alias("_known"), F.lit(None).cast(parsed.schema[order].dataType).alias("_first"))
+    if not unique:
         good = parsed.filter(F.col("error").isNull())
         first = good.groupBy("_id").agg(F.min(order).alias("_first"))
-        joined = joined.join(first, "_id", "left").withColumn("_earlier", F.col(order) > F.col("_first"))
+        # one table, so one join: a run-time split of a hot key works on a single join only
+        seen = (
+            seen.unionByName(first.withColumn("_known", F.lit(False)))
+            .groupBy("_id")
+            .agg(F.bool_or("_known").alias("_known"), F.min("_first").alias("_first"))
+        )
+    joined = parsed.join(seen, "_id", "left")
+    earlier = F.coalesce(F.col(order) > F.col("_first"), F.lit(False))
     status = (
         F.when(no_id, "failed")
-        .when(F.col("_known") | F.col("_earlier"), "duplicate")
+        .when(F.coalesce("_known", F.lit(False)) | earlier, "duplicate")
         .when(F.col("error").isNotNull(), "failed")
         .otherwise("completed")
     )
     return (
         joined.withColumn("raw_status", status)
         .withColumn("error", F.when(F.col("raw_status") == "failed", F.col("error")))
-        .drop("_known", "_earlier", "_first")
+        .drop("_known", "_first")
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from jobloom.functions.values import text_array
 from jobloom.plans.fixtures import ROLE_ROWS, ROLE_SKILLS, TAXONOMY, TITLES, VOCAB, sql_list, sql_rows
 
 
@@ -13,7 +14,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def pick(values: list, n: Column) -> Column:
     """Element n of a literal list."""
-    return F.get(F.array(*[F.lit(v).cast("string") for v in values]), n.cast("int"))
+    return F.get(text_array(values), n.cast("int"))
 
 
 def literal(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
@@ -136,10 +137,10 @@ def basket_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     A set of skills is bounded by the vocabulary, whatever the number of line items.
     """
     key = F.col("l_orderkey")
+    skill = F.when(key % 10 != 0, pick(VOCAB, F.col("l_partkey") % len(VOCAB)))
     skills = (
         table(spark, sf_dir, "lineitem")
-        .filter(key % 10 != 0)
-        .select(key.alias("job_key"), pick(VOCAB, F.col("l_partkey") % len(VOCAB)).alias("skill"))
+        .select(key.alias("job_key"), skill.alias("skill"))
         .groupBy("job_key")
         .agg(F.collect_set("skill").alias("skills"))
     )

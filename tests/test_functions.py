@@ -104,3 +104,8 @@ def test_job_id(spark):
 
     df = spark.createDataFrame([("naukri", "123")], "source string, external_id string")
     assert with_job_id(df).first()["_id"] == "765c65326b8faae9134703b46e4d4e6ab11c76b198d42a420ad1e9455a1c8ba0"
+
+
+@pytest.mark.parametrize(("period", "want"), [("year", "yearly"), ("yearly", "yearly"), ("monthly", "monthly"), (None, None)])
+def test_one_period(spark, period, want):
+    assert one(spark, values.one_period(F.lit(period).cast("string"))) == want

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from jobloom import schemas
 from jobloom.operators import analytics, roles
 from jobloom.operators.normalize import normalize
+from jobloom.operators.staging import stage_raw
 from jobloom.plans import views
 from jobloom.plans.catalog_feeds import dictionaries
 from jobloom.plans.catalog_records import payloads
@@ -65,6 +66,15 @@ def test_rank_limits_before_the_shuffle(spark):
     assert plan(df).count("WindowGroupLimit") == 2
 
 
+def test_copies_are_cut_before_the_shuffle(spark):
+    raw = spark.range(100).select(
+        F.lit("s").alias("source"), (F.col("id") % 3).cast("string").alias("external_id"), F.col("id").alias("created_at")
+    )
+    text = plan(stage_raw(raw, raw.limit(0)))
+    partial, shuffle = text.rindex("WindowGroupLimit"), text.index("Exchange hashpartitioning(")
+    assert text.count("WindowGroupLimit") == 2 and partial > shuffle  # children print below
+
+
 def test_time_filter_reaches_the_scan(spark):
     events = views.table(spark, SF, "events").select(F.col("ts").alias("created_at"), F.col("event_type").alias("source"))
     text = plan(analytics.source_counts(events, "2024-01-05", "2024-01-06"))
