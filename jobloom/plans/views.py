@@ -17,6 +17,16 @@ def pick(values: list, n: Column) -> Column:
     return F.get(text_array(values), n.cast("int"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table that arrives in one piece, dealt out to all cores for CPU-bound work.
+
+    Tables in more pieces are left alone: at size there is nothing to deal out.
+    """
+    if df.rdd.getNumPartitions() > 1:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def literal(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
     """A small dictionary as a local relation, whose size the planner knows."""
     return spark.sql(f"SELECT * FROM VALUES {sql_rows(rows)} AS t({columns})")
@@ -121,7 +131,8 @@ V_ARRIVALS = """v_arrivals AS (
 
 def title_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").select(
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey"))
+    return orders.select(
         key.alias("job_key"), pick(TITLES, key % len(TITLES)).alias("title")
     )
 
