@@ -47,7 +47,7 @@ def global_row_number(df: DataFrame, order: list[Column], name: str, splits: int
     offsets = sizes.select(
         "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
-    # at most splits + 5 rows, whatever the data
+    # fewer than 2 * splits rows, whatever the data
     return (
         ranged.join(F.broadcast(offsets), "_range")
         .withColumn(

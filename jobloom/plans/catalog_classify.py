@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from jobloom import fixed_values as fixed
@@ -10,7 +12,7 @@ from jobloom.functions.values import array_or_empty
 from jobloom.operators import roles, skills
 from jobloom.operators.nearest import cosine, nearest_roles
 from jobloom.plans import views
-from jobloom.plans.fixtures import BUCKET_TEXTS, ROLE_ROWS, ROLE_SKILLS, sql_in, sql_rows
+from jobloom.plans.fixtures import BUCKET_ROWS, BUCKET_TEXTS, ROLE_ROWS, ROLE_SKILLS, sql_in, sql_rows
 from jobloom.plans.registry import query
 from jobloom.session import scratch_dir
 from jobloom.sources import readers, sinks
@@ -148,15 +150,12 @@ def classify_terms_hook(spark, sf_dir):
 @query(
     "load_dictionaries",
     f"""SELECT 'taxonomy' AS kind, skill AS name, min_by(bucket, precedence) AS value, min(precedence) AS ord
-      FROM (VALUES {sql_rows([(s.strip().lower(), b, i) for b, i, s in
-            [(b, i, s) for b, i, t in BUCKET_TEXTS for s in __import__('json').loads(t)]])}) t(skill, bucket, precedence)
+      FROM (VALUES {sql_rows(BUCKET_ROWS)}) t(skill, bucket, precedence)
       GROUP BY skill
     UNION ALL SELECT 'role_skill', role, skill, role_ord FROM (VALUES {sql_rows(ROLE_ROWS)}) r(role, role_ord, skill)
     UNION ALL SELECT 'role_vec', 'Role ' || vec_id, CAST(len(embedding) AS VARCHAR), vec_id FROM embeddings""",
 )
 def load_dictionaries(spark, sf_dir):
-    import json
-
     root = scratch_dir(spark, "dictionaries")
     paths = {}
     for bucket, _, text in BUCKET_TEXTS:

@@ -8,7 +8,7 @@ from jobloom.functions import dates
 from jobloom.operators import analytics, graph
 from jobloom.operators.staging import publish_view, retention_counts, scan_pending, mark
 from jobloom.plans import views
-from jobloom.plans.fixtures import AS_OF, EVENTS_AS_OF
+from jobloom.plans.fixtures import AS_OF
 from jobloom.plans.registry import query
 
 DATE = "yyyy-MM-dd HH:mm:ss"

@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 
 AS_OF = "2001-08-01"
-EVENTS_AS_OF = "2024-01-31"
 
 TITLES = [
     None, "Senior Data Engineer", "Full Stack Developer", "DBA lead", "Store Keeper", "Programmer",
@@ -80,6 +79,12 @@ BUCKET_TEXTS = [
     ("soft", 2, json.dumps(["communication", "jira"])),
 ]
 
+BUCKET_ROWS = [
+    (skill.strip().lower(), bucket, precedence)
+    for bucket, precedence, listed in BUCKET_TEXTS
+    for skill in json.loads(listed)
+]
+
 
 def sql_text(value) -> str:
     if value is None:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from jobloom.operators import roles, skills
 from jobloom.operators.nearest import nearest_roles
