@@ -6,10 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import exactdedup, packing, secrets, simhash
+from jobloom.llm import exactdedup, packing, secrets, simhash, toxicity
 from jobloom.llm.common import keep_rows, settle
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score reaches the threshold go; the classifier is fitted on labelled rows of these documents."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return docs.where(toxicity.score(F.col("text"), model) < toxicity.THRESHOLD)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest doc_id goes on."""
     found = exactdedup.deduplicate(spark, docs)
@@ -34,6 +40,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("exact dedup", exact_dedup),
     ("SimHash near-dedup", near_dedup),
     ("secret scans", secret_scans),

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import exactdedup, packing, secrets, simhash
+from jobloom.llm import bpe, exactdedup, packing, secrets, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(spark, _table(spark, sf_dir, "documents"), path, capacity=1024, end_id=2)
@@ -38,12 +43,16 @@ WINDOW copies AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op2_simhash_near_dedup, op5_best_fit_packing, op6_exact_dedup, op9_secret_scans)
+    made = (op2_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing, op6_exact_dedup, op7_toxicity, op9_secret_scans)
     return {f.__name__: f for f in made}
 
 
