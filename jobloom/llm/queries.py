@@ -8,13 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import bpe, exactdedup, packing, secrets, simhash, toxicity
+from jobloom.llm import bpe, exactdedup, packing, secrets, simhash, toxicity, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The contract's rules (fixed values).
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(spark, _table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(spark, _table(spark, sf_dir, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -52,9 +60,9 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op2_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing, op6_exact_dedup, op7_toxicity, op9_secret_scans)
+    made = (op1_url_filters, op2_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing, op6_exact_dedup, op7_toxicity, op9_secret_scans)
     return {f.__name__: f for f in made}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": OP6_SQL}
+    return {"op1_url_filters": urlfilter.sql(URL_RULES), "op6_exact_dedup": OP6_SQL}
