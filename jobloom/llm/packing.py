@@ -18,28 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from jobloom.llm.chunks import ChunkEncoder
 from jobloom.llm.common import ids_and_texts, settle, slices
+from jobloom.llm.hf_ids import reader
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-_ENCODERS: dict[str, ChunkEncoder] = {}
-
-
-def encoder(path: str) -> ChunkEncoder:
-    """One encoder per worker process for the tokenizer file at `path`; special strings are ordinary text."""
-    if path not in _ENCODERS:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-
-        def encode_new(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            rows = [x.ids for x in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-            return np.fromiter((i for row in rows for i in row), np.int32), np.fromiter(map(len, rows), np.int64, len(rows))
-
-        _ENCODERS[path] = ChunkEncoder(encode_new)
-    return _ENCODERS[path]
 
 
 def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int) -> DataFrame:
@@ -53,12 +36,11 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int)
 
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        encode = encoder(tokenizer_path).encode
+        encode = reader(tokenizer_path)
         for batch, texts in slices(batches):
-            ids, bounds = encode(texts)
             rows: list[tuple] = []
-            for doc_id, lo, hi in zip(batch.column("doc_id").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                row = np.append(ids[lo:hi], np.int32(end_id)).astype("<u4")
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
+                row = np.append(encode(text), np.uint32(end_id)).astype("<u4")
                 start, piece = 0, 0
                 end = len(row) % capacity or capacity
                 while start < len(row):
