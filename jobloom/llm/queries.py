@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import bpe, exactdedup, packing, secrets, simhash, toxicity, urlfilter
+from jobloom.llm import bpe, exactdedup, packing, quality, secrets, simhash, toxicity, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,10 +59,15 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.judge(spark, _table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op1_url_filters, op2_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing, op6_exact_dedup, op7_toxicity, op9_secret_scans)
+    made = (op1_url_filters, op2_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing, op6_exact_dedup, op7_toxicity, op9_secret_scans, op10_quality_rules)
     return {f.__name__: f for f in made}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": urlfilter.sql(URL_RULES), "op6_exact_dedup": OP6_SQL}
+    return {"op1_url_filters": urlfilter.sql(URL_RULES), "op6_exact_dedup": OP6_SQL, "op10_quality_rules": quality.sql()}
