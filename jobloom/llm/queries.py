@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import bpe, exactdedup, packing, quality, secrets, simhash, toxicity, urlfilter
+from jobloom.llm import bpe, exactdedup, packing, pii, quality, secrets, simhash, toxicity, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(spark, _table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
@@ -65,7 +69,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op1_url_filters, op2_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing, op6_exact_dedup, op7_toxicity, op9_secret_scans, op10_quality_rules)
+    made = (op1_url_filters, op2_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing, op6_exact_dedup, op7_toxicity, op8_pii, op9_secret_scans, op10_quality_rules)
     return {f.__name__: f for f in made}
 
 
