@@ -1,9 +1,11 @@
 """Quality rules as weak supervision, in DataFrame functions alone.
 
-Every rule votes good (1), bad (-1) or abstains (0). Documents are counted by their
-votes; expectation-maximisation over these counts (at most 3^rules) estimates how often
-each rule is right and how many documents are good, and each combination of votes gets the
-posterior probability that its documents are good. That takes the place of passing all rules.
+Every rule votes good (1), bad (-1) or abstains (0). A rule that looks for one kind of
+junk votes bad or abstains: not to be that junk says little. Documents are counted by
+their votes; expectation-maximisation over these counts (at most 3^rules) estimates how many
+documents are good and how often each rule gives each vote on good and on bad ones, and
+each combination of votes gets the posterior probability that its documents are good.
+That takes the place of passing all rules.
 """
 
 from __future__ import annotations
@@ -16,20 +18,24 @@ from pyspark.sql import functions as F
 from jobloom.llm.common import ids_and_texts, settle
 
 BLANK = r" \t-\r"
+ENDED = '[.!?…。")»”][ \\t-\\r]*$'
 WINDOW = 8
 ROUNDS, POSTERIOR = 40, 0.5
-#: First guess of a rule's accuracy with the weight of so many votes, and the range estimates are held to.
-GUESS, WEIGHT, RANGE = 0.8, 10.0, (0.55, 0.99)
-#: name: (value in SQL, good if, bad if); else the rule abstains. `n_words` is above 0 where a value is used.
+#: First guesses: share of good documents, and how often a rule votes good on good, good on bad, bad on good, bad on bad ones;
+#: in each class they count as much as all documents do, at every size of the input.
+PRIOR, GUESS = 0.8, (0.8, 0.65, 0.005, 0.3)
+SHARES = (0.01, 0.99)
+#: name: (value in SQL, good if, bad if); a missing condition is never met. `n_words` is above 0 where a value is used.
 RULES = {
     "length": ("n_words", ">= 50", "< 20"),
-    "word_length": ("word_chars / n_words", "BETWEEN 2.5D AND 12D", "> 20D"),
-    "symbols": ("n_symbols / word_chars", "< 0.02D", "> 0.05D"),
-    "capitals": ("n_capitals / word_chars", "< 0.15D", "> 0.4D"),
-    "shouts": ("n_shouts / n_words", "< 0.05D", "> 0.25D"),
-    "lines": ("n_dup_lines / n_lines", "< 0.1D", "> 0.3D"),
-    "repeats": ("n_repeat_words / n_words", "< 0.1D", "> 0.3D"),
+    "word_length": ("word_chars / n_words", "BETWEEN 2.5D AND 12D", "< 1.5D"),
+    "endings": ("n_ended / n_lines", ">= 0.9D", "< 0.4D"),
     "variety": ("IF(n_words >= 100, n_distinct / n_words, NULL)", "> 0.5D", "< 0.25D"),
+    "symbols": ("n_symbols / word_chars", None, "> 0.05D"),
+    "capitals": ("n_capitals / word_chars", None, "> 0.4D"),
+    "shouts": ("n_shouts / n_words", None, "> 0.25D"),
+    "lines": ("n_dup_lines / n_lines", None, "> 0.5D"),
+    "repeats": ("n_repeat_words / n_words", None, "> 0.3D"),
 }
 
 
@@ -52,6 +58,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "doc_id", "n_symbols", "n_capitals", "n_shouts",
         F.size("words").cast("long").alias("n_words"), F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.size(F.array_distinct("words")).cast("long").alias("n_distinct"), F.size("lines").cast("long").alias("n_lines"),
+        F.size(F.filter("lines", lambda line: line.rlike(ENDED))).cast("long").alias("n_ended"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
     )
@@ -67,29 +74,32 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return found.select(*names, covered.alias("n_repeat_words"))
 
 
-def _vote(value: str, good: str, bad: str) -> str:
-    return f"CASE WHEN n_words = 0 THEN 0 WHEN {value} {good} THEN 1 WHEN {value} {bad} THEN -1 ELSE 0 END"
+def _vote(value: str, good: str | None, bad: str) -> str:
+    return f"CASE WHEN n_words = 0 THEN 0 {f'WHEN {value} {good} THEN 1 ' if good else ''}WHEN {value} {bad} THEN -1 ELSE 0 END"
 
 
-def _posterior(prior: str, right: str, votes: str) -> str:
-    weighed = f"aggregate(zip_with({votes}, {right}, (v, a) -> v * ln(a / (1 - a))), 0D, (x, y) -> x + y)"
-    return f"1 / (1 + exp(-(ln({prior} / (1 - {prior})) + {weighed})))"
+#: What a vote adds to the log odds of a good document: a good vote never takes from them, a bad one never adds.
+_SAYS = "CASE v WHEN 1 THEN greatest(0{d}, ln({r}.good_good / {r}.good_bad)) WHEN -1 THEN least(0{d}, ln({r}.bad_good / {r}.bad_bad)) ELSE 0{d} END"
+_RATES = (("good_good", "1", "q"), ("good_bad", "1", "(1 - q)"), ("bad_good", "-1", "q"), ("bad_bad", "-1", "(1 - q)"))
+
+
+def _posterior(model: str, votes: str) -> str:
+    said = f"aggregate(zip_with({votes}, {model}.rates, (v, r) -> {_SAYS.format(r='r', d='D')}), 0D, (x, y) -> x + y)"
+    return f"1 / (1 + exp(-(ln({model}.prior / (1 - {model}.prior)) + {said})))"
 
 
 def estimate(patterns: DataFrame) -> DataFrame:
     """(votes, n) to (votes, posterior): the estimate is one expression over the patterns in one row, at most 3^rules of them."""
-    low, high = RANGE
-    hits = "CASE WHEN p.votes[j] = 1 THEN p.n * q WHEN p.votes[j] = -1 THEN p.n * (1 - q) ELSE 0D END"
-    right = f"(aggregate(zip_with(patterns, posts, (p, q) -> {hits}), 0D, (x, y) -> x + y) + {GUESS * WEIGHT}D) / (aggregate(patterns, 0D, (x, p) -> x + p.n * abs(p.votes[j])) + {WEIGHT}D)"
-    share = "aggregate(zip_with(patterns, posts, (p, q) -> p.n * q), 0D, (x, y) -> x + y) / aggregate(patterns, 0D, (x, p) -> x + p.n)"
-    bounded = "least({1}D, greatest({0}D, {2}))"
-    posts = f"transform(patterns, p -> {_posterior('s.prior', 's.accuracy', 'p.votes')})"
-    step = f"transform(array({posts}), posts -> struct({bounded.format(0.01, 0.99, share)} AS prior, transform(sequence(0, {len(RULES) - 1}), j -> {bounded.format(low, high, right)}) AS accuracy))[0]"
-    model = f"aggregate(sequence(1, {ROUNDS}), struct(0.5D AS prior, array_repeat({GUESS}D, {len(RULES)}) AS accuracy), (s, i) -> {step})"
+    total = "aggregate(zip_with(patterns, posts, (p, q) -> {}), 0D, (x, y) -> x + y)".format
+    rates = ", ".join(f"({total(f'IF(p.votes[j] = {vote}, p.n * {share}, 0D)')} + {guess}D * {total('p.n')}) / ({total(f'p.n * {share}')} + {total('p.n')}) AS {name}" for (name, vote, share), guess in zip(_RATES, GUESS, strict=True))
+    prior = f"least({SHARES[1]}D, greatest({SHARES[0]}D, {total('p.n * q')} / {total('p.n')}))"
+    posts = f"transform(patterns, p -> {_posterior('s', 'p.votes')})"
+    step = f"transform(array({posts}), posts -> struct({prior} AS prior, transform(sequence(0, {len(RULES) - 1}), j -> struct({rates})) AS rates))[0]"
+    first = ", ".join(f"{guess}D AS {name}" for (name, _, _), guess in zip(_RATES, GUESS, strict=True))
+    start = f"struct({PRIOR}D AS prior, array_repeat(struct({first}), {len(RULES)}) AS rates)"
     row = patterns.agg(F.array_sort(F.collect_list(F.struct("votes", F.col("n").cast("double").alias("n")))).alias("patterns"))
-    done = row.withColumn("model", F.expr(model))
-    each = done.select("model", F.explode("patterns").alias("p"))
-    return each.select("p.votes", F.expr(_posterior("model.prior", "model.accuracy", "p.votes")).alias("posterior"))
+    done = row.withColumn("model", F.expr(f"aggregate(sequence(1, {ROUNDS}), {start}, (s, i) -> {step})"))
+    return done.select("model", F.explode("patterns").alias("p")).select("p.votes", F.expr(_posterior("model", "p.votes")).alias("posterior"))
 
 
 def judge(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -106,20 +116,21 @@ def judge(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= POSTERIOR))
 
 
-def _sql_posterior(prior: str, right: str, votes: str) -> str:
-    weighed = f"list_sum([v * ln({right}[j] / (1 - {right}[j])) FOR v, j IN {votes}])"
-    return f"1 / (1 + exp(-(ln({prior} / (1 - {prior})) + {weighed})))"
+def _sql_posterior(model: str, votes: str) -> str:
+    said = f"list_sum([{_SAYS.format(r=f'{model}.rates[j]', d='')} FOR v, j IN {votes}])"
+    return f"1 / (1 + exp(-(ln({model}.prior / (1 - {model}.prior)) + {said})))"
 
 
 def sql(documents: str = "documents") -> str:
     """The same in DuckDB's SQL."""
-    low, high = RANGE
     word = r"[^\x20\x09-\x0D]+"
     votes = re.sub(r"(\d)D\b", r"\1", ", ".join(_vote(*rule) for rule in RULES.values()))
-    posts = f"[{_sql_posterior('e.prior', 'e.accuracy', 'p.votes')} FOR p IN w.patterns]"
-    hits = "CASE WHEN p.votes[j] = 1 THEN p.n * posts[k] WHEN p.votes[j] = -1 THEN p.n * (1 - posts[k]) ELSE 0 END"
-    right = f"(list_sum([{hits} FOR p, k IN patterns]) + {GUESS * WEIGHT}) / (list_sum([p.n * abs(p.votes[j]) FOR p IN patterns]) + {WEIGHT})"
-    share = "list_sum([p.n * posts[k] FOR p, k IN patterns]) / list_sum([p.n FOR p IN patterns])"
+    posts = f"[{_sql_posterior('e', 'p.votes')} FOR p IN w.patterns]"
+    total = "list_sum([{} FOR p, k IN patterns])".format
+    of = lambda share: share.replace("q", "posts[k]")
+    rates = ", ".join(f"'{name}': ({total(f'CASE WHEN p.votes[j] = {vote} THEN p.n * {of(share)} ELSE 0 END')} + {guess} * {total('p.n')}) / ({total(f'p.n * {of(share)}')} + {total('p.n')})" for (name, vote, share), guess in zip(_RATES, GUESS, strict=True))
+    first = ", ".join(f"'{name}': {guess}::DOUBLE" for (name, _, _), guess in zip(_RATES, GUESS, strict=True))
+    prior = f"least({SHARES[1]}, greatest({SHARES[0]}, {total('p.n * posts[k]')} / {total('p.n')}))"
     return f"""
 WITH RECURSIVE texts AS (SELECT row_number() OVER () AS no, doc_id, coalesce(text, '') AS text FROM {documents}),
 cut AS (
@@ -133,17 +144,17 @@ spans AS (SELECT no, least({WINDOW}, coalesce(lead(i) OVER (PARTITION BY no ORDE
 covered AS (SELECT no, sum(n)::BIGINT AS n FROM spans GROUP BY no),
 measured AS (
     SELECT doc_id, len(words) AS n_words, coalesce(list_sum([length(x) FOR x IN words]), 0)::BIGINT AS word_chars, n_symbols, n_capitals, n_shouts, len(lines) AS n_lines,
-           len(lines) - len(list_distinct(lines)) AS n_dup_lines, len(list_distinct(words)) AS n_distinct, coalesce(covered.n, 0) AS n_repeat_words
+           len([x FOR x IN lines IF regexp_matches(x, '{ENDED}')]) AS n_ended, len(lines) - len(list_distinct(lines)) AS n_dup_lines, len(list_distinct(words)) AS n_distinct, coalesce(covered.n, 0) AS n_repeat_words
     FROM cut LEFT JOIN covered USING (no)),
 voted AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, [{votes}] AS votes FROM measured),
 counts AS (SELECT votes, count(*)::DOUBLE AS n FROM voted GROUP BY votes),
 one AS (SELECT list({{'votes': votes, 'n': n}} ORDER BY votes) AS patterns FROM counts),
-em(i, prior, accuracy) AS (
-    SELECT 0, 0.5::DOUBLE, [{GUESS}::DOUBLE FOR j IN range({len(RULES)})]
+em(i, prior, rates) AS (
+    SELECT 0, {PRIOR}::DOUBLE, [{{{first}}} FOR j IN range({len(RULES)})]
     UNION ALL
-    SELECT i + 1, least(0.99, greatest(0.01, {share})), [least({high}, greatest({low}, {right})) FOR j IN range(1, {len(RULES) + 1})]
+    SELECT i + 1, {prior}, [{{{rates}}} FOR j IN range(1, {len(RULES) + 1})]
     FROM (SELECT e.i, w.patterns, {posts} AS posts FROM em AS e, one AS w WHERE e.i < {ROUNDS}))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND {_sql_posterior('em.prior', 'em.accuracy', 'votes')} >= {POSTERIOR} AS kept
+       NOT base_failed AND {_sql_posterior('em', 'votes')} >= {POSTERIOR} AS kept
 FROM voted, em WHERE em.i = {ROUNDS}
 """
