@@ -30,6 +30,14 @@ def cut(parts: list[str]) -> list[str]:
     return out
 
 
+def runs(values: np.ndarray, bounds: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The chosen runs of `values` (run i lies between bounds i and i+1) one after another, and their bounds, 0 first."""
+    lengths = bounds[chosen + 1] - bounds[chosen]
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    at = np.arange(int(ends[-1]), dtype=np.int64) + np.repeat(bounds[chosen] - ends[:-1], lengths)
+    return values[at], ends
+
+
 class ChunkEncoder:
     """Token ids of texts; `encode_new(chunks)` gives flat ids and the token count of each new chunk.
 
@@ -45,12 +53,20 @@ class ChunkEncoder:
         self.rest: dict[str, int] = {}
         self.ids, self.offsets = np.empty(0, np.int32), np.zeros(1, np.int64)
 
+    def _code(self, chunk: str, place: int, new: list[str]) -> int:
+        """The number of a chunk; an unknown one is added to `new`."""
+        store = self.rest if place else self.first
+        code = store.get(chunk)
+        if code is None:
+            code = store[chunk] = len(self.offsets) - 1 + len(new)
+            new.append(" " + chunk if place else chunk)
+        return code
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, and the bounds of each text in them (one more than texts)."""
         if len(self.first) + len(self.rest) > self.limit:
             self._clear()
         new: list[str] = []
-        known = len(self.offsets) - 1
         codes, counts = [], []
         for text in texts:
             if not text:
@@ -60,25 +76,17 @@ class ChunkEncoder:
             found = list(map(self.rest.get, parts))
             found[0] = self.first.get(parts[0])
             if None in found:
-                chunks = cut(parts)
-                found = []
-                for i, chunk in enumerate(chunks):
-                    store = self.rest if i else self.first
-                    code = store.get(chunk)
-                    if code is None:
-                        code = store[chunk] = known + len(new)
-                        new.append(" " + chunk if i else chunk)
-                    found.append(code)
+                unknown = [i for i, code in enumerate(found) if code is None]
+                if all(_plain(parts[i]) for i in unknown if i):
+                    for i in unknown:
+                        found[i] = self._code(parts[i], i, new)
+                else:
+                    found = [self._code(chunk, i, new) for i, chunk in enumerate(cut(parts))]
             codes.append(np.array(found, np.int64))
             counts.append(len(found))
         if new:
             ids, lengths = self.encode_new(new)
             self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
             self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(lengths, dtype=np.int64)])
-        flat = np.concatenate(codes) if codes else np.empty(0, np.int64)
-        lengths = self.offsets[flat + 1] - self.offsets[flat]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.arange(total, dtype=np.int64) + np.repeat(self.offsets[flat] - (ends - lengths), lengths)
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
-        return self.ids[at], bounds
+        ids, ends = runs(self.ids, self.offsets, np.concatenate(codes) if codes else np.empty(0, np.int64))
+        return ids, ends[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
