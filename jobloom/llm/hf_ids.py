@@ -21,6 +21,7 @@ _SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 _BLANKS = 5_000
 _LONG_BLANKS = re.compile(rf"\s{{{_BLANKS}}}")
 _LOADED: dict[str, Callable[[str], np.ndarray]] = {}
+_SPANS: dict[str, Callable[[str], tuple[np.ndarray, np.ndarray]]] = {}
 
 
 def _alphabet() -> dict[str, int]:
@@ -72,3 +73,38 @@ def reader(path: str) -> Callable[[str], np.ndarray]:
 
         _LOADED[path] = chosen
     return _LOADED[path]
+
+
+def spans(path: str) -> Callable[[str], tuple[np.ndarray, np.ndarray]]:
+    """A function from a text to the starts and ends of its tokens in code points; a token of part of a character has all of it."""
+    if path in _SPANS:
+        return _SPANS[path]
+    from tokenizers import Tokenizer
+
+    read, ranks = reader(path), _ranks(path)
+    exact = Tokenizer.from_file(path)
+    exact.encode_special_tokens = True
+
+    def by_library(text: str) -> tuple[np.ndarray, np.ndarray]:
+        found = np.array(exact.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
+        return found[:, 0], found[:, 1]
+
+    if ranks is None:
+        _SPANS[path] = by_library
+        return by_library
+    width = np.zeros(max(ranks.values()) + 1, np.int64)
+    for token, number in ranks.items():
+        width[number] = len(token)
+
+    def by_width(text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all tokens are the bytes of the text, so their widths are their places."""
+        ends = np.cumsum(width[read(text)])
+        starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+        if text.isascii():
+            return starts, ends
+        data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+        point = np.cumsum((data & 0xC0) != 0x80) - 1
+        return point[starts], point[ends - 1] + 1
+
+    _SPANS[path] = by_width
+    return by_width

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import bpe, exactdedup, packing, pii, quality, secrets, simhash, toxicity, urlfilter
+from jobloom.llm import bpe, exactdedup, packing, pii, quality, secrets, simhash, tokencounts, toxicity, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,12 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document; a token that crosses a line break goes to the line with most of it."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return tokencounts.count(_table(spark, sf_dir, "documents"), path, fields=("text",), rule="most")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.round_trip(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -69,7 +75,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op1_url_filters, op2_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing, op6_exact_dedup, op7_toxicity, op8_pii, op9_secret_scans, op10_quality_rules)
+    made = (op1_url_filters, op2_simhash_near_dedup, op3_token_counts, op4_byte_bpe, op5_best_fit_packing, op6_exact_dedup, op7_toxicity, op8_pii, op9_secret_scans, op10_quality_rules)
     return {f.__name__: f for f in made}
 
 
