@@ -11,8 +11,13 @@ from jobloom.llm.common import keep_rows, settle
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score reaches the threshold go; the classifier is fitted on labelled rows of these documents."""
+    """Documents whose toxicity score reaches the threshold go; the classifier is fitted on labelled rows of these documents.
+
+    Without labels of both classes nothing can be told apart and nothing goes.
+    """
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    if not isinstance(model, toxicity.Model):
+        return docs
     return docs.where(toxicity.score(F.col("text"), model) < toxicity.THRESHOLD)
 
 
@@ -31,7 +36,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every found secret is replaced by its kind in brackets; documents without any stay as they are."""
     clean = docs.withColumn("text", secrets.redacted(F.col("text")))
-    return clean.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast("long")))
+    length = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return clean.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), length))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
