@@ -56,15 +56,15 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int)
     return docs.mapInArrow(pieces, PIECES)
 
 
-def fullest(counts: dict[int, int], room: int) -> list[int]:
-    """Lengths, each at most `counts` times, with the largest sum up to `room`; longer lengths are preferred.
+def fullest(counts: dict[int, int], room: int, long_first: bool = True) -> list[int]:
+    """Lengths, each at most `counts` times, with the largest sum up to `room`; of such combinations one of long (or short) lengths.
 
     Bit s of a set says that sum s can be reached. A length that is there c times
     goes in as groups of 1, 2, 4, ... copies, and the sets are walked back from the best sum.
     """
     mask = (1 << (room + 1)) - 1
     reach, steps = 1, []
-    for length in sorted(x for x in counts if x <= room):
+    for length in sorted((x for x in counts if x <= room), reverse=long_first):
         copies, group = min(counts[length], room // length), 1
         while copies > 0:
             group = min(group, copies)
@@ -82,14 +82,13 @@ def fullest(counts: dict[int, int], room: int) -> list[int]:
     return chosen
 
 
-def plan(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
-    """(lengths in one bin, number of such bins) until every counted piece has a place."""
+def _plan(counts: dict[int, int], capacity: int, long_first: bool) -> list[tuple[list[int], int]]:
     left = {length: n for length, n in counts.items() if n > 0}
     bins = []
     while left:
         seed = max(left)
         left[seed] -= 1
-        chosen = [seed, *fullest({k: n for k, n in left.items() if n}, capacity - seed)]
+        chosen = [seed, *fullest({k: n for k, n in left.items() if n}, capacity - seed, long_first)]
         left[seed] += 1
         need = {length: chosen.count(length) for length in set(chosen)}
         times = min(left[length] // n for length, n in need.items())
@@ -101,6 +100,15 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
     return bins
 
 
+def plan(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
+    """(lengths in one bin, number of such bins) until every counted piece has a place.
+
+    Where several combinations are fullest, long lengths first keep the short ones
+    for later bins; with few pieces the other choice can be better. The plan with fewer bins is taken.
+    """
+    return min((_plan(counts, capacity, order) for order in (True, False)), key=lambda bins: sum(times for _, times in bins))
+
+
 def places(bins: list[tuple[list[int], int]]) -> dict[int, np.ndarray]:
     """Per length, rows (first rank, first sequence, offset): ranks from there on take one sequence after another."""
     rows: dict[int, list[tuple[int, int, int]]] = {}
