@@ -3,7 +3,7 @@
 BENCH_SF_DIR names the tables, BENCH_CPUS the local threads and BENCH_QUERIES a
 comma-separated choice of queries, or "all" (default: the headline queries below).
 Each query is built and run in full against the noop sink, once to warm up and
-BENCH_RUNS more times; the median counts. A first run over 40 seconds counts itself.
+BENCH_RUNS more times; the median of these counts.
 """
 
 from __future__ import annotations
@@ -51,9 +51,8 @@ def main() -> None:
         if name not in chosen:
             continue
         try:
-            first = run_once(spark, build, sf_dir)
-            more = [run_once(spark, build, sf_dir) for _ in range(runs)] if first < 40 else [first]
-            times[name] = round(statistics.median(more), 3)
+            run_once(spark, build, sf_dir)
+            times[name] = round(statistics.median(run_once(spark, build, sf_dir) for _ in range(runs)), 3)
         except Exception as err:  # noqa: BLE001 - one broken query must not hide the others
             print(f"{name}: {str(err).splitlines()[0]}", file=sys.stderr)
     spark.stop()

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from jobloom.fixed_values import CYCLE_SOURCES
 from jobloom.functions import dates
-from jobloom.operators.lookup import settled
+
+#: Parts into which the rows of one feed are spread where they meet its stop.
+SALTS = 64
 
 
 def streak_stops(
@@ -58,21 +60,28 @@ def streak_stops(
     )
 
 
-def cut_at_streak(
-    df: DataFrame, feed: str, seq: str, is_new: str, k: int, page: str | None = None, width: int = 100_000
-) -> DataFrame:
-    """Rows read before the feed is stopped; the row that completes the streak is the last.
+def _upto(df: DataFrame, feed: str, position: str, stops: DataFrame, salts: int = SALTS) -> DataFrame:
+    """Rows up to the stop of their feed; all rows of a feed without one.
 
-    The stops are one row per feed and run first, so that rows of a hot feed stay in place.
+    Stops are one row per feed, repeated per salt; the rows of a feed are spread over the salts.
     """
-    stops = settled(streak_stops(df, feed, seq, is_new, k, page, width))
+    spread = F.pmod(F.xxhash64(position), F.lit(salts)).cast("int")
+    salted = stops.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return (
-        df.join(stops, feed, "left")
-        .filter(F.col("stop").isNull() | (F.col(seq) <= F.col("stop")))
-        .drop("stop")
+        df.withColumn("_salt", spread)
+        .join(salted, [feed, "_salt"], "left")
+        .filter(F.col("stop").isNull() | (F.col(position) <= F.col("stop")))
+        .select(*df.columns)
     )
 
 
+def cut_at_streak(
+    df: DataFrame, feed: str, seq: str, is_new: str, k: int, page: str | None = None, width: int = 100_000
+) -> DataFrame:
+    """Rows read before the feed is stopped; the row that completes the streak is the last."""
+    return _upto(df, feed, seq, streak_stops(df, feed, seq, is_new, k, page, width))
+
+
 def page_stops(df: DataFrame, feed: str, page: str, is_new: str, after: int = 5) -> DataFrame:
     """(feed, stop): first page past index `after` without a new row."""
     return (
@@ -86,12 +95,7 @@ def page_stops(df: DataFrame, feed: str, page: str, is_new: str, after: int = 5)
 
 def cut_at_stale_page(df: DataFrame, feed: str, page: str, is_new: str, after: int = 5) -> DataFrame:
     """Rows of the pages read before (and including) the first stale one."""
-    stops = settled(page_stops(df, feed, page, is_new, after))
-    return (
-        df.join(stops, feed, "left")
-        .filter(F.col("stop").isNull() | (F.col(page) <= F.col("stop")))
-        .drop("stop")
-    )
+    return _upto(df, feed, page, page_stops(df, feed, page, is_new, after))
 
 
 def since(df: DataFrame, ts: str, mark) -> DataFrame:

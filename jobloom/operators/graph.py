@@ -16,6 +16,12 @@ def latest(df: DataFrame, keys: list[str], seq: str | Column) -> DataFrame:
     return picked.select(*keys, "_row.*")
 
 
+def written(jobs: DataFrame, key: str = "_id") -> Column:
+    """Order of writes: the times the rows have, then the key, so that no two jobs tie."""
+    times = [c for c in ("updated_at", "created_at") if c in jobs.columns]
+    return F.struct(*times, key)
+
+
 def job_nodes(jobs: DataFrame, as_of, expiry_days: int = GRAPH_EXPIRY_DAYS, key: str = "_id") -> DataFrame:
     """Job properties; creation and expiry count from this write."""
     now = dates.moment(as_of)
@@ -31,9 +37,10 @@ def job_nodes(jobs: DataFrame, as_of, expiry_days: int = GRAPH_EXPIRY_DAYS, key:
     )
 
 
-def role_nodes(jobs: DataFrame, seq: str = "_id") -> DataFrame:
+def role_nodes(jobs: DataFrame, seq: Column | None = None) -> DataFrame:
     """(role_title, difficulty_level): the level of the last job written."""
-    rows = jobs.filter(F.col("role_title").isNotNull()).select("role_title", "difficulty_level", F.col(seq).alias("_seq"))
+    seq = written(jobs) if seq is None else seq
+    rows = jobs.filter(F.col("role_title").isNotNull()).select("role_title", "difficulty_level", seq.alias("_seq"))
     return latest(rows, ["role_title"], "_seq").drop("_seq")
 
 
@@ -59,7 +66,7 @@ def terms_of(jobs: DataFrame, terms: str, name: str, key: str = "_id") -> DataFr
 
 
 def offers_salary(jobs: DataFrame, key: str = "_id") -> DataFrame:
-    """Edges to salary nodes; half-open salaries are left to `broken_salaries`."""
+    """Edges to salary nodes; half-open salaries have none."""
     rows = jobs.filter(F.col("salary_min").isNotNull() & F.col("salary_max").isNotNull())
     return _edges(
         rows.select(F.col(key).alias("job_key"), F.col("salary_min").alias("min"), F.col("salary_max").alias("max")),
@@ -67,18 +74,20 @@ def offers_salary(jobs: DataFrame, key: str = "_id") -> DataFrame:
     )
 
 
-def broken_salaries(jobs: DataFrame) -> DataFrame:
-    return jobs.filter(F.col("salary_min").isNotNull() & F.col("salary_max").isNull())
+def whole_salaries(jobs: DataFrame) -> DataFrame:
+    """Jobs that may enter the graph: a salary has both ends, or there is none."""
+    return jobs.filter(F.col("salary_min").isNull() | F.col("salary_max").isNotNull())
 
 
-def salary_nodes(jobs: DataFrame, seq: str = "_id") -> DataFrame:
+def salary_nodes(jobs: DataFrame, seq: Column | None = None) -> DataFrame:
     """(min, max, currency, period): currency and period of the last job written."""
+    seq = written(jobs) if seq is None else seq
     rows = jobs.filter(F.col("salary_min").isNotNull() & F.col("salary_max").isNotNull()).select(
         F.col("salary_min").alias("min"),
         F.col("salary_max").alias("max"),
         F.col("salary_currency").alias("currency"),
         F.col("salary_period").alias("period"),
-        F.col(seq).alias("_seq"),
+        seq.alias("_seq"),
     )
     return latest(rows, ["min", "max"], "_seq").drop("_seq")
 
@@ -103,15 +112,18 @@ KEYS = {
 }
 
 
-def build_graph(jobs: DataFrame, as_of, key: str = "_id", seq: str = "_id") -> dict[str, DataFrame]:
+def build_graph(jobs: DataFrame, as_of, key: str = "_id", seq: Column | None = None) -> dict[str, DataFrame]:
     """All node and edge tables of a set of `graph_safe` jobs, keyed as in KEYS.
 
-    `key` identifies a job in the graph: its unique `_id`, or a column such as
-    "job_id" that several rows may share; then the last row in `seq` order counts.
+    Jobs with half a salary are held back. `key` identifies a job in the graph: its
+    unique `_id`, or a column such as "job_id" that several rows may share; then the
+    last row in `seq` order counts, which is the order of writes unless given.
     """
+    jobs = whole_salaries(jobs)
+    seq = written(jobs) if seq is None else seq
     newest = jobs
     if key != "_id":
-        newest = latest(jobs.withColumn("_w", F.col(seq)), [key], "_w").drop("_w").select(*jobs.columns)
+        newest = latest(jobs.withColumn("_w", seq), [key], "_w").drop("_w").select(*jobs.columns)
     company, skill, tool = (
         posted_by(jobs, key),
         terms_of(jobs, "graph_skills", "skill", key),
@@ -143,4 +155,4 @@ def upsert_snapshot(old: DataFrame, new: DataFrame, keys: list[str], keep: list[
     if kept:
         new = new.drop(*kept).join(old.select(*keys, *kept), keys, "left")
     untouched = old.join(new.select(*keys), keys, "left_anti")
-    return untouched.unionByName(new.select(*old.columns))
+    return untouched.unionByName(new, allowMissingColumns=True).select(*dict.fromkeys([*old.columns, *new.columns]))

@@ -1,20 +1,22 @@
-"""Small dictionaries probed inside a projection.
-
-A dictionary of checked size is folded into one array value: slot `hash % n`
-holds the entries with that hash. It reaches the tasks as a scalar subquery, so a
-lookup is an expression on the row: no join, no shuffle, no explode-and-regroup of
-the fact side, and a term shared by a third of all rows costs nothing extra.
-Dictionaries over the bound go through a join instead (see the callers).
+"""Dictionaries probed inside a projection.
+
+A dictionary is folded into array values: slot `hash % n` holds the entries with
+that hash. An array reaches the tasks as a scalar subquery, so a lookup is an
+expression on the row: no join, no shuffle, no explode-and-regroup of the fact side,
+and a term shared by a third of all rows costs nothing extra. An array has a bounded
+size: a larger dictionary is cut into parts by the hash of its keys, and the rows pass
+one part after the other. The way is the same for every size, and so are the results.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-MAX_ENTRIES = 100_000
-MAX_BYTES = 16 * 1024 * 1024
+PART_ENTRIES = 100_000
+PART_BYTES = 16 * 1024 * 1024
 
 
 def computed_once(df: DataFrame, drop: tuple[str, ...] = (), **columns: Column) -> DataFrame:
@@ -32,35 +34,9 @@ def computed_once(df: DataFrame, drop: tuple[str, ...] = (), **columns: Column)
     return done.select(*kept, F.inline(F.array(row)))
 
 
-def settled(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """A small result run now, so that joins know its size and broadcast it.
-
-    A result over the bound stays a plan of its own and its joins shuffle, with
-    skewed keys split at run time.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    spark = df.sparkSession
-    if not rows:
-        return spark.createDataFrame([], df.schema)
-    return F.broadcast(spark.createDataFrame(rows, df.schema))
-
-
-def entry_count(dim: DataFrame, key: str, max_entries: int = MAX_ENTRIES) -> int | None:
-    """Number of dictionary entries, or None when it is over the bound."""
-    n, size = (
-        dim.select(F.octet_length(key).alias("b"))
-        .limit(max_entries + 1)
-        .agg(F.count("*"), F.coalesce(F.sum("b"), F.lit(0)))
-        .first()
-    )
-    return None if n > max_entries or size > MAX_BYTES else n
-
-
 @dataclass(frozen=True)
-class Index:
-    """A folded dictionary: attach it to a frame, then probe the column."""
+class Part:
+    """One folded array: attach it to a frame, then probe the column."""
 
     frame: DataFrame
     slots: int
@@ -79,20 +55,39 @@ class Index:
         return F.get(F.filter(slot, lambda e: e["k"] == key), F.lit(0))["v"]
 
 
-def build_index(dim: DataFrame, key: Column, value: Column, order: Column, entries: int) -> Index:
-    """Fold a dictionary of `entries` rows; values of one key are kept in `order`."""
+def _fold(rows: DataFrame, entries: int) -> Part:
     slots = 1 << max(entries, 1).bit_length()
-    entry = F.struct(order.alias("o"), key.alias("k"), value.alias("v"))
-    rows = dim.select(F.pmod(F.xxhash64(key), F.lit(slots)).alias("h"), entry.alias("e"))
+    slotted = rows.select(F.pmod(F.xxhash64("k"), F.lit(slots)).alias("h"), F.struct("o", "k", "v").alias("e"))
     # every slot gets an element, so that a probe is an offset into the array
-    blank = dim.sparkSession.range(0, slots, 1, 1).select(
-        F.col("id").alias("h"), F.lit(None).cast(rows.schema["e"].dataType).alias("e")
+    blank = rows.sparkSession.range(0, slots, 1, 1).select(
+        F.col("id").alias("h"), F.lit(None).cast(slotted.schema["e"].dataType).alias("e")
     )
     folded = (
-        rows.unionByName(blank)
+        slotted.unionByName(blank)
         .groupBy("h")
         .agg(F.array_sort(F.collect_list("e")).alias("slot"))
         .agg(F.array_sort(F.collect_list(F.struct("h", "slot"))).alias("a"))
         .select(F.col("a.slot").alias("slots"))
     )
-    return Index(folded, slots)
+    return Part(folded, slots)
+
+
+def fold(dim: DataFrame, key: Column, value: Column, order: Column, part_entries: int = PART_ENTRIES) -> list[Part]:
+    """Fold a dictionary into parts of about `part_entries` entries and `PART_BYTES`, keys and values measured.
+
+    Values of one key share a part and are kept in `order`. Null keys are left out: no term equals them.
+    """
+    rows = dim.select(order.alias("o"), key.alias("k"), value.alias("v")).filter(F.col("k").isNotNull())
+    width = F.octet_length("k") + F.octet_length(F.to_json(F.struct("o", "v"))) + F.lit(32)
+    n, size = rows.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    parts = max(1, -(-n // part_entries), -(-size // PART_BYTES))
+    chosen = [rows.filter(F.pmod(F.hash("k"), F.lit(parts)) == p) for p in range(parts)] if parts > 1 else [rows]
+    return [_fold(part, 2 * n // parts) for part in chosen]
+
+
+def probed(df: DataFrame, parts: list[Part], start: Column, step: Callable[[Column, Part, Column], Column], out: str) -> DataFrame:
+    """Add `out`: `start`, then `step(out, part, attached)` for one part after the other."""
+    df = computed_once(df, **{out: start})
+    for part in parts:
+        df = computed_once(part.attach(df, "_part"), (out, "_part"), **{out: step(F.col(out), part, F.col("_part"))})
+    return df

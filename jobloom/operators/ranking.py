@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobloom.operators.lookup import computed_once
 
-SAMPLE_ROWS = 4096
+#: Sampled rows per range.
+SAMPLE_ROWS = 64
 
 
 def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:
@@ -15,27 +16,21 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int,
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
 
 
-def global_row_number(df: DataFrame, order: list[Column], name: str, splits: int = 64) -> DataFrame:
+def global_row_number(df: DataFrame, order: list[Column], name: str, splits: int | None = None) -> DataFrame:
     """1-based position of every row in a total order (ascending `order`, no ties).
 
     A bounded sample (the rows of the smallest hashes, so the same one in every
     run) gives the split points, each range is numbered on its own, and the range
-    sizes give the offsets. Nothing but the sample and the `splits` range sizes
-    meets in one task.
+    sizes give the offsets. There are `splits` ranges, by default as many as the
+    session's shuffle partitions, so they grow with what the cluster is set up for.
+    Nothing but the sample and the range sizes meets in one task.
     """
+    splits = splits or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = df.withColumn("_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]))
-    sample = keyed.select("_key").orderBy(F.xxhash64("_key"), "_key").limit(SAMPLE_ROWS)
+    sample = keyed.select("_key").orderBy(F.xxhash64("_key"), "_key").limit(SAMPLE_ROWS * splits)
     step = F.greatest((F.col("n") / F.lit(splits)).cast("int"), F.lit(1))
-    points = (
-        sample.agg(F.array_sort(F.collect_list("_key")).alias("s"), F.count("*").alias("n"))
-        .select(
-            F.when(
-                F.col("n") >= splits * 4,
-                F.filter("s", lambda x, i: (F.pmod(i, step) == 0) & (i > 0)),
-            )
-            .otherwise(F.slice("s", 1, 0))
-            .alias("p")
-        )
+    points = sample.agg(F.array_sort(F.collect_list("_key")).alias("s"), F.count("*").alias("n")).select(
+        F.filter("s", lambda x, i: (F.pmod(i, step) == 0) & (i > 0)).alias("p")
     )
     ranged = computed_once(
         keyed.withColumn("_points", points.scalar()),
@@ -47,7 +42,7 @@ def global_row_number(df: DataFrame, order: list[Column], name: str, splits: int
     offsets = sizes.select(
         "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
-    # fewer than 2 * splits rows, whatever the data
+    # at most 2 * splits rows, whatever the data
     return (
         ranged.join(F.broadcast(offsets), "_range")
         .withColumn(

@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from jobloom import fixed_values as fixed
 from jobloom.functions.text import title_words
 from jobloom.functions.values import array_or_empty, count_in, sql_text
-from jobloom.operators.lookup import MAX_ENTRIES, Index, build_index, computed_once, entry_count
+from jobloom.operators.lookup import PART_ENTRIES, Part, computed_once, fold, probed
 from jobloom.operators.nearest import with_nearest
 from jobloom.operators.skills import names, with_buckets
 
-BEST = "struct<score:double,first:int,role:string>"
+Embedder = Callable[[list[str]], list[list[float]]]
+HITS = "array<struct<role_ord:bigint,role:string,words:array<string>,times:bigint>>"
 
 
 def has_engineering_term(title: Column) -> Column:
@@ -61,22 +62,31 @@ def overlap_counts(jobs: DataFrame, key: str, technical: str, role_skill: DataFr
     )
 
 
-def _best_inline(df: DataFrame, index: Index) -> DataFrame:
-    """Add `_best` from the row's own skills; `index` maps a skill to the roles that list it."""
-    df = computed_once(
-        index.attach(df, "_index"),
-        ("_index",),
-        _hits=F.flatten(
-            F.transform(F.array_distinct("_technical"), lambda s: index.probe_all(F.col("_index"), s))
-        ),
-    )
+def role_listing(role_skill: DataFrame) -> DataFrame:
+    """(skill, entry) with entry(role_ord, role, words, times): each role under its lowest `role_ord`."""
+    place = role_skill.groupBy("role").agg(F.min("role_ord").cast("bigint").alias("role_ord"))
+    entry = F.struct("role_ord", "role", title_words(F.col("role")).alias("words"), "times")
+    return role_terms(role_skill).join(place, "role").select("skill", entry.alias("entry"))
+
+
+def _with_best(df: DataFrame, parts: list[Part]) -> DataFrame:
+    """Add `_best` from the row's own skills; `parts` map a skill to the roles that list it."""
+
+    def step(hits: Column, part: Part, attached: Column) -> Column:
+        found = F.transform(F.array_distinct("_technical"), lambda s: part.probe_all(attached, s))
+        return F.concat(hits, F.flatten(found))
+
+    df = probed(df, parts, F.array().cast(HITS), step, "_hits")
+    roles = F.array_distinct(F.transform("_hits", lambda h: F.struct(h["role_ord"].alias("role_ord"), h["role"].alias("role"), h["words"].alias("words"))))
     candidates = F.transform(
-        F.array_distinct("_hits"),
+        roles,
         lambda r: F.struct(
             r["role_ord"].alias("role_ord"),
             r["role"].alias("role"),
             r["words"].alias("words"),
-            F.size(F.filter("_hits", lambda h: h["role_ord"] == r["role_ord"])).alias("matched"),
+            F.aggregate(
+                F.filter("_hits", lambda h: h["role"] == r["role"]), F.lit(0).cast("bigint"), lambda n, h: n + h["times"]
+            ).alias("matched"),
         ),
     )
     df = computed_once(df, ("_hits",), _candidates=F.filter(candidates, lambda c: c["matched"] >= 2))
@@ -95,37 +105,13 @@ def _best_inline(df: DataFrame, index: Index) -> DataFrame:
     return computed_once(df, ("_candidates",), _best=F.array_max(scored))
 
 
-def _best_joined(df: DataFrame, key: str, role_skill: DataFrame) -> DataFrame:
-    """Add `_best` through a join, for a role table over the lookup bound."""
-    facts = df.select(key, "_title", "_ml_core", "_data_core")
-    best = (
-        overlap_counts(df, key, "_technical", role_skill)
-        .filter(F.col("matched") >= 2)
-        .join(role_skill.groupBy("role").agg(F.min("role_ord").alias("role_ord")), "role")
-        .join(facts, key)
-        .filter(passes_gates(F.col("role"), F.col("matched"), F.col("_ml_core"), F.col("_data_core")))
-        .groupBy(key)
-        .agg(
-            F.max(
-                F.struct(
-                    overlap_score(F.col("matched"), title_words(F.col("role")), F.col("_title")).alias("score"),
-                    (-F.col("role_ord")).alias("first"),
-                    "role",
-                )
-            ).alias("_best")
-        )
-    )
-    return df.join(best, key, "left")
-
-
 def decide(
     df: DataFrame,
-    key: str,
     title: str,
     skills: str,
     taxonomy: DataFrame,
     role_skill: DataFrame,
-    max_entries: int = MAX_ENTRIES,
+    part_entries: int = PART_ENTRIES,
     tagged: str | None = None,
 ) -> DataFrame:
     """Add role, extracted_by, needs_vector, fell_through and technical: all but the vector match.
@@ -134,7 +120,7 @@ def decide(
     `tagged` names a `with_buckets` column made before.
     """
     if tagged is None:
-        df = with_buckets(df, key, skills, taxonomy, "_tagged", max_entries)
+        df = with_buckets(df, skills, taxonomy, "_tagged", part_entries)
         tagged = "_tagged"
     df = computed_once(
         df,
@@ -149,14 +135,8 @@ def decide(
         _data_any=count_in("_technical", fixed.DATA_FALLBACK),
         _backend=count_in("_technical", fixed.BACKEND_INDICATORS),
     )
-    entries = entry_count(role_skill, "skill", max_entries)
-    if entries is not None:
-        listed = F.struct("role_ord", "role", title_words(F.col("role")).alias("words"))
-        df = _best_inline(
-            df, build_index(role_skill, F.lower("skill"), listed, F.col("role_ord"), entries)
-        )
-    else:
-        df = _best_joined(df, key, role_skill)
+    listing = role_listing(role_skill)
+    df = _with_best(df, fold(listing, F.col("skill"), F.col("entry"), F.col("entry.role_ord"), part_entries))
     titled = role_skill.filter(F.col("role").isin(*[r for _, r in fixed.TITLE_RULES]))
     known = titled.agg(F.collect_set("role").alias("r"))
     df = computed_once(
@@ -211,32 +191,33 @@ def find_role(
     role_skill: DataFrame,
     role_vec: DataFrame | None = None,
     embeddings: DataFrame | None = None,
-    max_entries: int = MAX_ENTRIES,
+    part_entries: int = PART_ENTRIES,
     tagged: str | None = None,
+    embedder: Embedder | None = None,
 ) -> DataFrame:
-    """Add role, extracted_by, technical and fell_through to each row.
+    """Add role, extracted_by, technical and fell_through to each row; the cascade is evaluated once.
 
-    `embeddings(key, vector)` holds the text vectors. Only rows left over by the
-    cascade meet them; all other rows stay where they are, without a shuffle.
-    A row without a vector ends as "Others".
+    Only rows left over by the cascade meet a vector: from `embeddings(key, vector)`, of
+    which a repeated key counts once (the least vector), or from `embedder`, called
+    with their role texts alone. A row without a vector ends as "Others".
     """
-    decided = decide(df, key, title, skills, taxonomy, role_skill, max_entries, tagged)
-    if role_vec is None or embeddings is None:
-        out = decided.withColumn(
-            "role", F.coalesce("role", F.when(F.col("needs_vector"), F.lit("Others")))
-        )
-        return out.drop("needs_vector")
-
-    settled = decided.filter(~F.col("needs_vector"))
-    left_over = decided.filter(F.col("needs_vector")).join(
-        embeddings.select(F.col("key").alias(key), F.col("vector").alias("_vector")), key, "left"
-    )
-    matched = (
-        with_nearest(left_over, key, "_vector", role_vec, "_near")
-        .withColumn("role", F.coalesce("_near", F.lit("Others")))
-        .select(*decided.columns)
-    )
-    return settled.unionByName(matched).drop("needs_vector")
+    decided = decide(df, title, skills, taxonomy, role_skill, part_entries, tagged)
+    left_over = F.col("needs_vector")
+    if role_vec is None or (embeddings is None and embedder is None):
+        return decided.withColumn("role", F.coalesce("role", F.when(left_over, F.lit("Others")))).drop("needs_vector")
+    if embedder is not None:
+        text = F.when(left_over, role_text(F.col(title), F.coalesce(F.col(skills), F.array().cast("array<string>"))))
+        joined = computed_once(decided, _vector=_embedded(text, embedder))
+    else:
+        # settled rows get a spread key of their own: they match nothing and gather nowhere
+        vectors = embeddings.groupBy(F.col("key").alias("_key")).agg(F.min("vector").alias("_vector")).withColumn("_salt", F.lit(0))
+        keyed = decided.withColumns({
+            "_key": F.when(left_over, F.col(key)), "_salt": F.when(left_over, 0).otherwise(F.pmod(F.xxhash64(key), F.lit(2**20)).cast("int") + 1)
+        })
+        joined = keyed.join(vectors, ["_key", "_salt"], "left").drop("_key", "_salt")
+    near = with_nearest(joined, "_vector", role_vec, "_near")
+    role = F.when(left_over, F.coalesce("_near", F.lit("Others"))).otherwise(F.col("role"))
+    return near.withColumn("role", role).drop("_near", "_vector", "needs_vector")
 
 
 def with_role_defaults(df: DataFrame) -> DataFrame:
@@ -250,19 +231,24 @@ def role_text(title: Column, skills: Column) -> Column:
     return F.concat(F.coalesce(title, F.lit("")), F.lit(". "), F.array_join(skills, ", "))
 
 
-def embed_texts(
-    df: DataFrame, key: str, title: str, skills: str, embedder: Callable[[list[str]], list[list[float]]]
-) -> DataFrame:
-    """(key, vector): role texts through a caller's embedder, one call per Arrow batch.
-
-    The embedder runs on the workers and has to be importable or a closure there.
-    """
+def _embedded(text: Column, embedder: Embedder) -> Column:
+    """Vectors of a text column, one call per Arrow batch with the texts that are not null."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([[float(x) for x in v] for v in embedder(texts.tolist())])
+            wanted = [t for t in texts if t is not None]
+            vectors = iter(embedder(wanted) if wanted else [])
+            yield pd.Series([None if t is None else [float(x) for x in next(vectors)] for t in texts], dtype=object)
+
+    return F.pandas_udf(run, "array<double>")(text)
 
-    vector = F.pandas_udf(run, "array<double>")(role_text(F.col(title), F.col(skills)))
+
+def embed_texts(df: DataFrame, key: str, title: str, skills: str, embedder: Embedder) -> DataFrame:
+    """(key, vector): role texts through a caller's embedder, one call per Arrow batch.
+
+    The embedder runs on the workers and has to be importable or a closure there.
+    """
+    vector = _embedded(role_text(F.col(title), F.col(skills)), embedder)
     return df.select(F.col(key).alias("key"), vector.alias("vector"))
 
 

@@ -10,13 +10,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from jobloom.fixed_values import CATEGORIES
 from jobloom.functions.text import canonical
 from jobloom.functions.values import array_or_empty
-from jobloom.operators.lookup import MAX_ENTRIES, build_index, computed_once, entry_count
+from jobloom.operators.lookup import PART_ENTRIES, Part, computed_once, fold, probed
 from jobloom.operators.ranking import global_row_number
 
 
 def one_bucket(taxonomy: DataFrame) -> DataFrame:
-    """One row per skill: the bucket of the lowest precedence wins."""
-    return taxonomy.groupBy("skill").agg(F.min_by("bucket", "precedence").alias("bucket"))
+    """One row per skill: the bucket of the lowest precedence wins, nulls last, then the first by name."""
+    rank = F.struct(F.col("precedence").isNull(), "precedence", "bucket")
+    return taxonomy.groupBy("skill").agg(F.min_by("bucket", rank).alias("bucket"))
 
 
 def union_buckets(*buckets: DataFrame) -> DataFrame:
@@ -28,41 +29,22 @@ def union_buckets(*buckets: DataFrame) -> DataFrame:
 
 
 def with_buckets(
-    df: DataFrame,
-    key: str,
-    skills: str,
-    taxonomy: DataFrame,
-    out: str = "skill_buckets",
-    max_entries: int = MAX_ENTRIES,
+    df: DataFrame, skills: str, taxonomy: DataFrame, out: str = "skill_buckets", part_entries: int = PART_ENTRIES
 ) -> DataFrame:
     """Add array<struct(skill, bucket)>: canonical skills in their order, bucket null if unknown."""
-    entries = entry_count(taxonomy, "skill", max_entries)
-    if entries is not None:
-        index = build_index(
-            taxonomy, F.col("skill"), F.col("bucket"), F.col("precedence"), entries
+    parts = fold(one_bucket(taxonomy), F.col("skill"), F.col("bucket"), F.lit(0), part_entries)
+    df = computed_once(df, _terms=F.transform(array_or_empty(F.col(skills)), canonical))
+    unknown = F.transform("_terms", lambda t: F.struct(t.alias("skill"), F.lit(None).cast("string").alias("bucket")))
+
+    def step(tagged: Column, part: Part, attached: Column) -> Column:
+        return F.transform(
+            tagged,
+            lambda e: F.struct(
+                e["skill"].alias("skill"), F.coalesce(e["bucket"], part.probe(attached, e["skill"])).alias("bucket")
+            ),
         )
 
-        def tag(skill: Column) -> Column:
-            return F.struct(skill.alias("skill"), index.probe(F.col("_taxonomy"), skill).alias("bucket"))
-
-        terms = F.transform(array_or_empty(F.col(skills)), canonical)
-        probed = index.attach(computed_once(df, _terms=terms), "_taxonomy")
-        return computed_once(probed, ("_terms", "_taxonomy"), **{out: F.transform("_terms", tag)})
-
-    # Over the bound: one row per skill, joined, and put together again per row key.
-    tagged = (
-        df.select(key, F.posexplode(skills).alias("pos", "term"))
-        .select(key, "pos", canonical(F.col("term")).alias("skill"))
-        .join(one_bucket(taxonomy), "skill", "left")
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "skill", "bucket"))).alias("t"))
-        .select(
-            key,
-            F.transform("t", lambda e: F.struct(e["skill"].alias("skill"), e["bucket"].alias("bucket"))).alias(out),
-        )
-    )
-    none = F.array().cast("array<struct<skill:string,bucket:string>>")
-    return df.join(tagged, key, "left").withColumn(out, F.coalesce(out, none))
+    return probed(df, parts, unknown, step, out).drop("_terms")
 
 
 def names(tagged: Column, bucket: str | None = None) -> Column:
@@ -73,19 +55,15 @@ def names(tagged: Column, bucket: str | None = None) -> Column:
     return F.transform(keep, lambda e: e["skill"])
 
 
-def filter_valid_skills(
-    df: DataFrame, key: str, skills: str, taxonomy: DataFrame, out: str = "valid_skills", **kw
-) -> DataFrame:
+def filter_valid_skills(df: DataFrame, skills: str, taxonomy: DataFrame, out: str = "valid_skills", **kw) -> DataFrame:
     """Canonical skills found in the taxonomy; order and repeats kept."""
-    tagged = with_buckets(df, key, skills, taxonomy, "_tagged", **kw)
+    tagged = with_buckets(df, skills, taxonomy, "_tagged", **kw)
     return tagged.withColumn(out, names(F.col("_tagged"))).drop("_tagged")
 
 
-def classify_skills(
-    df: DataFrame, key: str, skills: str, taxonomy: DataFrame, out: str = "skills", **kw
-) -> DataFrame:
+def classify_skills(df: DataFrame, skills: str, taxonomy: DataFrame, out: str = "skills", **kw) -> DataFrame:
     """struct(technical, tools, soft, unknown) of each row's skills."""
-    tagged = with_buckets(df, key, skills, taxonomy, "_tagged", **kw)
+    tagged = with_buckets(df, skills, taxonomy, "_tagged", **kw)
     t = F.col("_tagged")
     unknown = F.transform(F.filter(t, lambda e: e["bucket"].isNull()), lambda e: e["skill"])
     return tagged.withColumn(

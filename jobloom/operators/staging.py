@@ -10,12 +10,12 @@ RAW_KEY = ("source", "external_id")
 
 
 def first_copies(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key, the first in `order`.
+    """One row per key, the first in `order`; rows that tie there are ordered by a hash of all they hold.
 
-    The row_number limit is applied in each task before the shuffle, so a key with
+    Rows that still tie are the same, so any of them will do. The row_number limit is applied in each task before the shuffle, so a key with
     a third of all rows travels as one row per task.
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
+    w = Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*df.columns))
     return df.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == 1).drop("_n")
 
 
@@ -57,19 +57,21 @@ def clean_batch(
 
     completed: the row becomes a job. duplicate: its `_id` is a job already, or an
     earlier good row of the batch has it. failed: no external id, or unreadable.
-    `order` must be unique within an `_id`. Rows of `stage_raw` have each key once:
-    pass `unique` and the search for earlier rows is left out.
+    Earlier means before in (`order`, hash of the payload, place in the batch), nulls
+    first, which no two rows share. Rows of `stage_raw` have each key once: pass `unique`
+    and the search for earlier rows is left out.
     """
-    queued = raw.filter(F.col("status") == "queued").drop("status")
+    place = F.struct(F.col(order), F.xxhash64("payload"), F.monotonically_increasing_id())
+    queued = raw.filter(F.col("status") == "queued").drop("status").withColumn("_place", place)
     parsed = with_job_id(normalize(queued, as_of, sources), "raw_source", "external_id")
     no_id = F.coalesce(F.col("external_id"), F.lit("")) == ""
     parsed = parsed.withColumn(
         "error", F.when(no_id, F.lit("Missing externalId")).otherwise(F.col("error"))
     )
-    seen = jobs.select("_id", F.lit(True).alias("_known"), F.lit(None).cast(parsed.schema[order].dataType).alias("_first"))
+    seen = jobs.select("_id", F.lit(True).alias("_known"), F.lit(None).cast(parsed.schema["_place"].dataType).alias("_first"))
     if not unique:
         good = parsed.filter(F.col("error").isNull())
-        first = good.groupBy("_id").agg(F.min(order).alias("_first"))
+        first = good.groupBy("_id").agg(F.min("_place").alias("_first"))
         # one table, so one join: a run-time split of a hot key works on a single join only
         seen = (
             seen.unionByName(first.withColumn("_known", F.lit(False)))
@@ -77,7 +79,7 @@ def clean_batch(
             .agg(F.bool_or("_known").alias("_known"), F.min("_first").alias("_first"))
         )
     joined = parsed.join(seen, "_id", "left")
-    earlier = F.coalesce(F.col(order) > F.col("_first"), F.lit(False))
+    earlier = F.coalesce(F.col("_place") > F.col("_first"), F.lit(False))
     status = (
         F.when(no_id, "failed")
         .when(F.coalesce("_known", F.lit(False)) | earlier, "duplicate")
@@ -87,7 +89,7 @@ def clean_batch(
     return (
         joined.withColumn("raw_status", status)
         .withColumn("error", F.when(F.col("raw_status") == "failed", F.col("error")))
-        .drop("_known", "_first")
+        .drop("_known", "_first", "_place")
     )
 
 

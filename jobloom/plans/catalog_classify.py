@@ -48,7 +48,7 @@ _TERMS = f"""v_terms AS (
             WHERE t.p_partkey = p.p_partkey), '') AS valid_skills FROM part p""",
 )
 def valid_skills(spark, sf_dir):
-    out = skills.filter_valid_skills(padded_terms(spark, sf_dir), "p_partkey", "skills_raw", views.taxonomy(spark))
+    out = skills.filter_valid_skills(padded_terms(spark, sf_dir), "skills_raw", views.taxonomy(spark))
     return out.select("p_partkey", F.array_join("valid_skills", "|").alias("valid_skills"))
 
 
@@ -63,7 +63,7 @@ def valid_skills(spark, sf_dir):
     FROM v_terms LEFT JOIN v_taxonomy ON skill = term GROUP BY p_partkey""",
 )
 def classify_skills(spark, sf_dir):
-    out = skills.classify_skills(padded_terms(spark, sf_dir), "p_partkey", "skills_raw", views.taxonomy(spark))
+    out = skills.classify_skills(padded_terms(spark, sf_dir), "skills_raw", views.taxonomy(spark))
     return out.select(
         "p_partkey",
         *[F.array_join(f"skills.{b}", "|").alias(b) for b in ("technical", "tools", "soft", "unknown")],
@@ -266,8 +266,8 @@ branch AS (
   FROM facts),"""
 
 
-def _cascade_sql(modulus: int) -> str:
-    return f"""WITH {_CASCADE} {views.nearest_sql(modulus)},
+def _cascade_sql(times: int) -> str:
+    return f"""WITH {_CASCADE} {views.nearest_sql(times)},
     roled AS (
       SELECT b.*, CASE how WHEN 'no_data' THEN 'Others' WHEN 'title_priority' THEN title_role
         WHEN 'low_confidence_ml' THEN 'Data Scientist / ML Engineer' WHEN 'low_confidence_data' THEN 'Data Engineer'
@@ -284,7 +284,7 @@ def _cascade_sql(modulus: int) -> str:
 )
 def role_overlap_scores(spark, sf_dir):
     jobs = views.basket_view(spark, sf_dir)
-    jobs = skills.classify_skills(jobs, "job_key", "skills", views.taxonomy(spark), "classified")
+    jobs = skills.classify_skills(jobs, "skills", views.taxonomy(spark), "classified")
     jobs = jobs.select("job_key", "title", F.col("classified.technical").alias("technical"))
     counts = roles.overlap_counts(jobs, "job_key", "technical", views.role_skill(spark))
     titles = views.title_view(spark, sf_dir)
@@ -292,28 +292,28 @@ def role_overlap_scores(spark, sf_dir):
     return counts.join(titles, "job_key").select("job_key", "role", "matched", F.round(score, 6).alias("score"))
 
 
-def cascade(spark: SparkSession, sf_dir: str, modulus: int = 480) -> DataFrame:
+def cascade(spark: SparkSession, sf_dir: str, times: int = 1) -> DataFrame:
     return roles.find_role(
         views.basket_view(spark, sf_dir), "job_key", "title", "skills",
         views.taxonomy(spark), views.role_skill(spark),
-        views.role_vec(spark, sf_dir), views.job_vectors(spark, sf_dir, modulus),
+        views.role_vec(spark, sf_dir), views.job_vectors(spark, sf_dir, times),
     )
 
 
-@query("find_role_cascade", _cascade_sql(480) + " SELECT job_key, role, extracted_by FROM roled")
+@query("find_role_cascade", _cascade_sql(1) + " SELECT job_key, role, extracted_by FROM roled")
 def find_role_cascade(spark, sf_dir):
     return cascade(spark, sf_dir).select("job_key", "role", "extracted_by")
 
 
-@query("find_role_defaults", _cascade_sql(3000) + " SELECT job_key, role, extracted_by FROM roled")
+@query("find_role_defaults", _cascade_sql(6) + " SELECT job_key, role, extracted_by FROM roled")
 def find_role_defaults(spark, sf_dir):
-    out = roles.with_role_defaults(cascade(spark, sf_dir, 3000))
+    out = roles.with_role_defaults(cascade(spark, sf_dir, 6))
     return out.select("job_key", "role", "extracted_by")
 
 
 @query(
     "unmatched_role_skills",
-    _cascade_sql(480)
+    _cascade_sql(1)
     + """ SELECT r.job_key, r.role, t.skill, r.title FROM roled r JOIN tech t USING (job_key)
     WHERE how = 'end' AND r.role IN (SELECT role FROM v_role_skill)
       AND NOT EXISTS (SELECT 1 FROM v_role_skill s WHERE s.role = r.role AND lower(s.skill) = t.skill)""",
@@ -326,13 +326,12 @@ def unmatched_role_skills(spark, sf_dir):
     "nearest_role_vector",
     f"""WITH {views.V_ROLE_VEC},
     s AS (SELECT e.vec_id, r.role, list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), r.vector) AS score, r.ord
-      FROM embeddings e, v_role_vec r WHERE e.vec_id >= {views.ROLE_VECTORS})
+      FROM embeddings e, v_role_vec r WHERE e.vec_id % {views.ROLE_EVERY} <> 0)
     SELECT vec_id, role, round(score, 6) AS score, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, ord) AS place
     FROM s QUALIFY place <= 3""",
 )
 def nearest_role_vector(spark, sf_dir):
-    vectors = views.table(spark, sf_dir, "embeddings").filter(F.col("vec_id") >= views.ROLE_VECTORS)
-    out = nearest_roles(vectors, "vec_id", "embedding", views.role_vec(spark, sf_dir), k=3)
+    out = nearest_roles(views.item_vectors(spark, sf_dir), "vec_id", "embedding", views.role_vec(spark, sf_dir), k=3)
     return out.withColumn("score", F.round("score", 6))
 
 

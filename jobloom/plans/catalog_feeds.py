@@ -11,7 +11,7 @@ from jobloom.operators.normalize import graph_safe
 from jobloom.plans import views
 from jobloom.plans.catalog_graph import _CYCLE_SQL, graph_jobs
 from jobloom.plans.catalog_records import payloads
-from jobloom.plans.cycle import run_cycle
+from jobloom.plans.cycle import job_nodes_with_age, outcomes, publish_jobs, retain, run_cycle, stage_source
 from jobloom.plans.registry import query
 from jobloom.session import scratch_dir
 from jobloom.sources import readers, sinks
@@ -145,36 +145,73 @@ def jobs_write_roundtrip(spark, sf_dir):
     return sinks.read_batches(spark, path, schema)
 
 
-_GRAPH_COUNTS = """
-    SELECT 'node_job' AS table_name, count(*) AS n FROM orders
-    UNION ALL SELECT 'node_role', count(DISTINCT o_orderpriority) FROM orders
-    UNION ALL SELECT 'node_company', count(DISTINCT o_custkey) FROM orders WHERE o_orderkey % 8 <> 0
-    UNION ALL SELECT 'node_skill', count(DISTINCT o_orderkey % 11) FROM orders
-    UNION ALL SELECT 'node_tool', count(DISTINCT o_orderkey % 6) FROM orders
-    UNION ALL SELECT 'node_salary', count(DISTINCT floor(o_totalprice / 10000)) FROM orders WHERE o_orderkey % 4 <> 0 AND o_orderkey % 9 <> 0
-    UNION ALL SELECT 'edge_maps_to', count(*) FROM orders
-    UNION ALL SELECT 'edge_posted_by', count(*) FROM orders WHERE o_orderkey % 8 <> 0
-    UNION ALL SELECT 'edge_requires', count(*) FROM orders
-    UNION ALL SELECT 'edge_uses_tool', count(*) FROM orders
-    UNION ALL SELECT 'edge_offers_salary', count(*) FROM orders WHERE o_orderkey % 4 <> 0 AND o_orderkey % 9 <> 0"""
-
-
-def graph_counts(tables: dict[str, DataFrame]) -> DataFrame:
+def _graph_sql(written: str, seq: str) -> str:
+    """Every node and edge of the whole-salary jobs as (table_name, row): all values, as text."""
+    low = "floor(o_totalprice / 10000) * 10000"
+    return f"""
+    WITH whole AS (SELECT * FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 4 = 0 OR o_orderkey % 9 <> 0),
+    salary AS (SELECT {low} AS low, {seq} AS seq, o_orderkey AS k FROM whole WHERE o_orderkey % 4 <> 0),
+    last_salary AS (SELECT low, max_by(k, seq) AS k FROM salary GROUP BY low),
+    last_role AS (SELECT o_orderpriority AS role, max_by(o_orderkey, {seq}) AS k FROM whole GROUP BY 1)
+    SELECT 'node_job' AS table_name, concat_ws('|', o_orderkey, 'Job ' || o_orderkey, o_orderstatus, '/job/' || o_orderkey, {written}, o_orderkey % 7, o_orderkey % 7 + 2) AS row FROM whole
+    UNION ALL SELECT 'node_role', concat_ws('|', role, CASE WHEN k % 3 = 0 THEN 'senior' ELSE 'entry' END) FROM last_role
+    UNION ALL SELECT DISTINCT 'node_company', c_name FROM whole WHERE o_orderkey % 8 <> 0
+    UNION ALL SELECT DISTINCT 'node_skill', 'skill' || (o_orderkey % 11) FROM whole
+    UNION ALL SELECT DISTINCT 'node_tool', 'tool' || (o_orderkey % 6) FROM whole
+    UNION ALL SELECT 'node_salary', concat_ws('|', low::BIGINT, (low * 2)::BIGINT, CASE WHEN k % 2 = 0 THEN 'USD' ELSE 'INR' END, CASE WHEN k % 5 = 0 THEN 'monthly' ELSE 'year' END) FROM last_salary
+    UNION ALL SELECT 'edge_maps_to', concat_ws('|', o_orderkey, o_orderpriority) FROM whole
+    UNION ALL SELECT 'edge_posted_by', concat_ws('|', o_orderkey, c_name) FROM whole WHERE o_orderkey % 8 <> 0
+    UNION ALL SELECT 'edge_requires', concat_ws('|', o_orderkey, 'skill' || (o_orderkey % 11)) FROM whole
+    UNION ALL SELECT 'edge_uses_tool', concat_ws('|', o_orderkey, 'tool' || (o_orderkey % 6)) FROM whole
+    UNION ALL SELECT 'edge_offers_salary', concat_ws('|', k, low::BIGINT, (low * 2)::BIGINT) FROM salary"""
+
+
+def graph_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, row): every node and edge with its values as text."""
+    whole = lambda c: F.col(c).cast("bigint").cast("string")
+    shown = {
+        "node_job": ["job_key", "title", "source", "source_url", F.to_date("created_at").cast("string"), "min_experience", "max_experience"],
+        "node_role": ["role_title", "difficulty_level"],
+        "node_salary": [whole("min"), whole("max"), "currency", "period"],
+        "edge_offers_salary": ["job_key", whole("min"), whole("max")],
+    }
     out = None
     for name, df in tables.items():
-        n = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n")
-        out = n if out is None else out.unionByName(n)
+        columns = [F.col(c) if isinstance(c, str) else c for c in shown.get(name, graph.KEYS[name])]
+        rows = df.select(F.lit(name).alias("table_name"), F.concat_ws("|", *columns).alias("row"))
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
-@query("graph_write_roundtrip", _GRAPH_COUNTS)
+def written_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Graph jobs with a write time that runs against their key."""
+    return graph_safe(graph_jobs(spark, sf_dir)).withColumn("updated_at", F.timestamp_seconds(F.lit(2_000_000_000) - F.col("_id")))
+
+
+@query(
+    "graph_write_roundtrip",
+    _graph_sql("CASE WHEN o_orderkey % 2 = 0 OR o_orderkey % 3 = 0 THEN '2001-08-02' ELSE '2001-08-01' END", "struct_pack(b := o_orderkey % 2 = 0 OR o_orderkey % 3 = 0, t := -o_orderkey)"),
+)
 def graph_write_roundtrip(spark, sf_dir):
-    """Two overlapping batches written, the current state read back."""
+    """Two overlapping batches and one that was never marked as whole; the current state read back."""
     root = scratch_dir(spark, "graph")
-    jobs = graph_safe(graph_jobs(spark, sf_dir))
+    jobs = written_jobs(spark, sf_dir)
     sinks.write_graph(graph.build_graph(jobs.filter("_id % 3 <> 0"), "2001-08-01"), root, 0)
     sinks.write_graph(graph.build_graph(jobs.filter("_id % 2 = 0 OR _id % 3 = 0"), "2001-08-02"), root, 1)
-    return graph_counts(sinks.read_graph(spark, root))
+    half = graph.build_graph(jobs.withColumn("job_title", F.lit("half written")), "2001-08-03")
+    sinks.write_batch(half["node_job"], f"{root}/node_job", 2)
+    return graph_rows(sinks.read_graph(spark, root))
+
+
+@query("graph_state", _graph_sql("CASE WHEN o_orderkey % 2 = 0 OR o_orderkey % 3 = 0 THEN '2001-08-02' ELSE '2001-08-01' END", "struct_pack(b := o_orderkey % 2 = 0 OR o_orderkey % 3 = 0, t := -o_orderkey)"))
+def graph_state(spark, sf_dir):
+    """The same two batches upserted into a state, with a third version that was never marked as whole."""
+    root = scratch_dir(spark, "state")
+    jobs = written_jobs(spark, sf_dir)
+    for batch, (rows, day) in enumerate((("_id % 3 <> 0", "2001-08-01"), ("_id % 2 = 0 OR _id % 3 = 0", "2001-08-02"))):
+        sinks.upsert_state(spark, graph.build_graph(jobs.filter(rows), day), graph.KEYS, root, batch)
+    sinks.write_batch(spark.range(5).select(F.col("id").alias("job_key")), f"{root}/node_job", 2)
+    return graph_rows({name: sinks.read_state(spark, root, name) for name in graph.KEYS})
 
 
 # ---- streams: run over all available files, results read back ----
@@ -201,16 +238,25 @@ _STREAM_ROLE = "CASE o_orderkey % 4 WHEN 0 THEN 'Frontend Developer' WHEN 1 THEN
 @query(
     "stream_clean",
     f"""SELECT sha256('naukri' || o_orderkey) AS _id, 'Job ' || o_orderkey AS job_title, {_STREAM_ROLE} AS role_title,
-      (['react|javascript|css', 'sql|kafka', '', ''])[CAST(o_orderkey % 4 AS INT) + 1] AS technical
+      (['react|javascript|css', 'sql|kafka', '', ''])[CAST(o_orderkey % 4 AS INT) + 1] AS technical, 1 AS n_completed,
+      CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS n_duplicate
     FROM orders WHERE o_orderkey % 13 <> 0""",
 )
 def stream_clean(spark, sf_dir):
+    """Records arrive as a stream; a fifth of them lands twice with the same time, or none. Jobs with the outcomes of their records."""
     root = scratch_dir(spark, "clean")
-    landing(payloads(spark, sf_dir, "naukri"), f"{root}/landing")
-    raw = streams.file_stream(spark, f"{root}/landing", schemas.RAW, maxFilesPerTrigger=2)
-    streams.clean_stream(raw, dictionaries(spark), root, "2001-08-01", ["naukri"]).awaitTermination()
+    raw = payloads(spark, sf_dir, "naukri")
+    raw = raw.withColumn("created_at", F.when(F.col("external_id") % 10 != 0, F.col("created_at")))
+    landing(raw.unionByName(raw.filter(F.col("external_id") % 5 == 0)), f"{root}/landing")
+    read = streams.file_stream(spark, f"{root}/landing", schemas.RAW, maxFilesPerTrigger=2)
+    streams.clean_stream(read, dictionaries(spark), root, "2001-08-01", ["naukri"]).awaitTermination()
     jobs = sinks.read_batches(spark, f"{root}/jobs", schemas.JOB)
-    return jobs.select("_id", "job_title", "role_title", F.array_join("skills.technical", "|").alias("technical"))
+    seen = spark.read.parquet(f"{root}/cleaned").groupBy("_id").agg(
+        F.count_if(F.col("raw_status") == "completed").alias("n_completed"), F.count_if(F.col("raw_status") == "duplicate").alias("n_duplicate")
+    )
+    return jobs.join(seen, "_id").select(
+        "_id", "job_title", "role_title", F.array_join("skills.technical", "|").alias("technical"), "n_completed", "n_duplicate"
+    )
 
 
 @query("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
@@ -276,32 +322,178 @@ def stream_mark(spark, sf_dir):
     return staged.select("event_id", latest.alias("max_date"))
 
 
-@query("stream_graph", _GRAPH_COUNTS)
+@query("stream_graph", _graph_sql("'2001-08-01'", "-o_orderkey"))
 def stream_graph(spark, sf_dir):
+    """Jobs land in the order of their write times, so later batches hold later writes."""
     root = scratch_dir(spark, "stream-graph")
-    landing(graph_jobs(spark, sf_dir), f"{root}/landing")
+    jobs = written_jobs(spark, sf_dir)
+    jobs.repartitionByRange(4, "updated_at").sortWithinPartitions("updated_at").write.parquet(f"{root}/landing")
     schema = spark.read.parquet(f"{root}/landing").schema
-    jobs = streams.file_stream(spark, f"{root}/landing", schema, maxFilesPerTrigger=2)
-    streams.graph_stream(jobs, root, "2001-08-01").awaitTermination()
-    return graph_counts(sinks.read_graph(spark, f"{root}/graph"))
+    read = streams.file_stream(spark, f"{root}/landing", schema)
+    streams.graph_stream(read, root, "2001-08-01").awaitTermination()
+    return graph_rows(sinks.read_graph(spark, f"{root}/graph"))
 
 
-_FOUNDIT_DATED = "count_if(o_orderkey % 10 <> 0)"
+# Jobs of a cycle over both feeds, as the graph and the analytics see them.
+_CYCLE_JOBS = f"""
+    made AS (
+      SELECT 'foundit' AS source, o_orderkey AS k, 'Others' AS role, unnest(['react', 'sql']) AS skill, o_orderkey % 10 <> 0 AS dated FROM orders
+      UNION ALL
+      SELECT 'naukri', o_orderkey, {_STREAM_ROLE}, unnest(CASE o_orderkey % 4 WHEN 0 THEN ['react', 'javascript', 'css'] WHEN 1 THEN ['sql', 'kafka'] ELSE [] END), true
+      FROM orders WHERE o_orderkey % 13 <> 0),
+    feed AS (
+      SELECT 'foundit' AS source, o_orderkey AS k, o_orderkey % 10 <> 0 AS dated FROM orders
+      UNION ALL SELECT 'naukri', o_orderkey, true FROM orders WHERE o_orderkey % 13 <> 0)"""
 
 
 @query(
     "run_cycle_counts",
-    f"""WITH o AS (SELECT count(*) AS n, count_if(o_orderkey % 13 <> 0) AS good, {_FOUNDIT_DATED} AS dated FROM orders)
+    f"""WITH {_CYCLE_JOBS},
+    roled AS (SELECT DISTINCT f.source, f.k, CASE WHEN f.source = 'naukri' THEN (SELECT {_STREAM_ROLE} FROM orders WHERE o_orderkey = f.k) END AS role FROM feed f),
+    links AS (SELECT DISTINCT role, skill FROM made)
     SELECT step, 'ok' AS outcome, CAST(n_rows AS BIGINT) AS n_rows FROM (
-      SELECT 'stage:foundit' AS step, n AS n_rows FROM o UNION ALL SELECT 'stage:naukri', n FROM o
-      UNION ALL SELECT 'clean', n + good FROM o UNION ALL SELECT 'ingest', n + good FROM o
-      UNION ALL SELECT 'analytics', 5 UNION ALL SELECT 'role_skill_links', 7 UNION ALL SELECT 'skill_demand', 5
-      UNION ALL SELECT 'role_stats', 4 UNION ALL SELECT 'hours_old', good + dated FROM o
-      UNION ALL SELECT 'total_links', 7 UNION ALL SELECT 'report', n + good FROM o)""",
+      SELECT 'stage:foundit' AS step, count(*) AS n_rows FROM orders UNION ALL SELECT 'stage:naukri', count(*) FROM orders
+      UNION ALL SELECT 'clean', count(*) FROM feed UNION ALL SELECT 'ingest', count(*) FROM feed
+      UNION ALL SELECT 'role_skill_links', count(*) FROM links UNION ALL SELECT 'skill_demand', count(DISTINCT skill) FROM made
+      UNION ALL SELECT 'hours_old', count(*) FROM feed WHERE dated
+      UNION ALL SELECT 'total_links', count(*) FROM links UNION ALL SELECT 'report', count(*) FROM feed)""",
 )
 def run_cycle_counts(spark, sf_dir):
     fetched = {s: payloads(spark, sf_dir, s) for s in ("foundit", "naukri")}
     status = run_cycle(
         spark, "AFTERNOON", "2001-08-01 10:00:00", fetched, dictionaries(spark), scratch_dir(spark, "cycle")
     )
-    return status.select("step", "outcome", "n_rows")
+    return status.filter(~F.col("step").isin("analytics", "role_stats")).select("step", "outcome", "n_rows")
+
+
+@query(
+    "cycle_recovers",
+    f"""SELECT sha256('naukri' || o_orderkey) AS _id, 'Job ' || o_orderkey AS job_title, {_STREAM_ROLE} AS role_title, 1 AS batch,
+      'failed|ok' AS clean_steps FROM orders WHERE o_orderkey % 13 <> 0""",
+)
+def cycle_recovers(spark, sf_dir):
+    """The clean step of the first cycle fails; the next one, which stages nothing, cleans its records."""
+    root = scratch_dir(spark, "recovers")
+    raw = payloads(spark, sf_dir, "naukri")
+    sound = dictionaries(spark)
+    broken = Dictionaries(sound.taxonomy.drop("bucket"), sound.role_skill)
+    steps = [
+        run_cycle(spark, "AFTERNOON", f"2001-08-0{day} 10:00:00", {"naukri": raw}, d, root, batch).filter("step = 'clean'").first()["outcome"]
+        for batch, (day, d) in enumerate(((1, broken), (2, sound)))
+    ]
+    jobs = sinks.read_batches(spark, f"{root}/jobs", schemas.JOB)
+    return jobs.select("_id", "job_title", "role_title", "batch", F.lit("|".join(steps)).alias("clean_steps"))
+
+
+@query(
+    "retention_rows",
+    """SELECT 'raw' AS kind, CAST(o_orderkey AS VARCHAR) AS id, 'failed' AS status FROM orders WHERE o_orderkey % 13 = 0
+    UNION ALL SELECT 'raw', CAST(o_orderkey AS VARCHAR), 'queued' FROM orders WHERE o_orderkey % 13 <> 0 AND o_orderkey % 2 = 1""",
+)
+def retention_rows(spark, sf_dir):
+    """What a clean-up keeps after a cycle over the even records, with the odd ones staged and not yet cleaned.
+
+    All jobs went into the graph, so none stays; records that failed and queued ones do.
+    """
+    root = scratch_dir(spark, "retention")
+    raw = payloads(spark, sf_dir, "naukri")
+    early = raw.filter("external_id % 2 = 0 OR external_id % 13 = 0")
+    run_cycle(spark, "AFTERNOON", "2001-08-01 10:00:00", {"naukri": early}, dictionaries(spark), root, 0)
+    stage_source(raw, "naukri", root, 1)
+    kept, jobs = retain(spark, ("naukri",), root)
+    rows = kept.select(F.lit("raw").alias("kind"), F.col("external_id").alias("id"), "status")
+    return rows.unionByName(jobs.select(F.lit("job").alias("kind"), F.col("_id").alias("id"), F.lit("pending").alias("status")))
+
+
+@query(
+    "cycle_again",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS external_id, 'failed' AS status, 2 AS n_read FROM orders WHERE o_orderkey % 13 = 0
+    UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'completed', 1 FROM orders WHERE o_orderkey % 13 <> 0""",
+)
+def cycle_again(spark, sf_dir):
+    """Failed records are read again only by the cycle that asks for them; the others once."""
+    root = scratch_dir(spark, "again")
+    raw = payloads(spark, sf_dir, "naukri")
+    for batch, again in enumerate(((), (), ("naukri",))):
+        run_cycle(spark, "AFTERNOON", f"2001-08-0{batch + 1} 10:00:00", {"naukri": raw}, dictionaries(spark), root, batch, again)
+    read = spark.read.parquet(f"{root}/cleaned").groupBy("external_id").agg(F.count("*").alias("n_read"))
+    return outcomes(spark, root).join(read, "external_id").select("external_id", "status", "n_read")
+
+
+_LINKS = """
+    WITH skills AS (
+      SELECT o_orderkey AS k, CASE o_orderkey % 4 WHEN 0 THEN 'Frontend Developer' ELSE 'Data Engineer' END AS role,
+        unnest(CASE o_orderkey % 4 WHEN 0 THEN ['react', 'javascript', 'css'] ELSE ['sql', 'kafka'] END) AS skill
+      FROM orders WHERE o_orderkey % 13 <> 0 AND o_orderkey % 4 < 2)"""
+
+
+@query(
+    "cycle_analytics",
+    f"""{_LINKS},
+    once AS (SELECT role, skill, count(*) AS n, count(*) FILTER (k % 2 = 0) AS early FROM skills GROUP BY ALL)
+    SELECT 'link' AS kind, role || '|' || skill AS name, n, '2001-09-30' AS day FROM once
+    UNION ALL SELECT 'demand', skill, sum(CASE WHEN early > 0 THEN early ELSE n END)::BIGINT,
+      CASE WHEN max(early) > 0 THEN '2001-08-01' ELSE '2001-09-30' END FROM once GROUP BY skill
+    UNION ALL SELECT 'aged jobs', '', count(*), '' FROM orders WHERE o_orderkey % 13 <> 0""",
+)
+def cycle_analytics(spark, sf_dir):
+    """Two cycles 60 days apart. Graph jobs of the first have run out by the second: their links are
+    counted again, their skills are in demand no more and keep the number and the time of the first cycle, and
+    job nodes keep the age they were last given."""
+    root = scratch_dir(spark, "analytics")
+    raw = payloads(spark, sf_dir, "naukri")
+    for batch, (day, rows) in enumerate((("2001-08-01", "external_id % 2 = 0"), ("2001-09-30", "true"))):
+        run_cycle(spark, "AFTERNOON", f"{day} 10:00:00", {"naukri": raw.filter(rows)}, dictionaries(spark), root, batch)
+    state = lambda name: sinks.read_state(spark, f"{root}/analytics_state", name)
+    day = lambda c: F.to_date(c).cast("string").alias("day")
+    links = state("role_skill_links").select(F.lit("link").alias("kind"), F.concat_ws("|", "role_title", "skill").alias("name"), F.col("frequency").alias("n"), day("last_updated"))
+    demand = state("skill_demand").select(F.lit("demand").alias("kind"), F.col("skill").alias("name"), F.col("demand_count").alias("n"), day("last_analyzed"))
+    aged = job_nodes_with_age(spark, root).filter("hours_old IS NOT NULL").agg(F.count("*").alias("n"))
+    return links.unionByName(demand).unionByName(aged.select(F.lit("aged jobs").alias("kind"), F.lit("").alias("name"), "n", F.lit("").alias("day")))
+
+
+@query(
+    "publish_cycle",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS job_id, CASE WHEN o_orderkey % 2 = 0 THEN 0 ELSE 1 END AS batch FROM orders WHERE o_orderkey % 13 <> 0",
+)
+def publish_cycle(spark, sf_dir):
+    """Jobs published once each, by the first publish step after they were made."""
+    root = scratch_dir(spark, "publish")
+    raw = payloads(spark, sf_dir, "naukri")
+    for batch, rows in enumerate(("external_id % 2 = 0", "true")):
+        run_cycle(spark, "AFTERNOON", f"2001-08-0{batch + 1} 10:00:00", {"naukri": raw.filter(rows)}, dictionaries(spark), root, batch)
+        publish_jobs(spark, root, batch)
+    return sinks.read_batches(spark, f"{root}/published", "job_id STRING")
+
+
+@query(
+    "read_raw_files",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS external_id, 'Job ' || o_orderkey AS title, f AS fmt FROM orders, (VALUES ('json'), ('parquet')) t(f)",
+)
+def read_raw_files(spark, sf_dir):
+    root = scratch_dir(spark, "raw-files")
+    raw = payloads(spark, sf_dir, "naukri")
+    out = None
+    for fmt in ("json", "parquet"):
+        raw.write.format(fmt).save(f"{root}/{fmt}")
+        rows = readers.read_raw(spark, f"{root}/{fmt}", fmt).select("external_id", F.get_json_object("payload", "$.title").alias("title"), F.lit(fmt).alias("fmt"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query(
+    "explode_feed_envelopes",
+    """SELECT s AS source, CAST(o_orderkey AS VARCHAR) AS external_id FROM orders,
+      (VALUES ('naukri'), ('foundit'), ('instahyre'), ('internshala'), ('internshala-internships'), ('hirist')) t(s) WHERE o_orderkey > 0""",
+)
+def explode_feed_envelopes(spark, sf_dir):
+    """Pages of 50 records in the envelope of each source."""
+    key = F.col("o_orderkey")
+    record = F.struct(key.alias("id"), key.alias("jobId"))
+    pages = views.table(spark, sf_dir, "orders").filter(key > 0).groupBy(F.floor(key / 50).alias("page")).agg(F.collect_list(record).alias("records"))
+    out = None
+    for source, names in schemas.FEED_KEYS.items():
+        body = F.to_json(F.struct(F.col("records").alias(names[0])))
+        rows = readers.explode_feed(pages.select("page", body.alias("body")), source).select("source", "external_id")
+        out = rows if out is None else out.unionByName(rows)
+    return out

@@ -91,7 +91,6 @@ SKILL_TEXTS = [" React, javascript ,CSS,,", "sql,kafka", "", "Communication"]
 def payloads(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     """(source, external_id, payload, status, created_at) of one source, from orders."""
     o = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    o = views.spread(o)
     k = F.col("o_orderkey")
     kt = k.cast("string")
     day = F.col("o_orderdate")

@@ -17,16 +17,6 @@ def pick(values: list, n: Column) -> Column:
     return F.get(text_array(values), n.cast("int"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A table that arrives in one piece, dealt out to all cores for CPU-bound work.
-
-    Tables in more pieces are left alone: at size there is nothing to deal out.
-    """
-    if df.rdd.getNumPartitions() > 1:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def literal(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
     """A small dictionary as a local relation, whose size the planner knows."""
     return spark.sql(f"SELECT * FROM VALUES {sql_rows(rows)} AS t({columns})")
@@ -131,8 +121,7 @@ V_ARRIVALS = """v_arrivals AS (
 
 def title_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
-    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey"))
-    return orders.select(
+    return table(spark, sf_dir, "orders").select(
         key.alias("job_key"), pick(TITLES, key % len(TITLES)).alias("title")
     )
 
@@ -183,42 +172,49 @@ def role_skill(spark: SparkSession) -> DataFrame:
 V_ROLE_SKILL = f"""v_role_skill AS (
   SELECT * FROM (VALUES {sql_rows(ROLE_ROWS)}) t(role, role_ord, skill))"""
 
-ROLE_VECTORS = 20
+#: Every so many vectors stands for a role; all others are vectors of jobs.
+ROLE_EVERY = 25
 ROLE_NAMES = list(ROLE_SKILLS)
 
 
 def role_vec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first vectors stand for roles: known roles first, then invented ones."""
-    v = table(spark, sf_dir, "embeddings").filter(F.col("vec_id") < ROLE_VECTORS)
-    name = F.coalesce(pick(ROLE_NAMES, F.col("vec_id")), F.concat(F.lit("Role "), F.col("vec_id").cast("string")))
-    return v.select(
-        name.alias("role"), F.col("vec_id").alias("ord"), F.col("embedding").cast("array<double>").alias("vector")
+    """Known roles first, then invented ones."""
+    place = (F.col("vec_id") / ROLE_EVERY).cast("bigint")
+    name = F.coalesce(pick(ROLE_NAMES, place), F.concat(F.lit("Role "), place.cast("string")))
+    return table(spark, sf_dir, "embeddings").filter(F.col("vec_id") % ROLE_EVERY == 0).select(
+        name.alias("role"), place.alias("ord"), F.col("embedding").cast("array<double>").alias("vector")
     )
 
 
 V_ROLE_VEC = f"""v_role_vec AS (
-  SELECT coalesce(({sql_list(ROLE_NAMES)})[CAST(vec_id AS INT) + 1], 'Role ' || vec_id) AS role, vec_id AS ord,
-         CAST(embedding AS DOUBLE[]) AS vector
-  FROM embeddings WHERE vec_id < {ROLE_VECTORS})"""
+  SELECT coalesce(({sql_list(ROLE_NAMES)})[CAST(vec_id // {ROLE_EVERY} AS INT) + 1], 'Role ' || (vec_id // {ROLE_EVERY})) AS role,
+         vec_id // {ROLE_EVERY} AS ord, CAST(embedding AS DOUBLE[]) AS vector
+  FROM embeddings WHERE vec_id % {ROLE_EVERY} = 0)"""
+
+
+def item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors that do not stand for a role."""
+    return table(spark, sf_dir, "embeddings").filter(F.col("vec_id") % ROLE_EVERY != 0)
 
 
-def job_vectors(spark: SparkSession, sf_dir: str, modulus: int = 480) -> DataFrame:
-    """(key, vector) per job; a modulus over the table leaves gaps."""
-    v = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
+def job_vectors(spark: SparkSession, sf_dir: str, times: int = 1) -> DataFrame:
+    """(key, vector): jobs go round the whole table; role vectors, and numbers past the table for `times` > 1, leave gaps."""
+    v = item_vectors(spark, sf_dir).select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
+    size = table(spark, sf_dir, "embeddings").agg(F.max("vec_id") + 1).scalar()
     o = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("key"), (F.col("o_orderkey") % modulus + ROLE_VECTORS).alias("vec_id")
+        F.col("o_orderkey").alias("key"), (F.col("o_orderkey") % (size * times)).alias("vec_id")
     )
     return o.join(v, "vec_id").select("key", "vector")
 
 
-def nearest_sql(modulus: int = 480) -> str:
+def nearest_sql(times: int = 1) -> str:
     """CTEs ending in v_near(job_key, role)."""
     return f"""{V_ROLE_VEC},
 v_scored AS (
   SELECT e.vec_id, r.role, row_number() OVER (
            PARTITION BY e.vec_id
            ORDER BY list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), r.vector) DESC, r.ord) AS place
-  FROM embeddings e, v_role_vec r WHERE e.vec_id >= {ROLE_VECTORS}),
+  FROM embeddings e, v_role_vec r WHERE e.vec_id % {ROLE_EVERY} <> 0),
 v_near AS (
   SELECT o_orderkey AS job_key, s.role
-  FROM orders JOIN v_scored s ON s.vec_id = o_orderkey % {modulus} + {ROLE_VECTORS} AND s.place = 1)"""
+  FROM orders JOIN v_scored s ON s.vec_id = o_orderkey % ((SELECT max(vec_id) + 1 FROM embeddings) * {times}) AND s.place = 1)"""

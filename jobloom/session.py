@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -38,12 +39,12 @@ def get_spark(app: str = "jobloom", master: str | None = None, **conf: str) -> S
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the checkpoint folder shared by the cluster.
 
-    The folder comes from `spark.checkpoint.dir`. Only a local session without
-    that setting falls back to a temporary folder of this machine.
+    The folder comes from `spark.checkpoint.dir`. A session of one process, in which the
+    driver runs all tasks, may do without the setting and gets a temporary folder; any other must set it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="jobloom-")
     return os.path.join(root.rstrip("/"), f"{label}-{uuid.uuid4().hex}")

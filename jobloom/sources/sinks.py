@@ -7,7 +7,8 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobloom.operators.graph import KEYS, latest
+from jobloom.operators.graph import KEYS, latest, upsert_snapshot
+from jobloom.operators.staging import first_copies
 from jobloom.sources.readers import read_or_empty
 
 # Tables of one graph batch written at the same time; they do not depend on each other.
@@ -32,35 +33,79 @@ def current(log: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def write_jobs(jobs: DataFrame, path: str, batch: int, existing: DataFrame | None = None) -> None:
-    """Append job rows whose `_id` is not there yet."""
+    """Append job rows whose `_id` is not there yet, each `_id` once."""
+    jobs = first_copies(jobs, ["_id"], ["_id"])
     fresh = jobs if existing is None else jobs.join(existing.select("_id"), "_id", "left_anti")
     write_batch(fresh, path, batch)
 
 
-def write_graph(graph: dict[str, DataFrame], root: str, batch: int) -> None:
-    """Append one batch of every node and edge table, a few tables at a time."""
+def commit(spark: SparkSession, root: str, batch: int) -> None:
+    """Mark a batch of the tables under `root` as whole; readers skip batches without the mark."""
+    write_batch(spark.range(1), f"{root}/_committed", batch)
+
+
+def committed(spark: SparkSession, root: str, before: int | None = None) -> list[int]:
+    """Numbers of the whole batches under `root`, in order: one small row per batch."""
+    marks = read_batches(spark, f"{root}/_committed", "id BIGINT", before).select("batch").distinct()
+    return sorted(r["batch"] for r in marks.collect())
+
+
+def _write_all(tables: dict[str, tuple[DataFrame, str]], batch: int) -> None:
     with ThreadPoolExecutor(WRITERS) as pool:
-        writes = [pool.submit(write_batch, df, f"{root}/{name}", batch) for name, df in graph.items()]
-        for write in writes:
+        for write in [pool.submit(write_batch, df, path, batch) for df, path in tables.values()]:
             write.result()
 
 
+def write_graph(graph: dict[str, DataFrame], root: str, batch: int) -> None:
+    """Append one batch of every node and edge table, a few tables at a time, and mark it as whole."""
+    _write_all({name: (df, f"{root}/{name}") for name, df in graph.items()}, batch)
+    commit(next(iter(graph.values())).sparkSession, root, batch)
+
+
 def read_graph(
     spark: SparkSession, root: str, names: list[str] | None = None, columns: dict[str, list[str]] | None = None
 ) -> dict[str, DataFrame]:
-    """Current state of node and edge tables; `columns` lists what is needed of a table.
+    """Current state of node and edge tables from the log of whole batches; `columns` lists what is needed of a table.
 
     Choose columns here and not later: the latest-row step carries all it is given.
     """
     chosen = columns or {}
+    whole = committed(spark, root)
     tables = {}
     for name in names or KEYS:
-        log = spark.read.parquet(f"{root}/{name}")
+        log = spark.read.parquet(f"{root}/{name}").filter(F.col("batch").isin(whole))
         wanted = dict.fromkeys([*KEYS[name], *chosen[name], "batch"]) if name in chosen else log.columns
         tables[name] = current(log.select(*wanted), KEYS[name])
     return tables
 
 
+def upsert_state(
+    spark: SparkSession, new: dict[str, DataFrame], keys: dict[str, list[str]], root: str, batch: int,
+    keep: dict[str, list[str]] | None = None,
+) -> None:
+    """Write the tables as they are after this batch: the last whole state before it with the rows of `new` put in.
+
+    One version per batch and one mark per version: a state half written is never
+    read, and running a batch again replaces its version. Tables without new rows are
+    carried over as they are; columns in `keep` that a new table lacks survive.
+    """
+    earlier = committed(spark, root, before=batch)
+    out = {}
+    for name, rows in new.items():
+        if earlier:
+            old = spark.read.parquet(f"{root}/{name}/batch={earlier[-1]}")
+            kept = [c for c in (keep or {}).get(name, []) if c in old.columns]
+            rows = upsert_snapshot(old, rows, keys[name], keep=kept)
+        out[name] = (rows, f"{root}/{name}")
+    _write_all(out, batch)
+    commit(spark, root, batch)
+
+
+def read_state(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table of the last whole state."""
+    return spark.read.parquet(f"{root}/{name}/batch={committed(spark, root)[-1]}")
+
+
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
     """Save an edge table bucketed by key, so joins on the key need no shuffle."""
     df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)

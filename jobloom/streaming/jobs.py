@@ -44,7 +44,7 @@ def clean_stream(
         done = read_batches(spark, f"{root}/jobs", schemas.JOB, before=batch_id)
         write_batch(clean_batch(batch, done, as_of=as_of, sources=sources), f"{root}/cleaned", batch_id)
         cleaned = spark.read.parquet(f"{root}/cleaned/batch={batch_id}")
-        good = first_copies(cleaned.filter(F.col("raw_status") == "completed"), ["_id"], ["created_at"])
+        good = cleaned.filter(F.col("raw_status") == "completed")
         write_batch(job_rows(good, dictionaries, as_of), f"{root}/jobs", batch_id)
 
     return _start(raw, f"{root}/_checkpoint_clean", step)
@@ -149,7 +149,7 @@ def metrics_stream(
     )
 
 
-def graph_stream(jobs: DataFrame, root: str, as_of, key: str = "_id", seq: str = "_id") -> StreamingQuery:
+def graph_stream(jobs: DataFrame, root: str, as_of, key: str = "_id", seq: Column | None = None) -> StreamingQuery:
     """Finished jobs to node and edge tables, one batch folder per table and micro-batch."""
 
     def step(batch: DataFrame, batch_id: int) -> None:

@@ -34,4 +34,5 @@ def test_entry_points(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).columns == ["role_title", "skill", "frequency", "rank"]
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.queries()) <= set(entry.queries()) and set(catalog.queries()) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())

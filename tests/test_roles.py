@@ -1,4 +1,4 @@
-"""The role cascade: golden rows, and the dictionary join agreeing with the lookup."""
+"""The role cascade: golden rows, and dictionaries in one part or many."""
 
 from __future__ import annotations
 
@@ -42,52 +42,96 @@ def tables(spark):
     return jobs, vectors, role_vec
 
 
-@pytest.mark.parametrize("max_entries", [100_000, 0])
+@pytest.mark.parametrize("part_entries", [100_000, 4])
 @pytest.mark.parametrize("partitions", [1, 5])
-def test_golden_rows(spark, tables, max_entries, partitions):
+def test_golden_rows(spark, tables, part_entries, partitions):
     jobs, vectors, role_vec = tables
     out = roles.find_role(
         jobs.repartition(partitions), "k", "title", "skills", views.taxonomy(spark), views.role_skill(spark),
-        role_vec, vectors, max_entries=max_entries,
+        role_vec, vectors, part_entries=part_entries,
     )
     got = {r["k"]: (r["role"], r["extracted_by"]) for r in out.collect()}
     assert got == {r[0]: r[3:] for r in GOLDEN}
 
 
-def test_lookup_and_join_agree_on_real_baskets(spark):
+def test_parts_agree_on_real_baskets(spark):
     jobs = views.basket_view(spark, "/root/testdata/sf0.001")
-    args = ("job_key", "title", "skills", views.taxonomy(spark), views.role_skill(spark))
-    inline = roles.decide(jobs, *args).select("job_key", "role", "extracted_by")
-    joined = roles.decide(jobs, *args, max_entries=0).select("job_key", "role", "extracted_by")
-    assert inline.exceptAll(joined).isEmpty() and joined.exceptAll(inline).isEmpty()
+    args = ("title", "skills", views.taxonomy(spark), views.role_skill(spark))
+    one = roles.decide(jobs, *args).select("job_key", "role", "extracted_by")
+    many = roles.decide(jobs, *args, part_entries=3).select("job_key", "role", "extracted_by")
+    assert one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty()
 
 
-def test_classify_by_lookup_and_join(spark):
+@pytest.mark.parametrize("part_entries", [100_000, 1])
+def test_classify_with_ties_and_repeated_keys(spark, part_entries):
+    """Rows that share a key stay apart; null precedence loses, a tie goes by name; parts change nothing."""
     df = spark.createDataFrame(
-        [(1, [" Python", "JIRA", "python", "nope", "communication "]), (2, []), (3, None)],
+        [(1, [" Python", "JIRA", "python", "nope", "communication "]), (2, []), (3, None), (4, ["react"]), (4, ["python", None])],
         "k int, s array<string>",
     )
-    for kw in ({}, {"max_entries": 0}):
-        rows = {r["k"]: r["skills"] for r in skills.classify_skills(df, "k", "s", views.taxonomy(spark), **kw).collect()}
-        assert rows[1].technical == ["python", "python"]
-        assert rows[1].tools == ["jira"] and rows[1].soft == ["communication"] and rows[1].unknown == ["nope"]
-        assert rows[2].technical == [] and rows[3].technical == []
+    taxonomy = spark.createDataFrame(
+        [("python", "technical", 0), ("python", "tools", 1), ("jira", "tools", None), ("jira", "soft", 7),
+         ("communication", "technical", 2), ("communication", "soft", 2), ("react", "technical", None)],
+        "skill string, bucket string, precedence int",
+    )
+    rows = skills.classify_skills(df, "s", taxonomy, part_entries=part_entries).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r["k"], []).append(r["skills"])
+    first = by[1][0]
+    assert first.technical == ["python", "python"] and first.tools == [] and first.unknown == ["nope"]
+    assert first.soft == ["jira", "communication"]
+    assert by[2][0].technical == [] and by[3][0].technical == []
+    assert sorted(x.technical for x in by[4]) == [["python"], ["react"]]
+
+
+@pytest.mark.parametrize("part_entries", [100_000, 1])
+def test_role_under_two_numbers_is_one_role(spark, part_entries):
+    role_skill = spark.createDataFrame(
+        [("Data Engineer", 5, "sql"), ("Data Engineer", 1, "kafka"), ("R", 2, "sql"), ("R", 2, "Sql"), ("R", 2, "x")],
+        "role string, role_ord int, skill string",
+    )
+    jobs = spark.createDataFrame([(1, "Engineer", ["sql", "kafka"])], "k int, title string, skills array<string>")
+    out = roles.decide(jobs, "title", "skills", views.taxonomy(spark), role_skill, part_entries=part_entries).first()
+    assert (out["role"], out["extracted_by"]) == ("Data Engineer", "skills_and_title")
+
+
+def test_repeated_vectors_and_embedder(spark, tables):
+    jobs, vectors, role_vec = tables
+    args = ("k", "title", "skills", views.taxonomy(spark), views.role_skill(spark), role_vec)
+    out = roles.find_role(jobs, *args, vectors.union(vectors))
+    assert out.count() == jobs.count()
+
+    def stub(texts: list[str]) -> list[list[float]]:
+        assert all(t for t in texts)
+        return [[1.0, 0.1] if "Keeper" in t else [0.0, 2.0] for t in texts]
 
+    got = {r["k"]: r["role"] for r in roles.find_role(jobs, *args, embedder=stub).filter("extracted_by = 'onet'").collect()}
+    assert got == {5: "Near", 16: "Far", 17: "Near"}
 
-@pytest.mark.parametrize("max_bytes", [64 * 1024 * 1024, 200])
-def test_nearest_against_brute_force(spark, max_bytes):
+
+def test_cascade_is_evaluated_once(spark, tables):
+    jobs, vectors, role_vec = tables
+    out = roles.find_role(jobs, "k", "title", "skills", views.taxonomy(spark), views.role_skill(spark), role_vec, vectors)
+    text = out._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("low_confidence_ml") == 1
+
+
+@pytest.mark.parametrize("block_bytes", [64 * 1024 * 1024, 70])
+def test_nearest_against_brute_force(spark, block_bytes):
     rng = np.random.default_rng(1)
     role_rows = rng.normal(size=(9, 4))
     query_rows = rng.normal(size=(30, 4))
     role_vec = spark.createDataFrame(
-        [(f"r{i}", i, [float(x) for x in v]) for i, v in enumerate(role_rows)], "role string, ord bigint, vector array<double>"
+        [(f"r{i}", i, [float(x) for x in v]) for i, v in enumerate(role_rows)] + [("null", 50, None), ("short", 51, [1.0])],
+        "role string, ord bigint, vector array<double>",
     )
     queries = spark.createDataFrame(
-        [(i, [float(x) for x in v]) for i, v in enumerate(query_rows)] + [(99, None), (100, [0.0] * 4)],
+        [(i, [float(x) for x in v]) for i, v in enumerate(query_rows)] + [(99, None), (100, [0.0] * 4), (None, None)],
         "k bigint, v array<double>",
     )
     got = {}
-    for r in nearest_roles(queries, "k", "v", role_vec, k=2, max_bytes=max_bytes, group_rows=7).collect():
+    for r in nearest_roles(queries, "k", "v", role_vec, k=2, block_bytes=block_bytes).collect():
         got.setdefault(r["k"], {})[r["place"]] = r["role"]
     unit = role_rows / np.linalg.norm(role_rows, axis=1, keepdims=True)
     scores = query_rows @ unit.T
