@@ -19,14 +19,22 @@ def first_copies(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == 1).drop("_n")
 
 
+def not_yet(fresh: DataFrame, history: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of `fresh` whose keys are not in `history`.
+
+    The history is first cut to the keys of `fresh`: next to a small increment, which
+    the planner can send to the history's tasks, none of the history is shuffled.
+    """
+    met = history.select(*keys).join(fresh.select(*keys), keys, "left_semi")
+    return fresh.join(met, keys, "left_anti")
+
+
 def stage_raw(
     new: DataFrame, existing: DataFrame, keys: tuple[str, ...] = RAW_KEY, order: tuple[str, ...] = ("created_at",)
 ) -> DataFrame:
     """New raw rows to append: first copy of each key that is not staged yet, status queued."""
     fresh = first_copies(new.filter(_all_present(keys)), list(keys), list(order))
-    return fresh.join(existing.select(*keys), list(keys), "left_anti").withColumn(
-        "status", F.lit("queued")
-    )
+    return not_yet(fresh, existing, list(keys)).withColumn("status", F.lit("queued"))
 
 
 def stage_counts(new: DataFrame, staged: DataFrame) -> DataFrame:

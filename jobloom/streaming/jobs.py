@@ -12,7 +12,7 @@ from jobloom.operators.feeds import next_mark, run_metrics, since
 from jobloom.operators.graph import build_graph
 from jobloom.operators.jobs import Dictionaries, job_rows
 from jobloom.operators.normalize import graph_safe
-from jobloom.operators.staging import clean_batch, first_copies
+from jobloom.operators.staging import clean_batch, first_copies, not_yet
 from jobloom.sources.readers import FIRST_MARK, MARKS
 from jobloom.sources.sinks import read_batches, write_batch, write_graph
 
@@ -78,7 +78,7 @@ def stage_stream(new: DataFrame, keys: list[str], order: str, root: str) -> Stre
 
     def step(batch: DataFrame, batch_id: int) -> None:
         staged = read_batches(batch.sparkSession, f"{root}/staged", schema, before=batch_id)
-        fresh = first_copies(batch, keys, [order]).join(staged.select(*keys), keys, "left_anti")
+        fresh = not_yet(first_copies(batch, keys, [order]), staged, keys)
         write_batch(fresh, f"{root}/staged", batch_id)
 
     return _start(new, f"{root}/_checkpoint_stage", step)
@@ -92,10 +92,9 @@ def mark_stream(new: DataFrame, feed: str, ts: str, keys: list[str], root: str)
         spark = batch.sparkSession
         marks = read_batches(spark, f"{root}/marks", MARKS, before=batch_id).filter(F.col("feed") == feed)
         old = marks.agg(F.coalesce(F.max("max_date"), dates.moment(FIRST_MARK))).first()[0]
-        staged = read_batches(spark, f"{root}/staged", schema, before=batch_id)
-        fresh = first_copies(since(batch, ts, old), keys, [ts]).join(
-            staged.select(*keys), keys, "left_anti"
-        )
+        # rows before the mark are not taken, so only history at or after it can hold a copy
+        staged = since(read_batches(spark, f"{root}/staged", schema, before=batch_id), ts, old)
+        fresh = not_yet(first_copies(since(batch, ts, old), keys, [ts]), staged, keys)
         write_batch(fresh, f"{root}/staged", batch_id)
         written = spark.read.parquet(f"{root}/staged/batch={batch_id}")
         mark = spark.range(1).select(F.lit(feed).alias("feed"), next_mark(written, ts, old).alias("max_date"))

@@ -112,6 +112,17 @@ def test_copies_are_cut_before_the_shuffle(spark):
     assert text.count("WindowGroupLimit") == 2 and partial > shuffle  # children print below
 
 
+def test_small_increment_leaves_the_history_in_place(spark, tmp_path):
+    history = spark.range(200_000).select(F.lit("s").alias("source"), F.col("id").cast("string").alias("external_id"))
+    history.write.parquet(f"{tmp_path}/history")
+    new = spark.range(199_990, 200_010).select(F.lit("s").alias("source"), F.col("id").cast("string").alias("external_id"), F.lit(None).cast("timestamp").alias("created_at"))
+    out = stage_raw(new, spark.read.parquet(f"{tmp_path}/history"))
+    assert sorted(int(r.external_id) for r in out.collect()) == list(range(200_000, 200_010))
+    out.write.format("noop").mode("overwrite").save()
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert any("BroadcastHashJoin" in line and "LeftSemi" in line for line in text.splitlines())
+
+
 def test_time_filter_reaches_the_scan(spark):
     events = views.table(spark, SF, "events").select(F.col("ts").alias("created_at"), F.col("event_type").alias("source"))
     text = plan(analytics.source_counts(events, "2024-01-05", "2024-01-06"))
