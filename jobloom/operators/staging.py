@@ -76,7 +76,10 @@ def clean_batch(
     parsed = parsed.withColumn(
         "error", F.when(no_id, F.lit("Missing externalId")).otherwise(F.col("error"))
     )
-    seen = jobs.select("_id", F.lit(True).alias("_known"), F.lit(None).cast(parsed.schema["_place"].dataType).alias("_first"))
+    # the history is cut to the ids of the batch, which need no parsing, before it meets the wide rows
+    ids = with_job_id(queued.select(*RAW_KEY), *RAW_KEY).select("_id")
+    known = jobs.select("_id").join(ids, "_id", "left_semi").distinct()
+    seen = known.select("_id", F.lit(True).alias("_known"), F.lit(None).cast(parsed.schema["_place"].dataType).alias("_first"))
     if not unique:
         good = parsed.filter(F.col("error").isNull())
         first = good.groupBy("_id").agg(F.min("_place").alias("_first"))
