@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -12,10 +14,15 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 PARTS = ["the", " cat", "\n", "\n\n", " \n", "é", "漢字", "\U0001f600", "'s", ".\n", "  ", "12", "<|endoftext|>", "x" * 40, " "]
 
 
-def offsets(text: str) -> list[tuple[int, int]]:
+@cache
+def library() -> Tokenizer:
     made = Tokenizer.from_file(PATH)
     made.encode_special_tokens = True
-    return made.encode(text, add_special_tokens=False).offsets
+    return made
+
+
+def offsets(text: str) -> list[tuple[int, int]]:
+    return library().encode(text, add_special_tokens=False).offsets
 
 
 def plain(text: str, bounds: list[int], rule: str) -> list[float]:
