@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobloom.llm import exactdedup, packing, secrets, simhash, toxicity
-from jobloom.llm.common import keep_rows, settle
+from jobloom.llm.common import keep_rows, settle, ship
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,6 +15,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Without labels of both classes nothing can be told apart and nothing goes.
     """
+    ship(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     if not isinstance(model, toxicity.Model):
         return docs
@@ -23,18 +24,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest doc_id goes on."""
+    ship(spark)
     found = exactdedup.deduplicate(spark, docs)
     return keep_rows(docs, found.where("kept").select("doc_id", "digest"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each SimHash component (3-word shingles, 3 bits), the row with the smallest doc_id goes on."""
+    ship(spark)
     found = simhash.near_duplicates(spark, docs, size=3)
     return keep_rows(docs, found.where("keep").select("doc_id", "digest"))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every found secret is replaced by its kind in brackets; documents without any stay as they are."""
+    ship(spark)
     clean = docs.withColumn("text", secrets.redacted(F.col("text")))
     length = F.length("text").cast(docs.schema["n_chars"].dataType)
     return clean.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), length))
@@ -42,6 +46,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, packed into sequences of at most 1024 tokens."""
+    ship(spark)
     return packing.pack(spark, docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +17,24 @@ from jobloom.session import scratch_dir
 NO_ID = -(2**63)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the Python workers, once per Spark context.
+
+    Workers then need not have it installed or on their path. The archive is made on
+    the driver; Spark's own file distribution takes it to the executors.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_jobloom_sent", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="jobloom-")) / "jobloom.zip"
+    with zipfile.ZipFile(archive, "w") as files:
+        for source in sorted(package.rglob("*.py")):
+            files.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._jobloom_sent = True
+
+
 def settle(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared scratch folder and read it back.
 

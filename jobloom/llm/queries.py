@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobloom.llm import bpe, exactdedup, packing, pii, quality, secrets, simhash, tokencounts, toxicity, urlfilter
+from jobloom.llm.common import ship
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
