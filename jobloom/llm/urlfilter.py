@@ -23,6 +23,8 @@ LEAST, SHARE = 4, 0.05
 DIFFERS = 9.21
 #: Weight of the share of blocked urls over all hosts, and the share from which a template is rejected.
 SMOOTHING, REJECT = 4.0, 0.9
+#: That share counts as so much at most: other templates' labels alone never reject one.
+NEUTRAL = 0.5
 
 
 def ascii_lower(text: Column) -> Column:
@@ -87,14 +89,14 @@ def judge(spark: SparkSession, pages: DataFrame, rules: dict[str, str], id_col:
     rows = settle(spark, rows.withColumn("template", tail).drop("left", "node"), "url_templates")
     templates = rows.groupBy("template").agg(*counts)
     overall = templates.agg(((F.sum("b") + 1.0) / (F.sum("b") + F.sum("a") + 2.0)).alias("prior"))
-    purity = (F.col("b") + SMOOTHING * F.col("prior")) / (F.col("b") + F.col("a") + SMOOTHING)
+    purity = (F.col("b") + SMOOTHING * F.least("prior", F.lit(NEUTRAL))) / (F.col("b") + F.col("a") + SMOOTHING)
     rejected = templates.join(F.broadcast(overall)).where(purity >= REJECT).select("template", F.lit("block").alias("learnt"))
     verdict = F.coalesce("ruled", "learnt", F.lit("allow"))
     return rows.join(rejected, "template", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"), "template")
 
 
 def sql(rules: dict[str, str], pages: str = "pages") -> str:
-    """The same in DuckDB's SQL."""
+    """The same in DuckDB's SQL, as long as at most half of the labelled urls are blocked: its share of blocked urls has no upper bound."""
     order = sorted(rules, key=lambda r: (-len(r), r))
     fits, ruled = [], []
     for rule in order:

@@ -49,6 +49,15 @@ def test_template_with_pure_blocked_urls_is_rejected(spark):
     assert rows.template[0] == "spam.io/ads/*" and rows.template[130] == "spam.io/news/*"
 
 
+def test_labels_of_other_templates_reject_none(spark):
+    rules = {"spam.io/": "block", "ok.io/": "allow"}
+    urls = [f"http://spam.io/ads/{i}" for i in range(200)] + ["http://ok.io/1"] + [f"http://clean.io/news/{i}" for i in range(30)]
+    for some, known in ((urls, rules), (urls[:200] + urls[201:], {"spam.io/": "block"})):
+        pages = spark.createDataFrame(list(enumerate(some)), "page_id long, url string")
+        rows = urlfilter.judge(spark, pages, known).toPandas()
+        assert (rows.verdict[rows.host == "spam.io"] == "block").all() and (rows.verdict[rows.host != "spam.io"] == "allow").all()
+
+
 def test_no_pages(spark):
     assert urlfilter.judge(spark, spark.createDataFrame([], "page_id long, url string"), URL_RULES).count() == 0
     assert urlfilter.judge(spark, spark.createDataFrame([(1, "http://a/b")], "page_id long, url string"), {}).first().verdict == "allow"
