@@ -2,8 +2,8 @@
 
 Each host is a tree of path segments. A segment under a node stays as it is when
 it is frequent there and its urls are labelled otherwise than its siblings'; variable
-segments become a wildcard, and branches that cannot be told from the rest merge with it. A template
-is rejected when the smoothed share of blocked urls among its labelled ones is high.
+segments become a wildcard, and branches that cannot be told from the rest merge with it. The tree is walked
+until no branch left can be told apart. A template is rejected when the smoothed share of blocked urls among its labelled ones is high.
 Everything is counts by key and joins; a host with a third of all urls is pre-aggregated
 before each shuffle, and the joins it takes part in have one small row a key.
 """
@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from jobloom.llm.common import settle
 
-#: Segments that the tree tells apart; what follows them is one tail.
+#: Segments that a template names in any case; what follows them and the last literal is one tail.
 DEPTH = 3
-#: A segment is frequent with so many urls and such a share of its node's.
+#: A segment is frequent with so many urls. SHARE, a share of its node's besides, holds in the SQL alone.
 LEAST, SHARE = 4, 0.05
 #: Chi-square of three label classes in two groups, at the level of 1 %.
 DIFFERS = 9.21
@@ -58,6 +58,12 @@ def _chi_square(n: Column, b: Column, a: Column, all_n: Column, all_b: Column, a
     return total
 
 
+def _may_differ() -> Column:
+    """Of a node: chi-square is at most its urls, and nothing without two label classes. What may not differ here may not below."""
+    classes = [F.col(c) > 0 for c in ("all_b", "all_a")] + [F.col("all_n") > F.col("all_b") + F.col("all_a")]
+    return (F.col("all_n") >= DIFFERS) & (sum((c.cast("int") for c in classes), F.lit(0)) > 1)
+
+
 def judge(spark: SparkSession, pages: DataFrame, rules: dict[str, str], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """page_id, host, path, rule, verdict, template: one row per page, repeated rows and null ids too.
 
@@ -73,20 +79,27 @@ def judge(spark: SparkSession, pages: DataFrame, rules: dict[str, str], id_col:
     segments = F.split(F.substring(F.col("path"), 2, 2**31 - 1), "/", -1)
     rows = read.withColumn("node", F.col("host")).withColumn("left", F.when(F.col("path") != "", segments))
     counts = [F.count("*").alias("n"), F.count_if(F.col("ruled") == "block").alias("b"), F.count_if(F.col("ruled") == "allow").alias("a")]
-    for _ in range(DEPTH):
+    rows = rows.withColumns({"template": F.col("node"), "more": F.lit(False)})
+    level = 0
+    while True:
+        level += 1
         rows = settle(spark, rows.withColumn("segment", F.get(F.col("left"), F.lit(0))), "url_rows")
         branches = rows.where(F.col("segment").isNotNull()).groupBy("node", "segment").agg(*counts)
         whole = branches.groupBy("node").agg(F.sum("n").alias("all_n"), F.sum("b").alias("all_b"), F.sum("a").alias("all_a"))
-        frequent = branches.where(F.col("n") >= LEAST).join(whole, "node").where(F.col("n") >= SHARE * F.col("all_n"))
+        if level > DEPTH and whole.where(_may_differ()).isEmpty():
+            break
+        frequent = branches.where(F.col("n") >= LEAST).join(whole, "node")
         differs = _chi_square(*(F.col(c) for c in ("n", "b", "a", "all_n", "all_b", "all_a"))) >= DIFFERS
         kept = frequent.where(differs).select("node", "segment", F.lit(True).alias("literal"))
         token = F.when(F.col("literal"), F.col("segment")).otherwise("*")
+        node = F.when(F.col("segment").isNull(), F.col("node")).otherwise(F.concat("node", F.lit("/"), token))
+        named = F.col("literal").isNotNull() | F.lit(level <= DEPTH)
         rows = rows.join(kept, ["node", "segment"], "left").withColumns({
-            "node": F.when(F.col("segment").isNull(), F.col("node")).otherwise(F.concat("node", F.lit("/"), token)),
-            "left": F.when(F.size("left") > 1, F.slice("left", 2, 2**31 - 1)),
+            "node": node, "left": F.when(F.size("left") > 1, F.slice("left", 2, 2**31 - 1)),
+            "template": F.when(named, node).otherwise(F.col("template")),
+            "more": F.when(F.col("segment").isNull(), F.col("more")).when(named, F.size("left") > 1).otherwise(True),
         }).drop("literal", "segment")
-    tail = F.when(F.col("left").isNotNull(), F.concat("node", F.lit("/**"))).otherwise(F.col("node"))
-    rows = settle(spark, rows.withColumn("template", tail).drop("left", "node"), "url_templates")
+    rows = rows.withColumn("template", F.when(F.col("more"), F.concat("template", F.lit("/**"))).otherwise(F.col("template"))).drop("left", "node", "segment", "more")
     templates = rows.groupBy("template").agg(*counts)
     overall = templates.agg(((F.sum("b") + 1.0) / (F.sum("b") + F.sum("a") + 2.0)).alias("prior"))
     purity = (F.col("b") + SMOOTHING * F.least("prior", F.lit(NEUTRAL))) / (F.col("b") + F.col("a") + SMOOTHING)
@@ -96,7 +109,11 @@ def judge(spark: SparkSession, pages: DataFrame, rules: dict[str, str], id_col:
 
 
 def sql(rules: dict[str, str], pages: str = "pages") -> str:
-    """The same in DuckDB's SQL, as long as at most half of the labelled urls are blocked: its share of blocked urls has no upper bound."""
+    """The same in DuckDB's SQL, with three cuts that `judge` has not.
+
+    Its share of blocked urls has no upper bound, it tells nothing apart after `DEPTH` segments, and
+    no section with less than `SHARE` of its node's urls.
+    """
     order = sorted(rules, key=lambda r: (-len(r), r))
     fits, ruled = [], []
     for rule in order:

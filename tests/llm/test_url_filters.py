@@ -58,6 +58,19 @@ def test_labels_of_other_templates_reject_none(spark):
         assert (rows.verdict[rows.host == "spam.io"] == "block").all() and (rows.verdict[rows.host != "spam.io"] == "allow").all()
 
 
+def test_deep_and_small_sections_are_told_apart(spark):
+    """Sections that differ from segment 5 on, and 30 even ones of which none has a twentieth of its node's urls."""
+    urls = [f"http://deep.io/v1/site/users/{i}/{part}/{i}" for i in range(40) for part in ("spam", "profile")] + [f"http://h.io/s{k}/{i}" for k in range(30) for i in range(40)]
+    rules = {f"deep.io/v1/site/users/{i}/spam/": "block" for i in range(30)} | {"h.io/s7/": "block"}
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rows = urlfilter.judge(spark, pages, rules).toPandas().sort_values("page_id")
+    spam, s7 = rows.path.str.contains("/spam/"), rows.path.str.startswith("/s7/")
+    assert (rows.verdict[spam | s7] == "block").all() and (rows.verdict[~spam & ~s7] == "allow").all()
+    assert rows.rule[spam].isna().sum() == 10
+    assert set(rows.template[spam]) == {"deep.io/*/*/*/*/spam/**"}
+    assert set(rows.template[s7]) == {"h.io/s7/*"}
+
+
 def test_no_pages(spark):
     assert urlfilter.judge(spark, spark.createDataFrame([], "page_id long, url string"), URL_RULES).count() == 0
     assert urlfilter.judge(spark, spark.createDataFrame([(1, "http://a/b")], "page_id long, url string"), {}).first().verdict == "allow"
