@@ -47,7 +47,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, packed into sequences of at most 1024 tokens."""
     ship(spark)
-    return packing.pack(spark, docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
+    return packing.pack(spark, docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2, special=True)
 
 
 STAGES = [

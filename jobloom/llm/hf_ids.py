@@ -11,17 +11,21 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable
+from typing import TYPE_CHECKING
 
 import numpy as np
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 _PROBES = ("", " ", "a b  c\n\n d", "It's 12 o'clock, we'll\tsee it .", "été 漢字 \U0001f600 ٣٤ ² é", "<|endoftext|> x<|endoftext|>", "=====  ---\r\n\x1c\x85 'S 'LL", "x" * 300)
 #: The split that byte-level files with "use_regex" apply (fixed value).
 _SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: The faster library's split cannot take a longer run of white space.
 _BLANKS = 5_000
 _LONG_BLANKS = re.compile(rf"\s{{{_BLANKS}}}")
-_LOADED: dict[str, Callable[[str], np.ndarray]] = {}
-_SPANS: dict[str, Callable[[str], tuple[np.ndarray, np.ndarray]]] = {}
+_LOADED: dict[tuple[str, bool], Callable[[str], np.ndarray]] = {}
+_SPANS: dict[tuple[str, bool], Callable[[str], tuple[np.ndarray, np.ndarray]]] = {}
 
 
 def _alphabet() -> dict[str, int]:
@@ -48,14 +52,24 @@ def _ranks(path: str) -> dict[bytes, int] | None:
     return {bytes(byte[c] for c in token): number for token, number in vocab.items() if token not in special}
 
 
-def reader(path: str) -> Callable[[str], np.ndarray]:
-    """A function from a text to its ids, one per worker process and file; special strings are ordinary text."""
-    if path not in _LOADED:
+def _added(exact: Tokenizer, special: bool) -> list[str]:
+    """Strings that the library takes out of a text before it splits it."""
+    return [x.content for x in exact.get_added_tokens_decoder().values() if special or not x.special]
+
+
+def reader(path: str, special: bool = False) -> Callable[[str], np.ndarray]:
+    """A function from a text to its ids, one per worker process and file.
+
+    With `special`, strings of added tokens in a text are those tokens, as the library reads them unless told otherwise;
+    without, special ones are ordinary text.
+    """
+    if (path, special) not in _LOADED:
         import tiktoken
         from tokenizers import Tokenizer
 
         exact = Tokenizer.from_file(path)
-        exact.encode_special_tokens = True
+        exact.encode_special_tokens = not special
+        added = _added(exact, special)
 
         def slow(text: str) -> np.ndarray:
             return np.array(exact.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
@@ -64,40 +78,45 @@ def reader(path: str) -> Callable[[str], np.ndarray]:
         chosen = slow
         if ranks:
             encoding = tiktoken.Encoding("file", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
-            if all(encoding.encode_ordinary(x) == slow(x).tolist() for x in _PROBES):
 
-                def chosen(text: str) -> np.ndarray:
-                    if len(text) >= _BLANKS and _LONG_BLANKS.search(text):
-                        return slow(text)
-                    return np.array(encoding.encode_ordinary(text), np.uint32)
+            def chosen(text: str) -> np.ndarray:
+                if any(x in text for x in added) or len(text) >= _BLANKS and _LONG_BLANKS.search(text):
+                    return slow(text)
+                return np.array(encoding.encode_ordinary(text), np.uint32)
+
+            if any(chosen(x).tolist() != slow(x).tolist() for x in _PROBES):
+                chosen = slow
 
-        _LOADED[path] = chosen
-    return _LOADED[path]
+        _LOADED[path, special] = chosen
+    return _LOADED[path, special]
 
 
-def spans(path: str) -> Callable[[str], tuple[np.ndarray, np.ndarray]]:
-    """A function from a text to the starts and ends of its tokens in code points; a token of part of a character has all of it."""
-    if path in _SPANS:
-        return _SPANS[path]
+def spans(path: str, special: bool = False) -> Callable[[str], tuple[np.ndarray, np.ndarray]]:
+    """A function from a text to the starts and ends of its tokens in code points; a token of part of a character has all of it. `special` as in `reader`."""
+    if (path, special) in _SPANS:
+        return _SPANS[path, special]
     from tokenizers import Tokenizer
 
-    read, ranks = reader(path), _ranks(path)
+    read, ranks = reader(path, special), _ranks(path)
     exact = Tokenizer.from_file(path)
-    exact.encode_special_tokens = True
+    exact.encode_special_tokens = not special
+    added = _added(exact, special)
 
     def by_library(text: str) -> tuple[np.ndarray, np.ndarray]:
         found = np.array(exact.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
         return found[:, 0], found[:, 1]
 
     if ranks is None:
-        _SPANS[path] = by_library
+        _SPANS[path, special] = by_library
         return by_library
     width = np.zeros(max(ranks.values()) + 1, np.int64)
     for token, number in ranks.items():
         width[number] = len(token)
 
     def by_width(text: str) -> tuple[np.ndarray, np.ndarray]:
-        """The bytes of all tokens are the bytes of the text, so their widths are their places."""
+        """The bytes of all tokens are the bytes of the text, so their widths are their places; not so where an added token may take blanks beside it."""
+        if any(x in text for x in added):
+            return by_library(text)
         ends = np.cumsum(width[read(text)])
         starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         if text.isascii():
@@ -106,5 +125,5 @@ def spans(path: str) -> Callable[[str], tuple[np.ndarray, np.ndarray]]:
         point = np.cumsum((data & 0xC0) != 0x80) - 1
         return point[starts], point[ends - 1] + 1
 
-    _SPANS[path] = by_width
+    _SPANS[path, special] = by_width
     return by_width

@@ -25,7 +25,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
-def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int) -> DataFrame:
+def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int, special: bool = False) -> DataFrame:
     """Pieces of every document: `PIECES`, where (part, nth) numbers the pieces of one length in a task.
 
     A document over `capacity` tokens is cut so that only its first piece may be shorter.
@@ -36,7 +36,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int)
 
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        encode = reader(tokenizer_path)
+        encode = reader(tokenizer_path, special)
         for batch, texts in slices(batches):
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
@@ -124,14 +124,14 @@ def places(bins: list[tuple[list[int], int]]) -> dict[int, np.ndarray]:
     return {length: np.array(x, np.int64) for length, x in rows.items()}
 
 
-def pack(spark: SparkSession, docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(spark: SparkSession, docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", special: bool = False) -> DataFrame:
     """Pack whole documents into sequences of at most `capacity` tokens: `PACKED`, one row per piece.
 
-    Null and empty texts are the end token alone. Rows that repeat are documents of their own; a null id stays null.
+    Null and empty texts are the end token alone. With `special`, added tokens of the file are found in the texts. Rows that repeat are documents of their own; a null id stays null.
     Empty input gives no rows. Only the counts by length (at most `capacity` rows) and the plan made of them
     (each bin kind uses up a length or leaves fewer copies of it than it needs) reach the driver.
     """
-    cut = cut_pieces(ids_and_texts(docs, id_col, text_col), tokenizer_path, capacity, end_id)
+    cut = cut_pieces(ids_and_texts(docs, id_col, text_col), tokenizer_path, capacity, end_id, special)
     pieces = settle(spark, cut, "pieces")
     by_part = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -33,7 +33,7 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every line of every document; a token that crosses a line break goes to the line with most of it."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return tokencounts.count(_table(spark, sf_dir, "documents"), path, fields=("text",), rule="most")
+    return tokencounts.count(_table(spark, sf_dir, "documents"), path, fields=("text",), rule="most", special=True)
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +43,7 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack(spark, _table(spark, sf_dir, "documents"), path, capacity=1024, end_id=2)
+    return packing.pack(spark, _table(spark, sf_dir, "documents"), path, capacity=1024, end_id=2, special=True)
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,13 +52,13 @@ def allocate(starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray, rule: str
     return counts
 
 
-def count(docs: DataFrame, tokenizer_path: str, fields: tuple[str, ...] = ("text",), rule: str = "most", lines: bool = True, separator: str = "\n", id_col: str = "doc_id") -> DataFrame:
+def count(docs: DataFrame, tokenizer_path: str, fields: tuple[str, ...] = ("text",), rule: str = "most", lines: bool = True, separator: str = "\n", id_col: str = "doc_id", special: bool = False) -> DataFrame:
     """`COUNTS`: a row per section of each field of each document, in code points of the document.
 
     The document is its fields with `separator` between them, which belongs to the field
     before it; it is encoded whole and once, so the sections' counts add up to its tokens. With `lines` a field's
     sections are its lines, each with its line break. Null fields are empty; an empty field is one section without tokens of
-    its own. Repeated rows and null ids are documents of their own; no documents give no rows.
+    its own. With `special`, added tokens of the file are found in the texts. Repeated rows and null ids are documents of their own; no documents give no rows.
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
@@ -68,7 +68,7 @@ def count(docs: DataFrame, tokenizer_path: str, fields: tuple[str, ...] = ("text
     lengths = [F.length(n).alias(n) for n in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = spans(tokenizer_path)
+        encode = spans(tokenizer_path, special)
         for batch, texts in slices(batches):
             sizes = list(zip(*(batch.column(n).to_pylist() for n in names), strict=True))
             out: list[tuple] = []
