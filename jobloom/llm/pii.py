@@ -1,10 +1,10 @@
 """Personal data: base formats, and a bootstrap over the contexts they are seen in.
 
 Base matches are seeds. The words around a seed are lexical patterns; a pattern also
-takes other identifiers (tokens with enough digits, or an @). Patterns and the
+takes other identifiers (tokens with enough digits, groups of digits with blanks between them, or an @). Patterns and the
 identifiers they take form a graph, scored in rounds: a pattern is as good as the share
 of its identifiers that are known to be of one kind, an identifier is as good as its best
-pattern. Patterns that end above `CONFIDENT` give their unknown identifiers a kind: the spans added.
+pattern. Rounds end when trust no longer moves. Patterns that end above `CONFIDENT` give their unknown identifiers a kind: the spans added.
 The graph has one edge per pattern and identifier, so copies of a text add nothing to it.
 """
 
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from jobloom.llm.common import ids_and_texts, settle, slices
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
+#: Rounds go on while a pattern is new or the sum of all trust grows by so much; trust never falls, so they end.
+MOVES = 1e-6
 #: Identifiers a pattern needs, weight of an unseen wrong one, and the confidence from which a pattern is trusted.
 SUPPORT, SMOOTHING, CONFIDENT = 4, 1.0, 0.8
 #: Digits an unknown identifier needs, its longest form, and the characters beside it that hold its context.
@@ -35,6 +36,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]*+")
+#: Digits with the signs that base forms have among them, and what joins two such groups: no dot before a blank, which ends a sentence.
+_GROUP, _GAP = re.compile(r"\+?[0-9][0-9().-]*"), re.compile(r"[\x20()-]+")
 _EDGE = "\"'(),;:.!?[]{}<>|#="
 
 
@@ -86,10 +89,19 @@ def _patterns(text: str, start: int, end: int) -> list[str]:
     return [f"{' '.join(before)} _", f"{' '.join(before[-1:])} _ {' '.join(after)}"]
 
 
+def _joined_groups(text: str, groups: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Groups of digits beside one another as one span; the groups themselves where it is over `LONGEST`."""
+    start, end = groups[0][0], groups[-1][1]
+    if len(groups) > 1 and end - start <= LONGEST:
+        opened = text[start - 1 : start] == "(" and ")" in text[start:end]
+        groups = [(start - opened, end)]
+    return [(s, e) for s, e in groups if sum(c in "0123456789" for c in text[s:e]) >= DIGITS]
+
+
 def identifiers(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
-    """Spans of other tokens that look like identifiers and touch no base span."""
+    """Spans that look like identifiers and touch no base span: other tokens, and runs of digit groups that `_GAP` joins."""
     taken = sorted((s, e) for _, s, e in base)
-    found, at, k = [], 0, 0
+    found, groups, at, k = [], [], 0, 0
     for m in re.finditer(r"[0-9@]", text):
         if m.start() < at:
             continue
@@ -105,10 +117,16 @@ def identifiers(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int,
         end = start + len(token)
         while k < len(taken) and taken[k][1] <= start:
             k += 1
-        clear = k == len(taken) or taken[k][0] >= end
-        if clear and ("@" in token[1:-1] or sum(c in "0123456789" for c in token) >= DIGITS):
+        if not (k == len(taken) or taken[k][0] >= end):
+            continue
+        if _GROUP.fullmatch(token):
+            if groups and not (token[0] != "+" and start - groups[-1][1] <= LONGEST and _GAP.fullmatch(text, groups[-1][1], start)):
+                found += _joined_groups(text, groups)
+                groups = []
+            groups.append((start, end))
+        elif "@" in token[1:-1] or sum(c in "0123456789" for c in token) >= DIGITS:
             found.append((start, end))
-    return found
+    return sorted(found + _joined_groups(text, groups)) if groups else sorted(found)
 
 
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
@@ -144,11 +162,15 @@ def trusted_patterns(spark: SparkSession, seen: DataFrame) -> DataFrame:
     edges = settle(spark, pairs.join(sizes, "pattern"), "pattern_edges")
     known = seen.where(F.col("kind").isNotNull()).select("value", "kind").distinct().withColumn("trust", F.lit(1.0))
     known = settle(spark, known.join(edges, "value", "left_semi"), "pii_seeds")
-    believed, patterns = known, None
-    for _ in range(ROUNDS):
+    believed, before = known, (-1, 0.0)
+    while True:
         scores = edges.join(believed, "value").groupBy("pattern", "kind").agg(F.sum("trust").alias("hits"), F.max("n").alias("n"))
         good = scores.withColumn("trust", F.col("hits") / (F.col("n") + SMOOTHING)).where((F.col("hits") >= SUPPORT) & (F.col("trust") >= CONFIDENT))
         patterns = settle(spark, good.select("pattern", "kind", "trust"), "pii_patterns")
+        now = tuple(patterns.agg(F.count("*"), F.coalesce(F.sum("trust"), F.lit(0.0))).first())
+        if now[0] == 0 or (now[0] == before[0] and now[1] - before[1] < MOVES):
+            break
+        before = now
         fresh = edges.select("pattern", "value").join(patterns, "pattern").groupBy("value", "kind").agg(F.max("trust").alias("trust"))
         believed = settle(spark, known.union(fresh.join(known, "value", "left_anti")), "pii_instances")
     return patterns.groupBy("pattern").agg(F.max_by("kind", F.struct("trust", "kind")).alias("kind"))

@@ -54,6 +54,35 @@ def test_bootstrap_finds_planted_identifiers(spark, rng):
         assert r.spans == (f"phone:{start}:{start + 7}" if added else base)
 
 
+def test_groups_of_digits_are_one_identifier():
+    cases = {
+        "card no 4556 7375 8689 9857 end": ["4556 7375 8689 9857"], "phone 555 123 4567.": ["555 123 4567"], "phone (555) 123-4567 x": ["(555) 123-4567"],
+        "555.123.4567": ["555.123.4567"], "year 1999. 2000 men": ["1999", "2000"], "1234, 5678": ["1234", "5678"], "ab-1234 5678": ["ab-1234", "5678"], "1 2 3": [], "x 12 34ab": [],
+        "mail a@b 1234 a@c": ["a@b", "1234", "a@c"], "1111 " * 30: ["1111"] * 30,
+    }
+    for text, wanted in cases.items():
+        assert [text[s:e] for s, e in pii.identifiers(text, pii.base_spans(text))] == wanted
+    text = "see +1 555 123 4567 or 1234 then 12 34"
+    assert [text[s:e] for s, e in pii.identifiers(text, pii.base_spans(text))] == ["1234", "12 34"]
+
+
+def test_identifiers_with_blanks_are_found(spark, rng):
+    rows = [f"{' '.join(rng.choices(WORDS, k=8))} please call number +1 (555) {rng.randint(100, 999)}-{rng.randint(1000, 9999)} {rng.choice(WORDS)}" for _ in range(40)]
+    rows += [f"{' '.join(rng.choices(WORDS, k=5))} please call number 555 123 4567 today"]
+    found = {r.doc_id: r.spans for r in pii.find(spark, spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    start = rows[40].find("555")
+    assert found[40] == f"phone:{start}:{start + 12}"
+
+
+def test_rounds_go_on_until_nothing_is_new(spark):
+    """A chain in which pattern k shares its identifiers with the patterns before and after it: the fifth is trusted in round nine, some rounds add none."""
+    sizes = (20_000, 3000, 450, 70, 10)
+    seen = [("phone" if k == 0 else None, f"v{k}.{i}", [f"p{k - 1} _", f"p{k} _"][k == 0 :]) for k, n in enumerate(sizes) for i in range(n)]
+    frame = spark.createDataFrame(seen, "kind string, value string, patterns array<string>")
+    found = {(r.pattern, r.kind) for r in pii.trusted_patterns(spark, frame).collect()}
+    assert found == {(f"p{k} _", "phone") for k in range(5)}
+
+
 def test_pattern_of_two_kinds_is_not_trusted(spark):
     seen = [(kind, f"{kind}{i}", ["w _", f"w _ {kind}"]) for i in range(10) for kind in ("email", "ip")] + [(None, "x1", ["w _"])]
     found = pii.trusted_patterns(spark, spark.createDataFrame(seen, "kind string, value string, patterns array<string>")).collect()
