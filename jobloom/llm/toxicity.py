@@ -3,8 +3,10 @@
 Two zstandard dictionaries are trained, one on ordinary text and one on what toxic
 text has in excess of it. A window is a word between its blanks (cut at
 `WINDOW` bytes); its distance is how many bytes shorter the toxic dictionary makes
-it, as a share of its bytes. The largest distances of a text and how many pass two
-thresholds are calibrated to a score on labelled rows that the dictionaries have not seen.
+it, as a share of its bytes. Phrases are windows of `SPAN` bytes over the whole text, each
+half over the next, under dictionaries trained on the ordinary and the toxic texts as they are: they
+see ordinary words in toxic order, words without blanks, and words too rare for the cut. The largest
+distances of a text and how many pass thresholds are calibrated to a score on labelled rows that the dictionaries have not seen.
 
 Fitting reads a bounded sample of labelled rows (`SAMPLE`, `SAMPLE_CHARS`). Scoring
 reads whole texts.
@@ -36,6 +38,8 @@ STORE = 500_000
 #: Excess of toxic text: a window with that many different windows before it, and so many times the ordinary share of them.
 CONTEXTS, EXCESS = (3, 0.004), 16
 NEAR = (0.4, 0.3)
+#: Bytes of a phrase window and from one to the next, size of each phrase dictionary, and the distance of a near phrase.
+SPAN, STEP, PHRASES, NEAR_PHRASE = 80, 40, 8192, 0.1
 _PUNCTUATION = bytes(x for x in b'.,;:!?"|()')
 #: Both dictionaries end with HEAD. A window is compressed as HEAD + window + TAIL: one match then pays for the frame,
 #: and the window ends before the last bytes, in which the library seeks no match.
@@ -53,6 +57,11 @@ def windows(text: str) -> list[bytes]:
     return out
 
 
+def stream(text: str) -> bytes:
+    """The words of a text as `windows` has them, joined; long ones whole."""
+    return b" " + b"  ".join(text.encode("utf-8", "surrogatepass").lower().translate(None, _PUNCTUATION).split()) + b" "
+
+
 def _contexts(texts: Iterable[list[bytes]], only: set[bytes] | None = None) -> Counter:
     """In how many surroundings (different windows before it) each window is seen; copies of a text add none."""
     before = defaultdict(set)
@@ -82,29 +91,43 @@ def train(ordinary: list[list[bytes]], toxic: list[list[bytes]]) -> tuple[bytes,
     return plain, _trained(DICTIONARY[1], [b"".join(w for w in row if w in over) for row in toxic])
 
 
+def train_phrases(ordinary: Iterable[str], toxic: Iterable[str]) -> tuple[bytes, bytes]:
+    """The ordinary and the toxic dictionary of whole texts, of one size."""
+    return _trained(PHRASES, list(map(stream, ordinary))), _trained(PHRASES, list(map(stream, toxic)))
+
+
 class Distance:
-    """Distances of windows for a pair of dictionaries; distances of windows met before are kept, up to a bound."""
+    """Distances of windows and phrases for two pairs of dictionaries; distances of windows met before are kept, up to a bound."""
 
-    def __init__(self, plain: bytes, toxic: bytes):
+    def __init__(self, plain: bytes, toxic: bytes, phrases: tuple[bytes, bytes]):
         self.plain, self.toxic = self._compressor(plain), self._compressor(toxic)
+        self.plain_phrase, self.toxic_phrase = (self._compressor(x, SPAN) for x in phrases)
         self.store: dict[bytes, float] = {}
 
     @staticmethod
-    def _compressor(content: bytes) -> Callable[[bytes], bytes]:
+    def _compressor(content: bytes, most: int = WINDOW) -> Callable[[bytes], bytes]:
         made = zstandard.ZstdCompressionParameters.from_level(
-            LEVEL, dict_size=len(content), source_size=WINDOW, min_match=4, write_checksum=False, write_content_size=False,
+            LEVEL, dict_size=len(content), source_size=most, min_match=4, write_checksum=False, write_content_size=False,
             write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
         held = zstandard.ZstdCompressionDict(content + HEAD, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         held.precompute_compress(compression_params=made)
         return zstandard.ZstdCompressor(dict_data=held, compression_params=made).compress
 
+    def phrase_features(self, text: str) -> list[float]:
+        """The largest distance of a phrase, the mean of the three largest and of all, and how many are near, plainly and as a share."""
+        whole = stream(text)
+        pieces = [HEAD + whole[i : i + SPAN] + TAIL for i in range(0, max(1, len(whole) - STEP), STEP)]
+        all_of = np.sort([len(self.plain_phrase(x)) - len(self.toxic_phrase(x)) for x in pieces])[::-1] / SPAN
+        near = (all_of >= NEAR_PHRASE).sum()
+        return [all_of[0], all_of[:3].mean(), all_of.mean(), np.log1p(near), np.log1p(100 * near / len(all_of))]
+
     def features(self, text: str) -> list[float]:
-        """The three largest distances (the third as their mean), and how many are near, plainly and as a share."""
+        """The three largest distances (the third as their mean), and how many are near, plainly and as a share; then those of phrases."""
         if len(self.store) > STORE:
             self.store.clear()
         store, words = self.store, windows(text)
         if not words:
-            return [0.0] * 6
+            return [0.0] * 11
         found = list(map(store.get, words))
         if None in found:
             for k, value in enumerate(found):
@@ -120,7 +143,7 @@ class Distance:
         largest = np.sort(np.partition(all_of, -min(3, len(all_of)))[-3:])[::-1]
         top[: len(largest)] = largest
         near, less = ((all_of >= x).sum() for x in NEAR)
-        return [top[0], top[1], top[: len(largest)].mean(), np.log1p(near), np.log1p(less), np.log1p(100 * near / len(all_of))]
+        return [top[0], top[1], top[: len(largest)].mean(), np.log1p(near), np.log1p(less), np.log1p(100 * near / len(all_of)), *self.phrase_features(text)]
 
 
 @dataclass(frozen=True)
@@ -129,12 +152,13 @@ class Model:
 
     plain: bytes
     toxic: bytes
+    phrases: tuple[bytes, bytes]
     means: tuple[float, ...]
     spreads: tuple[float, ...]
     weights: tuple[float, ...]
 
     def scorer(self) -> Callable[[str], float]:
-        distance = Distance(self.plain, self.toxic)
+        distance = Distance(self.plain, self.toxic, self.phrases)
         means, spreads, weights = map(np.array, (self.means, self.spreads, self.weights))
 
         def score(text: str) -> float:
@@ -169,14 +193,18 @@ def fit_texts(rows: list[tuple[int | None, str, int]]) -> Model | float:
     halves = [[x for x in cut if x[0] == h] for h in (0, 1)]
     if any(not any(x[3] == y for x in half) for half in halves for y in (0, 1)):
         return sum(y for _, _, _, y in cut) / max(1, len(cut))
+
+    def trained(some: list) -> tuple[bytes, bytes, tuple[bytes, bytes]]:
+        words, raw = ([[x[k] for x in some if bool(x[3]) == toxic] for toxic in (False, True)] for k in (1, 2))
+        return *train(*words), train_phrases(*raw)
+
     features, labels = [], []
     for one, other in (halves, halves[::-1]):
-        distance = Distance(*train([x[1] for x in one if not x[3]], [x[1] for x in one if x[3]]))
+        distance = Distance(*trained(one))
         features += [distance.features(x[2]) for x in other]
         labels += [x[3] for x in other]
     means, spreads, weights = _calibrate(np.array(features), np.array(labels, float))
-    plain, toxic = train([x[1] for x in cut if not x[3]], [x[1] for x in cut if x[3]])
-    return Model(plain, toxic, tuple(means), tuple(spreads), tuple(weights))
+    return Model(*trained(cut), tuple(means), tuple(spreads), tuple(weights))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -49,6 +49,24 @@ def test_without_labels(spark, awkward, nothing):
     assert toxicity.classify(nothing, one).count() == 0
 
 
+def test_phrases_of_ordinary_words(rng):
+    """Toxic texts differ in the order of words alone, with blanks between them or without."""
+    words = [f"w{a}{b}" for a in "abcdefghij" for b in ("ol", "en", "ir", "ut", "ask")]
+    phrases = [rng.sample(words, 4) for _ in range(3)]
+    rows = []
+    for i in range(1500):
+        text = rng.choices(words, k=rng.randint(60, 200))
+        for _ in range(6 * (i % 6 == 0)):
+            at = rng.randrange(len(text))
+            text[at:at] = rng.choice(phrases)
+        rows.append((i, text, int(i % 6 == 0)))
+    for blank in (" ", ""):
+        cut = [(i, blank.join(t), y) for i, t, y in rows]
+        score = toxicity.fit_texts(cut[:1200]).scorer()
+        found = [(score(t) >= toxicity.THRESHOLD, y) for _, t, y in cut[1200:]]
+        assert sum(p == y for p, y in found) / len(found) > 0.87 and sum(p for p, y in found if y) / sum(y for _, y in found) > 0.4
+
+
 def test_windows():
     assert toxicity.windows("A b, c.\n\nÉ") == [b" a ", b" b ", b" c ", " É ".encode()]
     assert b"".join(w.strip() for w in toxicity.windows("x" * 1000)) == b"x" * 1000
