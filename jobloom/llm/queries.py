@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import bpe, exactdedup, packing, pii, quality, secrets, simhash, tokencounts, toxicity, urlfilter
+from jobloom.llm import bpe, collocations, exactdedup, packing, pii, quality, secrets, simhash, tokencounts, toxicity, urlfilter
 from jobloom.llm.common import ship
 
 
@@ -76,10 +76,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(spark, _table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op1_url_filters, op2_simhash_near_dedup, op3_token_counts, op4_byte_bpe, op5_best_fit_packing, op6_exact_dedup, op7_toxicity, op8_pii, op9_secret_scans, op10_quality_rules)
+    made = (op1_url_filters, op2_simhash_near_dedup, op3_token_counts, op4_byte_bpe, op5_best_fit_packing, op6_exact_dedup, op7_toxicity, op8_pii, op9_secret_scans, op10_quality_rules, op11_phrase_collocations)
     return {f.__name__: f for f in made}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": urlfilter.sql(URL_RULES), "op6_exact_dedup": OP6_SQL, "op10_quality_rules": quality.sql()}
+    return {"op1_url_filters": urlfilter.sql(URL_RULES), "op6_exact_dedup": OP6_SQL, "op10_quality_rules": quality.sql(), "op11_phrase_collocations": collocations.sql()}
