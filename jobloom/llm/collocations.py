@@ -290,24 +290,26 @@ WITH pieces AS (
 ), grams AS (
     SELECT lang, array_to_string(w[i : i + k - 1], ' ') AS phrase, k
     FROM spots, (SELECT unnest(range(1, {longest + 1})) AS k) sizes WHERE i + k - 1 <= len(w)
-), f AS (
+), every AS MATERIALIZED (
     SELECT lang, phrase, k, count(*) AS a FROM grams GROUP BY ALL
 ), totals AS (
-    SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
-), candidates AS (
-    SELECT lang, phrase, k, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= {least}
-), inside AS (
-    SELECT DISTINCT c.lang, array_to_string(c.w[s : s + size - 1], ' ') AS phrase, c.a
-    FROM candidates c, (SELECT unnest(range(2, {longest})) AS size) sizes, (SELECT unnest(range(1, {longest})) AS s) starts
-    WHERE size < c.k AND s + size - 1 <= c.k
+    SELECT lang, sum(a)::BIGINT AS n FROM every WHERE k = 1 GROUP BY lang
+), f AS MATERIALIZED (
+    SELECT lang, phrase, k, a, string_split(phrase, ' ') AS w FROM every WHERE a >= {least}
+), inside AS MATERIALIZED (
+    SELECT DISTINCT lang, array_to_string(w[s : s + size - 1], ' ') AS phrase, a
+    FROM f, (SELECT unnest(range(2, {longest})) AS size) sizes, (SELECT unnest(range(1, {longest})) AS s) starts
+    WHERE size < k AND s + size - 1 <= k
 ), kept AS (
-    SELECT c.* FROM candidates c WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.phrase = c.phrase AND i.a >= c.a)
+    SELECT * FROM f WHERE k > 1 AND NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = f.lang AND i.phrase = f.phrase AND i.a >= f.a)
+), parts AS MATERIALIZED (
+    SELECT lang, phrase, a, cut, array_to_string(w[1 : cut], ' ') AS first, array_to_string(w[cut + 1 : k], ' ') AS rest
+    FROM kept, (SELECT unnest(range(1, {longest})) AS cut) sizes WHERE cut < k
+), lefts AS MATERIALIZED (
+    SELECT parts.*, f.a AS l FROM parts JOIN f ON f.lang = parts.lang AND f.phrase = first
 ), cuts AS (
-    SELECT c.lang, c.phrase, c.a, cut, l.a AS l, r.a AS r, t.n,
-           ((1000::HUGEINT * c.a * t.n) // (l.a::HUGEINT * r.a))::BIGINT AS score
-    FROM kept c, (SELECT unnest(range(1, {longest})) AS cut) sizes, f l, f r, totals t
-    WHERE cut < c.k AND l.lang = c.lang AND r.lang = c.lang AND t.lang = c.lang
-      AND l.phrase = array_to_string(c.w[1 : cut], ' ') AND r.phrase = array_to_string(c.w[cut + 1 : c.k], ' ')
+    SELECT lefts.lang, lefts.phrase, lefts.a, cut, l, f.a AS r, n, ((1000::HUGEINT * lefts.a * n) // (l::HUGEINT * f.a))::BIGINT AS score
+    FROM lefts JOIN f ON f.lang = lefts.lang AND f.phrase = rest JOIN totals ON totals.lang = lefts.lang
 ), best AS (
     SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
 )
