@@ -279,8 +279,8 @@ def sql(threshold: float = 0.93) -> str:
 WITH RECURSIVE v AS (
     SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
 ), usable AS (
-    SELECT *, sqrt(list_sum(list_transform(e, x -> x * x))) AS norm FROM v
-    WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
+    SELECT *, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v
+    WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), links AS MATERIALIZED (
     SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
     WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= {threshold}

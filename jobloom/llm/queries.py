@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import bpe, collocations, epsgrid, exactdedup, packing, pii, quality, secrets, simhash, tokencounts, toxicity, urlfilter
+from jobloom.llm import bpe, collocations, epsgrid, exactdedup, packing, pii, prefixtrie, quality, secrets, simhash, tokencounts, toxicity, urlfilter
 from jobloom.llm.common import ship
 
 
@@ -84,10 +84,14 @@ def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return epsgrid.near_duplicates(spark, _table(spark, sf_dir, "embeddings"))
 
 
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.trie(spark, _table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op1_url_filters, op2_simhash_near_dedup, op3_token_counts, op4_byte_bpe, op5_best_fit_packing, op6_exact_dedup, op7_toxicity, op8_pii, op9_secret_scans, op10_quality_rules, op11_phrase_collocations, op12_embedding_near_dedup)
+    made = (op1_url_filters, op2_simhash_near_dedup, op3_token_counts, op4_byte_bpe, op5_best_fit_packing, op6_exact_dedup, op7_toxicity, op8_pii, op9_secret_scans, op10_quality_rules, op11_phrase_collocations, op12_embedding_near_dedup, op13_conversation_prefix_trie)
     return {f.__name__: f for f in made}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": urlfilter.sql(URL_RULES), "op6_exact_dedup": OP6_SQL, "op10_quality_rules": quality.sql(), "op11_phrase_collocations": collocations.sql(), "op12_embedding_near_dedup": epsgrid.sql()}
+    return {"op1_url_filters": urlfilter.sql(URL_RULES), "op6_exact_dedup": OP6_SQL, "op10_quality_rules": quality.sql(), "op11_phrase_collocations": collocations.sql(), "op12_embedding_near_dedup": epsgrid.sql(), "op13_conversation_prefix_trie": prefixtrie.sql()}
