@@ -22,8 +22,8 @@ ENDED = '[.!?…。")»”][ \\t-\\r]*$'
 WINDOW = 8
 ROUNDS, POSTERIOR = 40, 0.5
 #: First guesses: share of good documents, and how often a rule votes good on good, good on bad, bad on good, bad on bad ones;
-#: in each class they count as much as all documents do, at every size of the input.
-PRIOR, GUESS = 0.8, (0.8, 0.65, 0.005, 0.3)
+#: in each class they count as much as `WEIGHT` documents, at every size of the input, so that the data decide.
+PRIOR, GUESS, WEIGHT = 0.8, (0.8, 0.65, 0.005, 0.3), 10
 SHARES = (0.01, 0.99)
 #: name: (value in SQL, good if, bad if); a missing condition is never met. `n_words` is above 0 where a value is used.
 RULES = {
@@ -88,17 +88,22 @@ def _posterior(model: str, votes: str) -> str:
     return f"1 / (1 + exp(-(ln({model}.prior / (1 - {model}.prior)) + {said})))"
 
 
-def estimate(patterns: DataFrame) -> DataFrame:
-    """(votes, n) to (votes, posterior): the estimate is one expression over the patterns in one row, at most 3^rules of them."""
+def fitted(patterns: DataFrame) -> DataFrame:
+    """(votes, n) to one row (patterns, model): expectation-maximisation as one expression over at most 3^rules patterns."""
     total = "aggregate(zip_with(patterns, posts, (p, q) -> {}), 0D, (x, y) -> x + y)".format
-    rates = ", ".join(f"({total(f'IF(p.votes[j] = {vote}, p.n * {share}, 0D)')} + {guess}D * {total('p.n')}) / ({total(f'p.n * {share}')} + {total('p.n')}) AS {name}" for (name, vote, share), guess in zip(_RATES, GUESS, strict=True))
+    rates = ", ".join(f"({total(f'IF(p.votes[j] = {vote}, p.n * {share}, 0D)')} + {guess * WEIGHT}D) / ({total(f'p.n * {share}')} + {WEIGHT}) AS {name}" for (name, vote, share), guess in zip(_RATES, GUESS, strict=True))
     prior = f"least({SHARES[1]}D, greatest({SHARES[0]}D, {total('p.n * q')} / {total('p.n')}))"
     posts = f"transform(patterns, p -> {_posterior('s', 'p.votes')})"
     step = f"transform(array({posts}), posts -> struct({prior} AS prior, transform(sequence(0, {len(RULES) - 1}), j -> struct({rates})) AS rates))[0]"
     first = ", ".join(f"{guess}D AS {name}" for (name, _, _), guess in zip(_RATES, GUESS, strict=True))
     start = f"struct({PRIOR}D AS prior, array_repeat(struct({first}), {len(RULES)}) AS rates)"
     row = patterns.agg(F.array_sort(F.collect_list(F.struct("votes", F.col("n").cast("double").alias("n")))).alias("patterns"))
-    done = row.withColumn("model", F.expr(f"aggregate(sequence(1, {ROUNDS}), {start}, (s, i) -> {step})"))
+    return row.withColumn("model", F.expr(f"aggregate(sequence(1, {ROUNDS}), {start}, (s, i) -> {step})"))
+
+
+def estimate(patterns: DataFrame) -> DataFrame:
+    """(votes, n) to (votes, posterior): the probability that documents with these votes are good."""
+    done = fitted(patterns)
     return done.select("model", F.explode("patterns").alias("p")).select("p.votes", F.expr(_posterior("model", "p.votes")).alias("posterior"))
 
 
@@ -106,7 +111,8 @@ def judge(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     """The measures, base_failed, posterior and kept of each document, repeated rows and null ids too.
 
     base_failed: under 20 words, or over 30 % of the words in repeated windows. kept: not
-    base_failed, and a posterior of at least `POSTERIOR`. No documents give no rows.
+    base_failed, and a posterior of at least `POSTERIOR`. Null texts and texts without words count as empty: no rule
+    votes on them and they are base_failed. Texts are read whole, however long. No documents give no rows.
     """
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     votes = F.expr(f"array({', '.join(_vote(*rule) for rule in RULES.values())})")
@@ -128,7 +134,7 @@ def sql(documents: str = "documents") -> str:
     posts = f"[{_sql_posterior('e', 'p.votes')} FOR p IN w.patterns]"
     total = "list_sum([{} FOR p, k IN patterns])".format
     of = lambda share: share.replace("q", "posts[k]")
-    rates = ", ".join(f"'{name}': ({total(f'CASE WHEN p.votes[j] = {vote} THEN p.n * {of(share)} ELSE 0 END')} + {guess} * {total('p.n')}) / ({total(f'p.n * {of(share)}')} + {total('p.n')})" for (name, vote, share), guess in zip(_RATES, GUESS, strict=True))
+    rates = ", ".join(f"'{name}': ({total(f'CASE WHEN p.votes[j] = {vote} THEN p.n * {of(share)} ELSE 0 END')} + {guess * WEIGHT}) / ({total(f'p.n * {of(share)}')} + {WEIGHT})" for (name, vote, share), guess in zip(_RATES, GUESS, strict=True))
     first = ", ".join(f"'{name}': {guess}::DOUBLE" for (name, _, _), guess in zip(_RATES, GUESS, strict=True))
     prior = f"least({SHARES[1]}, greatest({SHARES[0]}, {total('p.n * posts[k]')} / {total('p.n')}))"
     return f"""
