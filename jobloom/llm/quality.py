@@ -1,7 +1,8 @@
 """Quality rules as weak supervision, in DataFrame functions alone.
 
 Every rule votes good (1), bad (-1) or abstains (0). A rule that looks for one kind of
-junk votes bad or abstains: not to be that junk says little. Documents are counted by
+junk votes bad or abstains: not to be that junk says little. To be none of the junk does say something: one more
+rule votes good then, which ties the good class to documents without any. Documents are counted by
 their votes; expectation-maximisation over these counts (at most 3^rules) estimates how many
 documents are good and how often each rule gives each vote on good and on bad ones, and
 each combination of votes gets the posterior probability that its documents are good.
@@ -22,8 +23,8 @@ ENDED = '[.!?…。")»”][ \\t-\\r]*$'
 WINDOW = 8
 ROUNDS, POSTERIOR = 40, 0.5
 #: First guesses: share of good documents, and how often a rule votes good on good, good on bad, bad on good, bad on bad ones;
-#: in each class they count as much as `WEIGHT` documents, at every size of the input, so that the data decide.
-PRIOR, GUESS, WEIGHT = 0.8, (0.8, 0.65, 0.005, 0.3), 10
+#: in each class they count as much as `WEIGHT` documents, at every size of the input: they keep logarithms finite, and the data decide.
+PRIOR, GUESS, WEIGHT = 0.8, (0.8, 0.65, 0.005, 0.3), 0.1
 SHARES = (0.01, 0.99)
 #: name: (value in SQL, good if, bad if); a missing condition is never met. `n_words` is above 0 where a value is used.
 RULES = {
@@ -37,6 +38,7 @@ RULES = {
     "lines": ("n_dup_lines / n_lines", None, "> 0.5D"),
     "repeats": ("n_repeat_words / n_words", None, "> 0.3D"),
 }
+RULES["no_junk"] = (f"CASE WHEN {' OR '.join(f'{value} {bad}' for value, good, bad in RULES.values() if good is None)} THEN 0 ELSE 1 END", "= 1", None)
 
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -74,8 +76,9 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return found.select(*names, covered.alias("n_repeat_words"))
 
 
-def _vote(value: str, good: str | None, bad: str) -> str:
-    return f"CASE WHEN n_words = 0 THEN 0 {f'WHEN {value} {good} THEN 1 ' if good else ''}WHEN {value} {bad} THEN -1 ELSE 0 END"
+def _vote(value: str, good: str | None, bad: str | None) -> str:
+    cases = [f"WHEN {value} {met} THEN {vote}" for met, vote in ((good, 1), (bad, -1)) if met]
+    return f"CASE WHEN n_words = 0 THEN 0 {' '.join(cases)} ELSE 0 END"
 
 
 #: What a vote adds to the log odds of a good document: a good vote never takes from them, a bad one never adds.
