@@ -14,7 +14,7 @@ from jobloom.plans.catalog_records import payloads
 from jobloom.plans.cycle import job_nodes_with_age, outcomes, publish_jobs, retain, run_cycle, stage_source
 from jobloom.plans.registry import query
 from jobloom.session import scratch_dir
-from jobloom.sources import readers, sinks
+from jobloom.sources import readers, sinks, state
 from jobloom.streaming import jobs as streams
 
 STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -209,9 +209,24 @@ def graph_state(spark, sf_dir):
     root = scratch_dir(spark, "state")
     jobs = written_jobs(spark, sf_dir)
     for batch, (rows, day) in enumerate((("_id % 3 <> 0", "2001-08-01"), ("_id % 2 = 0 OR _id % 3 = 0", "2001-08-02"))):
-        sinks.upsert_state(spark, graph.build_graph(jobs.filter(rows), day), graph.KEYS, root, batch)
+        state.upsert_state(spark, graph.build_graph(jobs.filter(rows), day), graph.KEYS, root, batch)
     sinks.write_batch(spark.range(5).select(F.col("id").alias("job_key")), f"{root}/node_job", 2)
-    return graph_rows({name: sinks.read_state(spark, root, name) for name in graph.KEYS})
+    return graph_rows({name: state.read_state(spark, root, name) for name in graph.KEYS})
+
+
+@query(
+    "graph_state_buckets",
+    _graph_sql("CASE WHEN o_orderkey % 2 = 0 OR o_orderkey % 3 = 0 THEN '2001-08-02' ELSE '2001-08-01' END", "struct_pack(b := o_orderkey % 2 = 0 OR o_orderkey % 3 = 0, t := -o_orderkey)"),
+)
+def graph_state_buckets(spark, sf_dir):
+    """The same state in 16 buckets after a batch was run again, small batches that change nothing, and a clean-up of old versions."""
+    root = scratch_dir(spark, "buckets")
+    jobs = written_jobs(spark, sf_dir)
+    steps = (("_id % 3 <> 0", "2001-08-01"), ("_id % 3 = 1", "2001-08-01"), ("_id % 3 <> 0", "2001-08-01"), ("_id % 2 = 0 OR _id % 3 = 0", "2001-08-02"), ("_id < 0", "2001-08-03"))
+    for batch, (rows, day) in zip((0, 1, 1, 2, 3), steps, strict=True):
+        state.upsert_state(spark, graph.build_graph(jobs.filter(rows), day), graph.KEYS, root, batch, buckets=16)
+    state.remove_versions(spark, root)
+    return graph_rows({name: state.read_state(spark, root, name) for name in graph.KEYS})
 
 
 # ---- streams: run over all available files, results read back ----
@@ -444,10 +459,10 @@ def cycle_analytics(spark, sf_dir):
     raw = payloads(spark, sf_dir, "naukri")
     for batch, (day, rows) in enumerate((("2001-08-01", "external_id % 2 = 0"), ("2001-09-30", "true"))):
         run_cycle(spark, "AFTERNOON", f"{day} 10:00:00", {"naukri": raw.filter(rows)}, dictionaries(spark), root, batch)
-    state = lambda name: sinks.read_state(spark, f"{root}/analytics_state", name)
+    last = lambda name: state.read_state(spark, f"{root}/analytics_state", name)
     day = lambda c: F.to_date(c).cast("string").alias("day")
-    links = state("role_skill_links").select(F.lit("link").alias("kind"), F.concat_ws("|", "role_title", "skill").alias("name"), F.col("frequency").alias("n"), day("last_updated"))
-    demand = state("skill_demand").select(F.lit("demand").alias("kind"), F.col("skill").alias("name"), F.col("demand_count").alias("n"), day("last_analyzed"))
+    links = last("role_skill_links").select(F.lit("link").alias("kind"), F.concat_ws("|", "role_title", "skill").alias("name"), F.col("frequency").alias("n"), day("last_updated"))
+    demand = last("skill_demand").select(F.lit("demand").alias("kind"), F.col("skill").alias("name"), F.col("demand_count").alias("n"), day("last_analyzed"))
     aged = job_nodes_with_age(spark, root).filter("hours_old IS NOT NULL").agg(F.count("*").alias("n"))
     return links.unionByName(demand).unionByName(aged.select(F.lit("aged jobs").alias("kind"), F.lit("").alias("name"), "n", F.lit("").alias("day")))
 

@@ -9,7 +9,7 @@ from jobloom.operators import analytics, roles
 from jobloom.operators.normalize import normalize
 from jobloom.operators.ranking import global_row_number
 from jobloom.operators.staging import stage_raw
-from jobloom.plans import views
+from jobloom.plans import cycle, views
 from jobloom.plans.catalog_feeds import dictionaries
 from jobloom.plans.catalog_records import payloads
 from jobloom.plans.cycle import run_cycle
@@ -83,13 +83,29 @@ def test_running_an_older_batch_again_leaves_newer_jobs(spark, tmp_path):
     assert run(0, raw.filter("external_id % 2 = 0"))["ingest"] == first["ingest"]
 
 
+def test_steps_read_only_job_batches_they_have_not_seen(spark, tmp_path):
+    """The ledger names what a step has read; a later step does not open the folders of earlier ones."""
+    root = str(tmp_path)
+    raw = payloads(spark, SF, "foundit").limit(60)
+    d = dictionaries(spark)
+    for batch, rows in enumerate(("external_id % 2 = 0", "true")):
+        run_cycle(spark, "MORNING", "2001-08-01 10:00:00", {"foundit": raw.filter(rows)}, d, root, batch)
+    assert cycle.unseen(spark, root, 2, "ingested_batches") == [] and cycle.unseen(spark, root, 2, "published_batches") == [0, 1]
+    assert cycle.unseen(spark, root, 0, "ingested_batches") == [0]
+    files = cycle.new_jobs(spark, root, [1]).inputFiles()
+    assert len(cycle.new_jobs(spark, root, [1]).select("_id").collect()) == 30 and files
+    assert plan(cycle.new_jobs(spark, root, [1])).count("PartitionFilters: [isnotnull(batch") == 1
+    assert cycle.publish_jobs(spark, root, 1) == 60 and cycle.publish_jobs(spark, root, 2) == 0
+    assert cycle.remove_old_state(spark, root, 1) > 0
+    assert cycle.read_state(spark, f"{root}/state", "node_job").count() == 60
+
+
 def test_half_written_graph_is_not_read(spark, tmp_path):
     root = str(tmp_path)
     sinks.write_batch(spark.range(3).select(F.col("id").alias("name")), f"{root}/node_tool", 0)
     sinks.commit(spark, root, 0)
     sinks.write_batch(spark.range(9).select(F.col("id").alias("name")), f"{root}/node_tool", 1)
     assert sinks.read_graph(spark, root, ["node_tool"])["node_tool"].count() == 3
-    assert sinks.read_state(spark, root, "node_tool").count() == 3
 
 
 def test_ranges_follow_the_shuffle_partitions(spark):
