@@ -11,8 +11,9 @@ from jobloom import fixed_values as fixed
 from jobloom.functions.text import title_words
 from jobloom.functions.values import array_or_empty, count_in, sql_text
 from jobloom.operators.lookup import PART_ENTRIES, Part, computed_once, fold, probed
-from jobloom.operators.nearest import with_nearest
+from jobloom.operators.nearest import nearest_roles
 from jobloom.operators.skills import names, with_buckets
+from jobloom.session import scratch_dir
 
 Embedder = Callable[[list[str]], list[list[float]]]
 HITS = "array<struct<role_ord:bigint,role:string,words:array<string>,times:bigint>>"
@@ -205,19 +206,20 @@ def find_role(
     left_over = F.col("needs_vector")
     if role_vec is None or (embeddings is None and embedder is None):
         return decided.withColumn("role", F.coalesce("role", F.when(left_over, F.lit("Others")))).drop("needs_vector")
+    # written once: settled rows go on as they are, and only the rest meets the vectors
+    path = scratch_dir(df.sparkSession, "decided")
+    decided.write.parquet(path)
+    decided = df.sparkSession.read.schema(decided.schema).parquet(path)
+    open_rows = decided.filter(left_over).withColumn("_row", F.monotonically_increasing_id())
     if embedder is not None:
-        text = F.when(left_over, role_text(F.col(title), F.coalesce(F.col(skills), F.array().cast("array<string>"))))
-        joined = computed_once(decided, _vector=_embedded(text, embedder))
+        text = role_text(F.col(title), F.coalesce(F.col(skills), F.array().cast("array<string>")))
+        vectors = open_rows.select("_row", _embedded(text, embedder).alias("_vector"))
     else:
-        # settled rows get a spread key of their own: they match nothing and gather nowhere
-        vectors = embeddings.groupBy(F.col("key").alias("_key")).agg(F.min("vector").alias("_vector")).withColumn("_salt", F.lit(0))
-        keyed = decided.withColumns({
-            "_key": F.when(left_over, F.col(key)), "_salt": F.when(left_over, 0).otherwise(F.pmod(F.xxhash64(key), F.lit(2**20)).cast("int") + 1)
-        })
-        joined = keyed.join(vectors, ["_key", "_salt"], "left").drop("_key", "_salt")
-    near = with_nearest(joined, "_vector", role_vec, "_near")
-    role = F.when(left_over, F.coalesce("_near", F.lit("Others"))).otherwise(F.col("role"))
-    return near.withColumn("role", role).drop("_near", "_vector", "needs_vector")
+        own = embeddings.groupBy(F.col("key").alias("_key")).agg(F.min("vector").alias("_vector"))
+        vectors = open_rows.select("_row", F.col(key).alias("_key")).join(own, "_key").select("_row", "_vector")
+    near = nearest_roles(vectors, "_row", "_vector", role_vec).select("_row", F.col("role").alias("_near"))
+    told = open_rows.join(near, "_row", "left").withColumn("role", F.coalesce("_near", F.lit("Others"))).drop("_row", "_near")
+    return decided.filter(~left_over).unionByName(told).drop("needs_vector")
 
 
 def with_role_defaults(df: DataFrame) -> DataFrame:

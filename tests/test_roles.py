@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from jobloom.operators import roles, skills
+from jobloom.operators import nearest, roles, skills
 from jobloom.operators.nearest import nearest_roles
 from jobloom.plans import views
 
@@ -114,7 +114,36 @@ def test_cascade_is_evaluated_once(spark, tables):
     jobs, vectors, role_vec = tables
     out = roles.find_role(jobs, "k", "title", "skills", views.taxonomy(spark), views.role_skill(spark), role_vec, vectors)
     text = out._jdf.queryExecution().optimizedPlan().toString()
-    assert text.count("low_confidence_ml") == 1
+    # the decided rows are written, and both the settled rows and the others are read from there
+    assert text.count("low_confidence_ml") == 0 and text.count("extracted_by") > 0
+
+
+def test_cells_out_of_reach_are_not_visited(spark):
+    """Roles in far clusters: a row meets its own cell, then next to none of the others; the nearest role is still exact."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(12, 16))
+    role_rows = np.repeat(centres, 20, axis=0) + 0.05 * rng.normal(size=(240, 16))
+    query_rows = centres[rng.integers(12, size=300)] + 0.05 * rng.normal(size=(300, 16))
+    role_vec = spark.createDataFrame([(f"r{j}", j, v.tolist()) for j, v in enumerate(role_rows)], "role string, ord bigint, vector array<double>")
+    queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(query_rows)], "k bigint, v array<double>")
+    scores = query_rows @ (role_rows / np.linalg.norm(role_rows, axis=1, keepdims=True)).T
+    assert {r["k"]: r["role"] for r in nearest_roles(queries, "k", "v", role_vec).collect()} == {i: f"r{j}" for i, j in enumerate(scores.argmax(axis=1))}
+    index = nearest.index_roles(role_vec)
+    units = [(i, (v / np.linalg.norm(v)).tobytes()) for i, v in enumerate(query_rows)]
+    planned = index.plan(spark.createDataFrame(units, "rid long, unit binary"), 1)
+    first = planned.selectExpr("rid", "unit", "explode(slice(cells, 1, first)) cell")
+    found = nearest._best(index.match(first, 1), 1)
+    visits, cells = nearest.second_visits(planned, found, 1).count(), len(index.cells)
+    assert cells >= 10 and first.count() == 300 and visits < 0.2 * 300 * (cells - 1)
+
+
+def test_hot_cell_is_many_groups(spark, monkeypatch):
+    """Most rows are nearest to one cell, and one vector belongs to many roles: groups stay small, ties go to the first role."""
+    monkeypatch.setattr(nearest, "GROUP_ROWS", 16)
+    role_vec = spark.createDataFrame([(f"r{j:03}", j, [1.0, 0.0] if j < 90 else [0.0, 1.0 + j]) for j in range(100)], "role string, ord bigint, vector array<double>")
+    queries = spark.createDataFrame([(i, [1.0, 0.001 * i]) for i in range(200)] + [(200, [0.0, 3.0])], "k bigint, v array<double>")
+    found = {(r["k"], r["place"]): r["role"] for r in nearest_roles(queries, "k", "v", role_vec, k=2, block_bytes=64).collect()}
+    assert len(found) == 402 and all(found[i, 1] == "r000" and found[i, 2] == "r001" for i in range(200)) and found[200, 1] == "r090"
 
 
 @pytest.mark.parametrize("block_bytes", [64 * 1024 * 1024, 70])
