@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from jobloom.llm.chunks import ChunkEncoder, runs
-from jobloom.llm.common import ids_and_texts, slices
+from jobloom.llm.common import ids_and_texts, ship, slices
 
 #: Words in one query; words and chunks kept with their tokens in a worker (about).
 WORDS, STORE = 100_000, (1_200_000, 800_000)
@@ -223,6 +223,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
             ids = np.fromiter((i for row in rows for i in row), np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(coder(path, pattern).decode(ids, bounds), pa.binary())], ["doc_id", "bytes"])
 
+    ship(encoded.sparkSession)
     return encoded.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{ids_col}` as array<int>) as ids").mapInArrow(run, "doc_id long, bytes binary")
 
 

@@ -47,7 +47,8 @@ def settle(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
 
 
 def ids_and_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only the two columns an operator reads, under fixed names; other columns cannot clash."""
+    """Only the two columns an operator reads, under fixed names; other columns cannot clash. Sends the package along."""
+    ship(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
@@ -57,15 +58,19 @@ def digest(text: Column) -> Column:
 
 
 def keep_rows(docs: DataFrame, keepers: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` whose id and text digest are in `keepers` (doc_id, digest), each once.
+    """The rows of `docs` whose id and text digest are in `keepers` (doc_id, digest), one for each of these.
 
     Every key stands for one row, so no copy group can gather in a task: groups
-    were reduced to their keeper before. The repeats of a whole row fall to one.
+    were reduced to their keeper before. Of rows with equal id and text the one with the least other
+    columns, written as JSON, stays. Rows travel as one struct, so no column of theirs clashes with a helper.
     """
-    key, sha = "__key", "__sha"
-    marked = docs.withColumns({key: F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), sha: digest(F.col(text_col))})
-    wanted = keepers.select(F.coalesce("doc_id", F.lit(NO_ID)).alias(key), F.col("digest").alias(sha))
-    return marked.join(wanted, [key, sha], "left_semi").dropDuplicates([key, sha]).drop(key, sha)
+    quoted = {c: F.col(f"`{c}`") for c in docs.columns}
+    rest = [x for c, x in quoted.items() if c not in (id_col, text_col)]
+    order = F.to_json(F.struct(*rest)) if rest else F.lit("")
+    marked = docs.select(F.struct(*quoted.values()).alias("row"), order.alias("least"), F.coalesce(quoted[id_col].cast("long"), F.lit(NO_ID)).alias("key"), digest(quoted[text_col]).alias("sha"))
+    wanted = keepers.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), F.col("digest").alias("sha"))
+    kept = marked.join(wanted, ["key", "sha"], "left_semi").groupBy("key", "sha").agg(F.min_by("row", "least").alias("row"))
+    return kept.select("row.*")
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", chars: int = 4_000_000) -> Iterator[tuple[pa.RecordBatch, list[str]]]:

@@ -4,12 +4,13 @@ Base matches are seeds. The words around a seed are lexical patterns; a pattern
 takes other identifiers (tokens with enough digits, groups of digits with blanks between them, or an @). Patterns and the
 identifiers they take form a graph, scored in rounds: a pattern is as good as the share
 of its identifiers that are known to be of one kind, an identifier is as good as its best
-pattern. Rounds end when trust no longer moves. Patterns that end above `CONFIDENT` give their unknown identifiers a kind: the spans added.
+pattern. Rounds end when no pattern's trust moves. Patterns that end above `CONFIDENT` give their unknown identifiers a kind: the spans added.
 The graph has one edge per pattern and identifier, so copies of a text add nothing to it.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -21,12 +22,12 @@ from pyspark.sql import functions as F
 from jobloom.llm.common import ids_and_texts, settle, slices
 
 KINDS = ("email", "ip", "card", "phone")
-#: Rounds go on while a pattern is new or the sum of all trust grows by so much; trust never falls, so they end.
-MOVES = 1e-6
+#: Trust is kept to so many decimals: it never falls, so rounds end when no pattern's trust is another than before.
+DECIMALS = 6
 #: Identifiers a pattern needs, weight of an unseen wrong one, and the confidence from which a pattern is trusted.
 SUPPORT, SMOOTHING, CONFIDENT = 4, 1.0, 0.8
-#: Digits an unknown identifier needs, its longest form, and the characters beside it that hold its context.
-DIGITS, LONGEST, AROUND = 4, 64, 60
+#: Digits an unknown identifier needs. Nothing is bounded by length; longer names than `WHOLE` stand as their hash in the graph.
+DIGITS, WHOLE = 4, 200
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -35,6 +36,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
+_WORD = re.compile(r"\S+")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]*+")
 #: Digits with the signs that base forms have among them, and what joins two such groups: no dot before a blank, which ends a sentence.
 _GROUP, _GAP = re.compile(r"\+?[0-9][0-9().-]*"), re.compile(r"[\x20()-]+")
@@ -82,17 +84,39 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def _patterns(text: str, start: int, end: int) -> list[str]:
-    """Contexts of a span: the two words before it, and the word before with the word after."""
-    before = re.sub(r"[0-9]", "0", text[max(0, start - AROUND) : start].lower()).split()[-2:]
-    after = re.sub(r"[0-9]", "0", text[end : end + AROUND].lower()).split()[:1]
-    return [f"{' '.join(before)} _", f"{' '.join(before[-1:])} _ {' '.join(after)}"]
+def _named(value: str) -> str:
+    return value if len(value) <= WHOLE else hashlib.blake2b(value.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
+class Contexts:
+    """Patterns of the spans of one text: the two words before a span, and the word before with the word after.
+
+    Words are whole; what touches a span in its own word counts as one of them. Digits stand as 0.
+    """
+
+    def __init__(self, text: str):
+        self.text = text
+        self.words = [m.span() for m in _WORD.finditer(text)]
+        self.starts = [s for s, _ in self.words]
+
+    def _word(self, start: int, end: int) -> str:
+        return _DIGIT.sub("0", self.text[start:end].lower())
+
+    def patterns(self, start: int, end: int) -> list[str]:
+        k = bisect.bisect_left(self.starts, start)
+        before = [self._word(s, min(e, start)) for s, e in self.words[max(0, k - 2) : k]]
+        j = bisect.bisect_right(self.starts, end) - 1
+        if j >= 0 and self.words[j][1] > end:
+            after = [self._word(end, self.words[j][1])]
+        else:
+            after = [self._word(*w) for w in self.words[j + 1 : j + 2]]
+        return [_named(f"{' '.join(before)} _"), _named(f"{' '.join(before[-1:])} _ {' '.join(after)}")]
 
 
 def _joined_groups(text: str, groups: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Groups of digits beside one another as one span; the groups themselves where it is over `LONGEST`."""
-    start, end = groups[0][0], groups[-1][1]
-    if len(groups) > 1 and end - start <= LONGEST:
+    """Groups of digits beside one another as one span, however many."""
+    if len(groups) > 1:
+        start, end = groups[0][0], groups[-1][1]
         opened = text[start - 1 : start] == "(" and ")" in text[start:end]
         groups = [(start - opened, end)]
     return [(s, e) for s, e in groups if sum(c in "0123456789" for c in text[s:e]) >= DIGITS]
@@ -106,12 +130,10 @@ def identifiers(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int,
         if m.start() < at:
             continue
         start = m.start()
-        while start > at and m.start() - start < LONGEST and text[start - 1] not in " \t\n\x0b\x0c\r":
+        while start > at and text[start - 1] not in " \t\n\x0b\x0c\r":
             start -= 1
         at = _TOKEN.match(text, m.start()).end()
         token = text[start:at]
-        if len(token) > LONGEST:
-            continue
         start += len(token) - len(token.lstrip(_EDGE))
         token = token.strip(_EDGE)
         end = start + len(token)
@@ -120,7 +142,7 @@ def identifiers(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int,
         if not (k == len(taken) or taken[k][0] >= end):
             continue
         if _GROUP.fullmatch(token):
-            if groups and not (token[0] != "+" and start - groups[-1][1] <= LONGEST and _GAP.fullmatch(text, groups[-1][1], start)):
+            if groups and not (token[0] != "+" and _GAP.fullmatch(text, groups[-1][1], start)):
                 found += _joined_groups(text, groups)
                 groups = []
             groups.append((start, end))
@@ -145,7 +167,8 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base = base_spans(text) if "@" in text or _DIGIT.search(text) else []
             both = [(k, s, e) for k, s, e in base] + ([(None, s, e) for s, e in identifiers(text, base)] if base or _DIGIT.search(text) or "@" in text else [])
             base_rows.append([{"kind": k, "start": s, "end": e} for k, s, e in base])
-            seen_rows.append([{"kind": k, "start": s, "end": e, "value": text[s:e].lower(), "patterns": _patterns(text, s, e)} for k, s, e in both])
+            contexts = Contexts(text) if both else None
+            seen_rows.append([{"kind": k, "start": s, "end": e, "value": _named(text[s:e].lower()), "patterns": contexts.patterns(s, e)} for k, s, e in both])
             digests.append(hashlib.sha256(_joined(base).encode()).hexdigest())
         arrays = [batch.column("doc_id"), pa.array(base_rows, pa.list_(_SPAN)), pa.array(seen_rows, pa.list_(_SEEN)), pa.array(digests, pa.string())]
         yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "base", "seen", "base_sha256"])
@@ -162,15 +185,15 @@ def trusted_patterns(spark: SparkSession, seen: DataFrame) -> DataFrame:
     edges = settle(spark, pairs.join(sizes, "pattern"), "pattern_edges")
     known = seen.where(F.col("kind").isNotNull()).select("value", "kind").distinct().withColumn("trust", F.lit(1.0))
     known = settle(spark, known.join(edges, "value", "left_semi"), "pii_seeds")
-    believed, before = known, (-1, 0.0)
+    believed, before = known, None
     while True:
         scores = edges.join(believed, "value").groupBy("pattern", "kind").agg(F.sum("trust").alias("hits"), F.max("n").alias("n"))
-        good = scores.withColumn("trust", F.col("hits") / (F.col("n") + SMOOTHING)).where((F.col("hits") >= SUPPORT) & (F.col("trust") >= CONFIDENT))
+        good = scores.withColumn("trust", F.round(F.col("hits") / (F.col("n") + SMOOTHING), DECIMALS)).where((F.col("hits") >= SUPPORT) & (F.col("trust") >= CONFIDENT))
         patterns = settle(spark, good.select("pattern", "kind", "trust"), "pii_patterns")
-        now = tuple(patterns.agg(F.count("*"), F.coalesce(F.sum("trust"), F.lit(0.0))).first())
-        if now[0] == 0 or (now[0] == before[0] and now[1] - before[1] < MOVES):
+        moved = patterns if before is None else patterns.join(before, ["pattern", "kind", "trust"], "left_anti")
+        if moved.isEmpty():
             break
-        before = now
+        before = patterns
         fresh = edges.select("pattern", "value").join(patterns, "pattern").groupBy("value", "kind").agg(F.max("trust").alias("trust"))
         believed = settle(spark, known.union(fresh.join(known, "value", "left_anti")), "pii_instances")
     return patterns.groupBy("pattern").agg(F.max_by("kind", F.struct("trust", "kind")).alias("kind"))
@@ -180,7 +203,7 @@ def find(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     """doc_id, n_<kind> and base_sha256 of the base spans, spans with the added ones: a row per document.
 
     Null and empty texts have no spans; repeated rows and null ids are rows of their own; no documents give no rows.
-    A span that several trusted patterns take has the kind that most of them give, then the first in `KINDS`.
+    Texts are read whole, tokens and the words around them too, however long. A span that several trusted patterns take has the kind that most of them give, then the first in `KINDS`.
     """
     read = ids_and_texts(docs, id_col, text_col).mapInArrow(_read, ROWS).withColumn("no", F.monotonically_increasing_id())
     rows = settle(spark, read, "pii_rows")

@@ -7,11 +7,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobloom.llm.automaton import Automaton, longest
-from jobloom.llm.common import ids_and_texts, slices
+from jobloom.llm.common import ids_and_texts, ship, slices
 
 
 @dataclass(frozen=True)
@@ -84,7 +84,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     """doc_id, n_<kind> of each base rule, base_sha256, spans: a row per document.
 
     base_sha256 is of the base spans, `spans` has all, as kind:start:end joined by commas.
-    Null and empty texts have no spans; repeated rows and null ids are rows of their own.
+    Null and empty texts have no spans; repeated rows and null ids are rows of their own;
+    texts are read whole, however long; no documents give no rows.
     """
     base = [r.kind for r in rules if r in BASE]
     names = ["doc_id", *(f"n_{k}" for k in base), "base_sha256", "spans"]
@@ -108,6 +109,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
 
 def redacted(text: Column, rules: tuple[Rule, ...] = BASE + MORE) -> Column:
     """`text` with every found span replaced by [kind]; spans that overlap are one. Null stays null, clean texts stay the same."""
+    ship(SparkSession.active())
     scanner = Scanner(rules)
 
     def clean(value: str) -> str:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import slices
+from jobloom.llm.common import ship, slices
 from jobloom.llm.hf_ids import spans
 
 #: Where a token goes that crosses a boundary: to the section of its first or last character, to the one that has most of
@@ -60,6 +60,7 @@ def count(docs: DataFrame, tokenizer_path: str, fields: tuple[str, ...] = ("text
     sections are its lines, each with its line break. Null fields are empty; an empty field is one section without tokens of
     its own. With `special`, added tokens of the file are found in the texts. Repeated rows and null ids are documents of their own; no documents give no rows.
     """
+    ship(docs.sparkSession)
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
     names = [f"f{k}" for k in range(len(fields))]

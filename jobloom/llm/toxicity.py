@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import settle
+from jobloom.llm.common import settle, ship
 
 #: Labelled rows read to fit, at most: ordinary and toxic, in the order of a hash of the id; and the longest text among them.
 SAMPLE = (4000, 2000)
@@ -221,6 +221,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     most. Where ids repeat, so that there are more, the first of them in that order count.
     """
     spark = docs.sparkSession
+    ship(spark)
     marked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(F.length("text") <= SAMPLE_CHARS)
     sized = settle(spark, read.select("doc_id").join(marked, "doc_id"), "labelled")

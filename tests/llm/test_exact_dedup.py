@@ -7,7 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 
-from jobloom.llm import exactdedup
+from jobloom.llm import common, exactdedup
 from jobloom.llm.common import keep_rows
 
 
@@ -55,3 +55,16 @@ def test_rows_kept(spark, awkward):
     kept = keep_rows(awkward, found.where("kept").select("doc_id", "digest"))
     assert kept.columns == awkward.columns
     assert sorted((r.text or "") for r in kept.collect()) == sorted({r.text or "" for r in awkward.collect()})
+
+
+def test_kept_rows_have_all_columns_under_any_name(spark):
+    """Names that helpers might use, a dot in a name, a map; of rows with equal id and text always the same one stays."""
+    rows = [(1, "a", "x", 1, {"k": 1}), (1, "a", "w", 2, {"k": 1}), (2, "a", "y", 3, {"k": 2}), (None, None, "z", 4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `__sha` string, `key.x` long, row map<string,int>")
+    found = exactdedup.deduplicate(spark, docs).where("kept").select("doc_id", "digest")
+    for frame in (docs, docs.repartition(5)):
+        kept = common.keep_rows(frame, found)
+        assert kept.columns == docs.columns
+        assert sorted(((r[0], r[2]) for r in kept.collect()), key=str) == [(2, "y"), (None, "z")]
+    once = common.keep_rows(docs, found.limit(0).unionByName(docs.select("doc_id", common.digest(docs.text).alias("digest"))))
+    assert sorted(((r[0], r[2]) for r in once.collect()), key=str) == [(1, "w"), (2, "y"), (None, "z")]

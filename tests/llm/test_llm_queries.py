@@ -79,3 +79,15 @@ def test_pipeline_on_awkward_rows(spark, awkward, tmp_path):
             now = stage(spark, now, str(tmp_path))
             assert now.columns == docs.columns
         corpus_pipeline.STAGES[-1][1](spark, now, str(tmp_path)).count()
+
+
+def test_pipeline_without_labels_of_both_classes_and_with_other_columns(spark, tmp_path):
+    """Nothing is judged toxic then; no stage needs a column beside doc_id and text, and none loses one."""
+    rows = [(1, "token=abcdefgh one two", "k"), (2, "token=abcdefgh one two", "l"), (3, None, "m"), (None, "other words here", "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `__key` string")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    now = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, str(tmp_path))
+        assert now.columns == docs.columns and now.count() == (4 if name == "toxicity" else 3)
+    assert "token=abcdefgh" not in str(now.collect())

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import re
+import subprocess
+import sys
 
 from conftest_llm import WORDS
 from jobloom.llm import pii
@@ -58,7 +61,7 @@ def test_groups_of_digits_are_one_identifier():
     cases = {
         "card no 4556 7375 8689 9857 end": ["4556 7375 8689 9857"], "phone 555 123 4567.": ["555 123 4567"], "phone (555) 123-4567 x": ["(555) 123-4567"],
         "555.123.4567": ["555.123.4567"], "year 1999. 2000 men": ["1999", "2000"], "1234, 5678": ["1234", "5678"], "ab-1234 5678": ["ab-1234", "5678"], "1 2 3": [], "x 12 34ab": [],
-        "mail a@b 1234 a@c": ["a@b", "1234", "a@c"], "1111 " * 30: ["1111"] * 30,
+        "mail a@b 1234 a@c": ["a@b", "1234", "a@c"], "1111 " * 30: ["1111 " * 29 + "1111"],
     }
     for text, wanted in cases.items():
         assert [text[s:e] for s, e in pii.identifiers(text, pii.base_spans(text))] == wanted
@@ -93,3 +96,38 @@ def test_awkward_rows(spark, awkward, nothing):
     rows = pii.find(spark, awkward).collect()
     assert len(rows) == awkward.count() and {r.spans for r in rows} == {""}
     assert pii.find(spark, nothing).count() == 0
+
+
+def test_long_identifiers_and_long_neighbours(spark):
+    """Identifiers of 70 digits, groups far wider than that and words of thousands of characters beside a span are taken whole."""
+    word = "w" * 5000
+    seeds = [(i, f"please call number +44 20 79{i:02} 0{i:03} now") for i in range(30)]
+    rows = [*seeds, (100, f"please call number {'7' * 70} now"), (101, f"please call number {' '.join(['123456'] * 20)} now")]
+    rows += [(200 + i, f"{word} {'v' * 3000} a{i}@b.example then") for i in range(30)] + [(300, f"{word} {'v' * 3000} {'k9' * 50}")]
+    found = {r.doc_id: r.spans for r in pii.find(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[100] == "phone:19:89" and found[101] == f"phone:19:{19 + 20 * 7 - 1}" and found[300] == "email:8002:8102"
+
+
+def test_contexts_are_whole_words_as_split(rng):
+    for _ in range(300):
+        text = "".join(rng.choice(["a", "B7", " ", "  ", "\n", "(", "\x85", "12"]) for _ in range(30))
+        start = rng.randrange(len(text))
+        end = rng.randrange(start + 1, len(text) + 1)
+        fold = lambda x: re.sub("[0-9]", "0", x.lower()).split()
+        before, after = fold(text[:start])[-2:], fold(text[end:])[:1]
+        assert pii.Contexts(text).patterns(start, end) == [f"{' '.join(before)} _", f"{' '.join(before[-1:])} _ {' '.join(after)}"]
+
+
+def test_operators_run_from_another_folder(tmp_path):
+    """Workers get the package from the operator itself, wherever the driver was started."""
+    code = f"import sys; sys.path.insert(0, {os.getcwd()!r})\n" + """
+from jobloom.session import get_spark
+from jobloom.llm import pii, prefixtrie
+spark = get_spark(master="local[2]", **{"spark.sql.shuffle.partitions": "2"})
+docs = spark.createDataFrame([(1, "a@b.example")], "doc_id long, text string")
+assert pii.find(spark, docs).first().n_email == 1
+sys.stdout.write("fine")
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240, check=False)
+    assert done.stdout.endswith("fine"), done.stderr[-2000:]
