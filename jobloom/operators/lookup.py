@@ -1,23 +1,17 @@
-"""Dictionaries probed inside a projection.
-
-A dictionary is folded into array values: slot `hash % n` holds the entries with
-that hash. An array reaches the tasks as a scalar subquery, so a lookup is an
-expression on the row: no join, no shuffle, no explode-and-regroup of the fact side,
-and a term shared by a third of all rows costs nothing extra. An array has a bounded
-size: a larger dictionary is cut into parts by the hash of its keys, and the rows pass
-one part after the other. The way is the same for every size, and so are the results.
+"""Dictionaries joined to the distinct lists of a table.
+
+What a dictionary says about a row's list depends on the list alone. So each distinct
+list is looked up once: its terms are exploded, joined by key and put together again,
+and the result is joined back by a digest of the list. Rows meet one join, whatever the
+size of the dictionary; a list shared by a third of all rows is cut to one row per task
+before it is shuffled, and its rows are split at run time. Nothing depends on row
+numbers, so a recomputed task gives the same rows.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from typing import Callable
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-PART_ENTRIES = 100_000
-PART_BYTES = 16 * 1024 * 1024
-
 
 def computed_once(df: DataFrame, drop: tuple[str, ...] = (), **columns: Column) -> DataFrame:
     """Add columns that later expressions and filters read instead of repeating.
@@ -34,60 +28,18 @@ def computed_once(df: DataFrame, drop: tuple[str, ...] = (), **columns: Column)
     return done.select(*kept, F.inline(F.array(row)))
 
 
-@dataclass(frozen=True)
-class Part:
-    """One folded array: attach it to a frame, then probe the column."""
-
-    frame: DataFrame
-    slots: int
-
-    def attach(self, df: DataFrame, name: str) -> DataFrame:
-        return df.withColumn(name, self.frame.scalar())
-
-    def probe_all(self, column: Column, key: Column) -> Column:
-        """All values stored for `key`, in their order; [] when absent."""
-        slot = F.get(column, F.pmod(F.xxhash64(key), F.lit(self.slots)).cast("int"))
-        return F.transform(F.filter(slot, lambda e: e["k"] == key), lambda e: e["v"])
+def list_key(terms: Column) -> Column:
+    """A digest that equal lists share, in order and with nulls and repeats; null for an empty or null list."""
+    text = F.array_join(F.transform(terms, lambda t: F.hex(t)), ",", "-")
+    return F.when(F.size(terms) > 0, F.unhex(F.sha2(text, 256)))
 
-    def probe(self, column: Column, key: Column) -> Column:
-        """First value stored for `key`, null when absent."""
-        slot = F.get(column, F.pmod(F.xxhash64(key), F.lit(self.slots)).cast("int"))
-        return F.get(F.filter(slot, lambda e: e["k"] == key), F.lit(0))["v"]
 
-
-def _fold(rows: DataFrame, entries: int) -> Part:
-    slots = 1 << max(entries, 1).bit_length()
-    slotted = rows.select(F.pmod(F.xxhash64("k"), F.lit(slots)).alias("h"), F.struct("o", "k", "v").alias("e"))
-    # every slot gets an element, so that a probe is an offset into the array
-    blank = rows.sparkSession.range(0, slots, 1, 1).select(
-        F.col("id").alias("h"), F.lit(None).cast(slotted.schema["e"].dataType).alias("e")
-    )
-    folded = (
-        slotted.unionByName(blank)
-        .groupBy("h")
-        .agg(F.array_sort(F.collect_list("e")).alias("slot"))
-        .agg(F.array_sort(F.collect_list(F.struct("h", "slot"))).alias("a"))
-        .select(F.col("a.slot").alias("slots"))
-    )
-    return Part(folded, slots)
-
-
-def fold(dim: DataFrame, key: Column, value: Column, order: Column, part_entries: int = PART_ENTRIES) -> list[Part]:
-    """Fold a dictionary into parts of about `part_entries` entries and `PART_BYTES`, keys and values measured.
-
-    Values of one key share a part and are kept in `order`. Null keys are left out: no term equals them.
-    """
-    rows = dim.select(order.alias("o"), key.alias("k"), value.alias("v")).filter(F.col("k").isNotNull())
-    width = F.octet_length("k") + F.octet_length(F.to_json(F.struct("o", "v"))) + F.lit(32)
-    n, size = rows.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
-    parts = max(1, -(-n // part_entries), -(-size // PART_BYTES))
-    chosen = [rows.filter(F.pmod(F.hash("k"), F.lit(parts)) == p) for p in range(parts)] if parts > 1 else [rows]
-    return [_fold(part, 2 * n // parts) for part in chosen]
+def distinct_lists(df: DataFrame, terms: Column) -> DataFrame:
+    """(_list, _terms): every list that is not empty, once. Copies go before the shuffle."""
+    lists = computed_once(df.filter(F.size(terms) > 0).select(terms.alias("_terms")), _list=list_key(F.col("_terms")))
+    return lists.dropDuplicates(["_list"]).select("_list", "_terms")
 
 
-def probed(df: DataFrame, parts: list[Part], start: Column, step: Callable[[Column, Part, Column], Column], out: str) -> DataFrame:
-    """Add `out`: `start`, then `step(out, part, attached)` for one part after the other."""
-    df = computed_once(df, **{out: start})
-    for part in parts:
-        df = computed_once(part.attach(df, "_part"), (out, "_part"), **{out: step(F.col(out), part, F.col("_part"))})
-    return df
+def attach(df: DataFrame, terms: Column, found: DataFrame) -> DataFrame:
+    """Rows with the columns of `found` (one row per `_list`), null for an empty list."""
+    return df.withColumn("_list", list_key(terms)).join(found, "_list", "left").drop("_list")

@@ -10,13 +10,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from jobloom import fixed_values as fixed
 from jobloom.functions.text import title_words
 from jobloom.functions.values import array_or_empty, count_in, sql_text
-from jobloom.operators.lookup import PART_ENTRIES, Part, computed_once, fold, probed
+from jobloom.operators.lookup import attach, computed_once, distinct_lists
 from jobloom.operators.nearest import nearest_roles
-from jobloom.operators.skills import names, with_buckets
+from jobloom.operators.skills import bucket_lists, canonical_terms, names, no_buckets
 from jobloom.session import scratch_dir
 
 Embedder = Callable[[list[str]], list[list[float]]]
-HITS = "array<struct<role_ord:bigint,role:string,words:array<string>,times:bigint>>"
 
 
 def has_engineering_term(title: Column) -> Column:
@@ -64,35 +63,42 @@ def overlap_counts(jobs: DataFrame, key: str, technical: str, role_skill: DataFr
 
 
 def role_listing(role_skill: DataFrame) -> DataFrame:
-    """(skill, entry) with entry(role_ord, role, words, times): each role under its lowest `role_ord`."""
+    """(skill, role_ord, role, words, times): the roles that list a skill, each under its lowest `role_ord`."""
     place = role_skill.groupBy("role").agg(F.min("role_ord").cast("bigint").alias("role_ord"))
-    entry = F.struct("role_ord", "role", title_words(F.col("role")).alias("words"), "times")
-    return role_terms(role_skill).join(place, "role").select("skill", entry.alias("entry"))
-
-
-def _with_best(df: DataFrame, parts: list[Part]) -> DataFrame:
-    """Add `_best` from the row's own skills; `parts` map a skill to the roles that list it."""
-
-    def step(hits: Column, part: Part, attached: Column) -> Column:
-        found = F.transform(F.array_distinct("_technical"), lambda s: part.probe_all(attached, s))
-        return F.concat(hits, F.flatten(found))
-
-    df = probed(df, parts, F.array().cast(HITS), step, "_hits")
-    roles = F.array_distinct(F.transform("_hits", lambda h: F.struct(h["role_ord"].alias("role_ord"), h["role"].alias("role"), h["words"].alias("words"))))
-    candidates = F.transform(
-        roles,
-        lambda r: F.struct(
-            r["role_ord"].alias("role_ord"),
-            r["role"].alias("role"),
-            r["words"].alias("words"),
-            F.aggregate(
-                F.filter("_hits", lambda h: h["role"] == r["role"]), F.lit(0).cast("bigint"), lambda n, h: n + h["times"]
-            ).alias("matched"),
-        ),
+    return role_terms(role_skill).join(place, "role").select(
+        "skill", "role_ord", "role", title_words(F.col("role")).alias("words"), "times"
+    )
+
+
+def candidate_roles(lists: DataFrame, tagged: str, role_skill: DataFrame, out: str) -> DataFrame:
+    """(_list, out): the roles that share two skills or more with a list, with the number shared.
+
+    The rows stay where the distinct lists are, so only the dictionary moves while it is small.
+    """
+    own = lists.select("_list", F.explode(F.array_distinct(names(F.col(tagged), "technical"))).alias("skill"))
+    role = ["role_ord", "role", "words"]
+    shared = own.join(role_listing(role_skill), "skill").groupBy("_list", *role).agg(F.sum("times").alias("matched"))
+    return (
+        shared.filter(F.col("matched") >= 2)
+        .groupBy("_list")
+        .agg(F.collect_list(F.struct(*role, "matched")).alias(out))
     )
-    df = computed_once(df, ("_hits",), _candidates=F.filter(candidates, lambda c: c["matched"] >= 2))
+
+
+def with_profiles(
+    df: DataFrame, skills: str, taxonomy: DataFrame, role_skill: DataFrame, tagged: str = "_tagged", candidates: str = "_candidates"
+) -> DataFrame:
+    """Add `tagged` (as `with_buckets`) and `candidates` (roles sharing skills), with one join of the rows."""
+    terms = canonical_terms(skills)
+    lists = bucket_lists(distinct_lists(df, terms), taxonomy, tagged)
+    found = lists.join(candidate_roles(lists, tagged, role_skill, candidates), "_list", "left")
+    return attach(df, terms, found).withColumn(tagged, F.coalesce(tagged, no_buckets()))
+
+
+def _with_best(df: DataFrame, candidates: str) -> DataFrame:
+    """Add `_best`: of the candidates that pass the gates the highest score, the first role on ties."""
     passed = F.filter(
-        "_candidates",
+        candidates,
         lambda c: passes_gates(c["role"], c["matched"], F.col("_ml_core"), F.col("_data_core")),
     )
     scored = F.transform(
@@ -103,7 +109,7 @@ def _with_best(df: DataFrame, parts: list[Part]) -> DataFrame:
             c["role"].alias("role"),
         ),
     )
-    return computed_once(df, ("_candidates",), _best=F.array_max(scored))
+    return computed_once(df, (candidates,), _best=F.array_max(scored))
 
 
 def decide(
@@ -112,17 +118,16 @@ def decide(
     skills: str,
     taxonomy: DataFrame,
     role_skill: DataFrame,
-    part_entries: int = PART_ENTRIES,
     tagged: str | None = None,
 ) -> DataFrame:
     """Add role, extracted_by, needs_vector, fell_through and technical: all but the vector match.
 
     `fell_through` marks rows that passed the title gate and matched no branch.
-    `tagged` names a `with_buckets` column made before.
+    `tagged` names the column of buckets if `with_profiles` was called before.
     """
     if tagged is None:
-        df = with_buckets(df, skills, taxonomy, "_tagged", part_entries)
         tagged = "_tagged"
+        df = with_profiles(df, skills, taxonomy, role_skill, tagged)
     df = computed_once(
         df,
         _title=F.lower(F.coalesce(F.col(title), F.lit(""))),
@@ -136,8 +141,7 @@ def decide(
         _data_any=count_in("_technical", fixed.DATA_FALLBACK),
         _backend=count_in("_technical", fixed.BACKEND_INDICATORS),
     )
-    listing = role_listing(role_skill)
-    df = _with_best(df, fold(listing, F.col("skill"), F.col("entry"), F.col("entry.role_ord"), part_entries))
+    df = _with_best(df, "_candidates")
     titled = role_skill.filter(F.col("role").isin(*[r for _, r in fixed.TITLE_RULES]))
     known = titled.agg(F.collect_set("role").alias("r"))
     df = computed_once(
@@ -192,7 +196,6 @@ def find_role(
     role_skill: DataFrame,
     role_vec: DataFrame | None = None,
     embeddings: DataFrame | None = None,
-    part_entries: int = PART_ENTRIES,
     tagged: str | None = None,
     embedder: Embedder | None = None,
 ) -> DataFrame:
@@ -202,7 +205,7 @@ def find_role(
     which a repeated key counts once (the least vector), or from `embedder`, called
     with their role texts alone. A row without a vector ends as "Others".
     """
-    decided = decide(df, title, skills, taxonomy, role_skill, part_entries, tagged)
+    decided = decide(df, title, skills, taxonomy, role_skill, tagged)
     left_over = F.col("needs_vector")
     if role_vec is None or (embeddings is None and embedder is None):
         return decided.withColumn("role", F.coalesce("role", F.when(left_over, F.lit("Others")))).drop("needs_vector")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from jobloom.fixed_values import CATEGORIES
 from jobloom.functions.text import canonical
 from jobloom.functions.values import array_or_empty
-from jobloom.operators.lookup import PART_ENTRIES, Part, computed_once, fold, probed
+from jobloom.operators.lookup import attach, distinct_lists
 from jobloom.operators.ranking import global_row_number
 
 
@@ -28,23 +28,32 @@ def union_buckets(*buckets: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def with_buckets(
-    df: DataFrame, skills: str, taxonomy: DataFrame, out: str = "skill_buckets", part_entries: int = PART_ENTRIES
-) -> DataFrame:
-    """Add array<struct(skill, bucket)>: canonical skills in their order, bucket null if unknown."""
-    parts = fold(one_bucket(taxonomy), F.col("skill"), F.col("bucket"), F.lit(0), part_entries)
-    df = computed_once(df, _terms=F.transform(array_or_empty(F.col(skills)), canonical))
-    unknown = F.transform("_terms", lambda t: F.struct(t.alias("skill"), F.lit(None).cast("string").alias("bucket")))
+def canonical_terms(skills: str) -> Column:
+    """Canonical skills of a row in their order; empty for null."""
+    return F.transform(array_or_empty(F.col(skills)), canonical)
+
 
-    def step(tagged: Column, part: Part, attached: Column) -> Column:
-        return F.transform(
-            tagged,
-            lambda e: F.struct(
-                e["skill"].alias("skill"), F.coalesce(e["bucket"], part.probe(attached, e["skill"])).alias("bucket")
-            ),
-        )
+def bucket_lists(lists: DataFrame, taxonomy: DataFrame, out: str) -> DataFrame:
+    """(_list, out): the terms of every distinct list with their buckets, in their order."""
+    known = one_bucket(taxonomy).select(F.col("skill").alias("_known"), "bucket")
+    terms = lists.select("_list", F.posexplode("_terms").alias("_pos", "skill"))
+    tagged = terms.join(known, F.col("skill") == F.col("_known"), "left")
+    return (
+        tagged.groupBy("_list")
+        .agg(F.array_sort(F.collect_list(F.struct("_pos", "skill", "bucket"))).alias("_all"))
+        .select("_list", F.transform("_all", lambda e: F.struct(e["skill"].alias("skill"), e["bucket"].alias("bucket"))).alias(out))
+    )
 
-    return probed(df, parts, unknown, step, out).drop("_terms")
+
+def no_buckets() -> Column:
+    return F.array().cast("array<struct<skill:string,bucket:string>>")
+
+
+def with_buckets(df: DataFrame, skills: str, taxonomy: DataFrame, out: str = "skill_buckets") -> DataFrame:
+    """Add array<struct(skill, bucket)>: canonical skills in their order, bucket null if unknown."""
+    terms = canonical_terms(skills)
+    found = bucket_lists(distinct_lists(df, terms), taxonomy, out)
+    return attach(df, terms, found).withColumn(out, F.coalesce(out, no_buckets()))
 
 
 def names(tagged: Column, bucket: str | None = None) -> Column:
@@ -55,15 +64,15 @@ def names(tagged: Column, bucket: str | None = None) -> Column:
     return F.transform(keep, lambda e: e["skill"])
 
 
-def filter_valid_skills(df: DataFrame, skills: str, taxonomy: DataFrame, out: str = "valid_skills", **kw) -> DataFrame:
+def filter_valid_skills(df: DataFrame, skills: str, taxonomy: DataFrame, out: str = "valid_skills") -> DataFrame:
     """Canonical skills found in the taxonomy; order and repeats kept."""
-    tagged = with_buckets(df, skills, taxonomy, "_tagged", **kw)
+    tagged = with_buckets(df, skills, taxonomy, "_tagged")
     return tagged.withColumn(out, names(F.col("_tagged"))).drop("_tagged")
 
 
-def classify_skills(df: DataFrame, skills: str, taxonomy: DataFrame, out: str = "skills", **kw) -> DataFrame:
+def classify_skills(df: DataFrame, skills: str, taxonomy: DataFrame, out: str = "skills") -> DataFrame:
     """struct(technical, tools, soft, unknown) of each row's skills."""
-    tagged = with_buckets(df, skills, taxonomy, "_tagged", **kw)
+    tagged = with_buckets(df, skills, taxonomy, "_tagged")
     t = F.col("_tagged")
     unknown = F.transform(F.filter(t, lambda e: e["bucket"].isNull()), lambda e: e["skill"])
     return tagged.withColumn(

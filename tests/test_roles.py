@@ -1,11 +1,13 @@
-"""The role cascade: golden rows, and dictionaries in one part or many."""
+"""The role cascade: golden rows, and dictionaries that are broadcast or shuffled."""
 
 from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from jobloom.operators import nearest, roles, skills
+from jobloom.operators.lookup import distinct_lists, list_key
 from jobloom.operators.nearest import nearest_roles
 from jobloom.plans import views
 
@@ -42,29 +44,55 @@ def tables(spark):
     return jobs, vectors, role_vec
 
 
-@pytest.mark.parametrize("part_entries", [100_000, 4])
+@pytest.fixture(params=["10m", "-1"])
+def joins(spark, request):
+    """Dictionaries small enough to broadcast, and joins by shuffle alone."""
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, request.param)
+    yield request.param
+    spark.conf.set(setting, before)
+
+
 @pytest.mark.parametrize("partitions", [1, 5])
-def test_golden_rows(spark, tables, part_entries, partitions):
+def test_golden_rows(spark, tables, joins, partitions):
     jobs, vectors, role_vec = tables
     out = roles.find_role(
         jobs.repartition(partitions), "k", "title", "skills", views.taxonomy(spark), views.role_skill(spark),
-        role_vec, vectors, part_entries=part_entries,
+        role_vec, vectors,
     )
     got = {r["k"]: (r["role"], r["extracted_by"]) for r in out.collect()}
     assert got == {r[0]: r[3:] for r in GOLDEN}
 
 
-def test_parts_agree_on_real_baskets(spark):
-    jobs = views.basket_view(spark, "/root/testdata/sf0.001")
-    args = ("title", "skills", views.taxonomy(spark), views.role_skill(spark))
-    one = roles.decide(jobs, *args).select("job_key", "role", "extracted_by")
-    many = roles.decide(jobs, *args, part_entries=3).select("job_key", "role", "extracted_by")
-    assert one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty()
-
-
-@pytest.mark.parametrize("part_entries", [100_000, 1])
-def test_classify_with_ties_and_repeated_keys(spark, part_entries):
-    """Rows that share a key stay apart; null precedence loses, a tie goes by name; parts change nothing."""
+def test_a_list_in_most_rows(spark, joins):
+    """Nine tenths of the rows share one list: it is looked up once, and no row is lost or doubled."""
+    jobs = spark.range(5000).select(
+        F.col("id").alias("k"),
+        F.when(F.col("id") % 3 == 0, "Engineer").otherwise("Programmer").alias("title"),
+        F.when(F.col("id") % 10 > 0, F.array(F.lit(" SQL"), F.lit("kafka"))).otherwise(F.array(F.lit("sql"), F.col("id").cast("string"))).alias("skills"),
+        F.lit("kept").alias("skill"),
+    )
+    lists = distinct_lists(jobs, skills.canonical_terms("skills"))
+    assert lists.count() == 501
+    out = roles.decide(jobs, "title", "skills", views.taxonomy(spark), views.role_skill(spark))
+    got = out.groupBy((F.col("k") % 10 > 0).alias("hot"), "role", "extracted_by").count().collect()
+    assert {(r["role"], r["extracted_by"], r["count"]) for r in got if r["hot"]} == {("Data Engineer", "skills_and_title", 4500)}
+    assert sum(r["count"] for r in got) == 5000 and out.filter("skill = 'kept'").count() == 5000
+
+
+def test_list_keys_tell_lists_apart(spark):
+    lists = [None, [], [""], [None], ["a"], ["a", "b"], ["b", "a"], ["a,b"], ["a", "a"], ["-"], ["", ""], ["null"], ["x" * 100_000]]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "k int, s array<string>")
+    keys = [r[0] for r in df.orderBy("k").select(list_key(F.col("s"))).collect()]
+    assert keys[:2] == [None, None] and len({bytes(k) for k in keys[2:]}) == len(lists) - 2
+    again = skills.classify_skills(df.unionByName(df), "s", views.taxonomy(spark), "found")
+    assert again.count() == 2 * len(lists) and again.filter("k < 2 AND size(found.unknown) = 0").count() == 4
+    assert skills.classify_skills(df.limit(0), "s", views.taxonomy(spark)).count() == 0
+
+
+def test_classify_with_ties_and_repeated_keys(spark, joins):
+    """Rows that share a key stay apart; null precedence loses, a tie goes by name."""
     df = spark.createDataFrame(
         [(1, [" Python", "JIRA", "python", "nope", "communication "]), (2, []), (3, None), (4, ["react"]), (4, ["python", None])],
         "k int, s array<string>",
@@ -74,7 +102,7 @@ def test_classify_with_ties_and_repeated_keys(spark, part_entries):
          ("communication", "technical", 2), ("communication", "soft", 2), ("react", "technical", None)],
         "skill string, bucket string, precedence int",
     )
-    rows = skills.classify_skills(df, "s", taxonomy, part_entries=part_entries).collect()
+    rows = skills.classify_skills(df, "s", taxonomy).collect()
     by = {}
     for r in rows:
         by.setdefault(r["k"], []).append(r["skills"])
@@ -85,14 +113,13 @@ def test_classify_with_ties_and_repeated_keys(spark, part_entries):
     assert sorted(x.technical for x in by[4]) == [["python"], ["react"]]
 
 
-@pytest.mark.parametrize("part_entries", [100_000, 1])
-def test_role_under_two_numbers_is_one_role(spark, part_entries):
+def test_role_under_two_numbers_is_one_role(spark, joins):
     role_skill = spark.createDataFrame(
         [("Data Engineer", 5, "sql"), ("Data Engineer", 1, "kafka"), ("R", 2, "sql"), ("R", 2, "Sql"), ("R", 2, "x")],
         "role string, role_ord int, skill string",
     )
     jobs = spark.createDataFrame([(1, "Engineer", ["sql", "kafka"])], "k int, title string, skills array<string>")
-    out = roles.decide(jobs, "title", "skills", views.taxonomy(spark), role_skill, part_entries=part_entries).first()
+    out = roles.decide(jobs, "title", "skills", views.taxonomy(spark), role_skill).first()
     assert (out["role"], out["extracted_by"]) == ("Data Engineer", "skills_and_title")
 
 
