@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobloom import schemas
 from jobloom.operators import feeds, graph
@@ -232,10 +232,30 @@ def graph_state_buckets(spark, sf_dir):
 # ---- streams: run over all available files, results read back ----
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table as a file stream; the pattern also fits a folder of that name."""
-    schema = views.table(spark, sf_dir, name).schema
-    return streams.file_stream(spark, f"{sf_dir}/{name}.parquet*", schema)
+def in_slices(spark: SparkSession, df: DataFrame, root: str, part: Column, start, slices: int = 4) -> None:
+    """Land a table slice by slice; each is taken by a stream started anew from the checkpoint of the one before.
+
+    State, watermarks and marks therefore have to hold across micro-batches and restarts.
+    """
+    for n in range(slices):
+        df.filter(part == n).write.parquet(f"{root}/landing/{n}")
+        start(streams.file_stream(spark, f"{root}/landing/*", df.schema)).awaitTermination()
+
+
+def by_id(events: DataFrame) -> Column:
+    """Quarter of the id range: later slices hold higher ids."""
+    top = events.agg(F.max("event_id") + 1).scalar()
+    return F.floor(F.col("event_id") * 4 / top)
+
+
+def by_time() -> Column:
+    """Eight days a slice: later slices hold later times."""
+    return F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3))
+
+
+_BY_TIME = "least((day(ts) - 1) // 8, 3)"
+#: The same, but every tenth row arrives with the last slice.
+_OUT_OF_ORDER = f"CASE WHEN event_id % 10 = 0 THEN 3 ELSE {_BY_TIME} END"
 
 
 def landing(df: DataFrame, path: str, files: int = 4) -> None:
@@ -277,10 +297,10 @@ def stream_clean(spark, sf_dir):
 @query("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedup(spark, sf_dir):
     root = scratch_dir(spark, "dedup")
-    events = table_stream(spark, sf_dir, "events").select("user_id", "event_type")
-    once = streams.first_seen(events, ["user_id", "event_type"])
-    streams.append_stream(once, f"{root}/out", f"{root}/_checkpoint").awaitTermination()
-    return spark.read.schema(once.schema).parquet(f"{root}/out")
+    events = views.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    once = lambda new: streams.first_seen(new.select("user_id", "event_type"), ["user_id", "event_type"])
+    in_slices(spark, events, root, by_id(events), lambda new: streams.append_stream(once(new), f"{root}/out", f"{root}/_checkpoint"))
+    return spark.read.schema("user_id BIGINT, event_type STRING").parquet(f"{root}/out")
 
 
 @query(
@@ -289,16 +309,16 @@ def stream_dedup(spark, sf_dir):
 )
 def stream_stage(spark, sf_dir):
     root = scratch_dir(spark, "stage")
-    events = table_stream(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    streams.stage_stream(events, ["user_id", "event_type"], "event_id", root).awaitTermination()
+    events = views.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    in_slices(spark, events, root, by_id(events), lambda new: streams.stage_stream(new, ["user_id", "event_type"], "event_id", root))
     return sinks.read_batches(spark, f"{root}/staged", "event_id BIGINT, user_id BIGINT, event_type STRING").drop("batch")
 
 
 @query("stream_cycle_counts", _CYCLE_SQL)
 def stream_cycle_counts(spark, sf_dir):
     root = scratch_dir(spark, "cycles")
-    events = table_stream(spark, sf_dir, "events").select("ts", F.col("event_type").alias("source"))
-    streams.cycle_count_stream(events, "ts", root).awaitTermination()
+    events = views.table(spark, sf_dir, "events").select("ts", F.col("event_type").alias("source"))
+    in_slices(spark, events, root, by_time(), lambda new: streams.cycle_count_stream(new, "ts", root))
     log = sinks.read_batches(spark, f"{root}/cycles", "day DATE, cycle STRING, source STRING, jobs BIGINT")
     return sinks.current(log, ["day", "cycle", "source"]).withColumn("day", F.col("day").cast("string"))
 
@@ -312,10 +332,9 @@ def stream_cycle_counts(spark, sf_dir):
 )
 def stream_metrics(spark, sf_dir):
     root = scratch_dir(spark, "metrics")
-    events = table_stream(spark, sf_dir, "events").withColumn("location", F.col("user_id").cast("string"))
-    streams.metrics_stream(
-        events, "ts", "location", F.col("event_type") == "error", F.col("event_id") % 3 == 0, root
-    ).awaitTermination()
+    events = views.table(spark, sf_dir, "events").withColumn("location", F.col("user_id").cast("string"))
+    failed, is_new = F.col("event_type") == "error", F.col("event_id") % 3 == 0
+    in_slices(spark, events, root, by_time(), lambda new: streams.metrics_stream(new, "ts", "location", failed, is_new, root))
     log = sinks.read_batches(
         spark, f"{root}/metrics",
         "day DATE, location STRING, total_requests BIGINT, failed_requests BIGINT, inserted_jobs BIGINT, duplicate_jobs BIGINT",
@@ -329,14 +348,62 @@ def stream_metrics(spark, sf_dir):
 )
 def stream_mark(spark, sf_dir):
     root = scratch_dir(spark, "mark")
-    events = table_stream(spark, sf_dir, "events").select("event_id", "ts")
-    streams.mark_stream(events, "events", "ts", ["event_id"], root).awaitTermination()
+    events = views.table(spark, sf_dir, "events").select("event_id", "ts")
+    in_slices(spark, events, root, by_time(), lambda new: streams.mark_stream(new, "events", "ts", ["event_id"], root))
     staged = sinks.read_batches(spark, f"{root}/staged", "event_id BIGINT, ts TIMESTAMP_NTZ")
     marks = sinks.read_batches(spark, f"{root}/marks", readers.MARKS)
     latest = marks.agg(F.date_format(F.max("max_date"), STAMP)).scalar()
     return staged.select("event_id", latest.alias("max_date"))
 
 
+@query(
+    "stream_late_rows",
+    f"""WITH e AS (SELECT event_id, ts, {_OUT_OF_ORDER} AS part FROM events),
+    tops AS (SELECT part, max(ts) AS top FROM e GROUP BY part),
+    m AS (SELECT e.*, (SELECT max(top) FROM tops WHERE tops.part < e.part) AS mark FROM e)
+    SELECT event_id, CASE WHEN ts < mark THEN 'late' ELSE 'taken' END AS outcome,
+      count(*) OVER () AS n_read, count(*) FILTER (ts < mark) OVER () AS n_late FROM m""",
+)
+def stream_late_rows(spark, sf_dir):
+    """A tenth of the rows comes with the last slice: taken or behind the mark, every row is accounted for."""
+    root = scratch_dir(spark, "late")
+    events = views.table(spark, sf_dir, "events").select("event_id", "ts")
+    out_of_order = F.when(F.col("event_id") % 10 == 0, 3).otherwise(by_time())
+    in_slices(spark, events, root, out_of_order, lambda new: streams.mark_stream(new, "events", "ts", ["event_id"], root))
+    row = "event_id BIGINT, ts TIMESTAMP_NTZ"
+    taken = sinks.read_batches(spark, f"{root}/staged", row).select("event_id", F.lit("taken").alias("outcome"))
+    late = sinks.read_batches(spark, f"{root}/late", f"{row}, reason STRING").select("event_id", F.col("reason").alias("outcome"))
+    tally = sinks.read_batches(spark, f"{root}/tally", streams.TALLY)
+    counts = [tally.agg(F.sum(c)).scalar().alias(c) for c in ("n_read", "n_late")]
+    return taken.unionByName(late).select("event_id", "outcome", *counts)
+
+
+@query(
+    "stream_retries",
+    f"""WITH e AS (SELECT event_id, {_BY_TIME} AS part FROM events),
+    clock AS (SELECT {_BY_TIME} AS part, max(ts) AS now FROM events GROUP BY 1),
+    later AS (SELECT c.part, (SELECT min(n.part) FROM clock n WHERE n.part > c.part AND n.now >= c.now + INTERVAL 9 DAY) AS next FROM clock c),
+    t AS (SELECT e.event_id, e.part AS first, a.next AS second, b.next AS third
+      FROM e JOIN later a USING (part) LEFT JOIN later b ON b.part = a.next)
+    SELECT event_id, CASE WHEN event_id % 7 = 0 THEN CASE WHEN third IS NULL THEN 'retry' ELSE 'failed' END
+        WHEN event_id % 5 = 0 AND second IS NULL THEN 'retry' ELSE 'completed' END AS status,
+      CASE WHEN event_id % 7 = 0 THEN 1 + (second IS NOT NULL)::INT + (third IS NOT NULL)::INT
+        WHEN event_id % 5 = 0 AND second IS NOT NULL THEN 2 ELSE 1 END AS attempts,
+      CASE WHEN event_id % 7 = 0 THEN coalesce(third, second, first) WHEN event_id % 5 = 0 THEN coalesce(second, first) ELSE first END AS part
+    FROM t""",
+)
+def stream_retries(spark, sf_dir):
+    """Every seventh row always fails, every fifth the first time; a row waits nine days, which is one slice or two."""
+    root = scratch_dir(spark, "retries")
+    events = views.table(spark, sf_dir, "events").select("event_id", "ts")
+    broken = (F.col("event_id") % 7 == 0) | ((F.col("event_id") % 5 == 0) & (F.col("attempt") < 2))
+    attempt = lambda rows: rows.withColumn("error", F.when(broken, F.lit("unreadable")))
+    in_slices(spark, events, root, by_time(), lambda new: streams.retry_stream(new, "ts", attempt, root, tries=3, delay="9 days"))
+    log = sinks.read_batches(spark, f"{root}/outcomes", "event_id BIGINT, attempt INT, status STRING")
+    last = graph.latest(log, ["event_id"], "attempt")
+    return last.select("event_id", "status", F.col("attempt").alias("attempts"), F.col("batch").alias("part"))
+
+
 @query("stream_graph", _graph_sql("'2001-08-01'", "-o_orderkey"))
 def stream_graph(spark, sf_dir):
     """Jobs land in the order of their write times, so later batches hold later writes."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -84,8 +86,16 @@ def stage_stream(new: DataFrame, keys: list[str], order: str, root: str) -> Stre
     return _start(new, f"{root}/_checkpoint_stage", step)
 
 
+#: What became of the rows of a batch: taken, behind the mark, without a date, copies of taken ones.
+TALLY = "feed STRING, n_read BIGINT, n_taken BIGINT, n_late BIGINT, n_undated BIGINT, n_repeated BIGINT"
+
+
 def mark_stream(new: DataFrame, feed: str, ts: str, keys: list[str], root: str) -> StreamingQuery:
-    """Rows at or after the feed's mark, once each; the mark moves after the write."""
+    """Rows at or after the feed's mark, once each; the mark moves after the write.
+
+    Rows that are not taken for their date go to `late` with the `reason` (late or undated), and `tally`
+    counts every row of a batch: taken, late, undated and repeated ones add up to those read.
+    """
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new.schema.fields)
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -96,13 +106,58 @@ def mark_stream(new: DataFrame, feed: str, ts: str, keys: list[str], root: str)
         staged = since(read_batches(spark, f"{root}/staged", schema, before=batch_id), ts, old)
         fresh = not_yet(first_copies(since(batch, ts, old), keys, [ts]), staged, keys)
         write_batch(fresh, f"{root}/staged", batch_id)
+        reason = F.when(F.col(ts).isNull(), "undated").when(F.col(ts) < dates.moment(old), "late")
+        write_batch(batch.withColumn("reason", reason).filter(F.col("reason").isNotNull()), f"{root}/late", batch_id)
         written = spark.read.parquet(f"{root}/staged/batch={batch_id}")
+        sums = batch.select(reason.alias("reason")).agg(
+            F.count("*").alias("n_read"), F.count_if(F.col("reason") == "late").alias("n_late"),
+            F.count_if(F.col("reason") == "undated").alias("n_undated"),
+        )
+        tally = sums.withColumn("n_taken", written.agg(F.count("*")).scalar()).withColumn("feed", F.lit(feed))
+        repeated = F.col("n_read") - F.col("n_taken") - F.col("n_late") - F.col("n_undated")
+        write_batch(tally.withColumn("n_repeated", repeated), f"{root}/tally", batch_id)
         mark = spark.range(1).select(F.lit(feed).alias("feed"), next_mark(written, ts, old).alias("max_date"))
         write_batch(mark, f"{root}/marks", batch_id)
 
     return _start(new, f"{root}/_checkpoint_mark", step)
 
 
+def retry_stream(
+    new: DataFrame, ts: str, attempt: Callable[[DataFrame], DataFrame], root: str, tries: int = 3, delay: str = "10 minutes"
+) -> StreamingQuery:
+    """Rows through `attempt`; those that fail are tried again after `delay`, `tries` times in all.
+
+    `attempt` gets the rows with their `attempt` number (from 1) and adds `error`, null where it went well.
+    Time is the latest `ts` the stream has read, so a replayed batch does the same again. Every batch writes to
+    `outcomes` the rows it tried, as completed, retry or failed (the last try went wrong: the quarantine), and to
+    `open` the rows that wait, each with `due_at`. A batch opens only the waiting rows of the one before it, so
+    its work follows what is new and what waits, not the history. Rows wait for the next arrivals, and rows
+    without a time are tried at the present one.
+    """
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new.schema.fields)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        clock = read_batches(spark, f"{root}/clock", "now TIMESTAMP_NTZ", before=batch_id)
+        write_batch(
+            batch.agg(F.max(F.col(ts).cast("timestamp_ntz")).alias("now"))
+            .select(F.greatest("now", clock.agg(F.max("now")).scalar()).alias("now")),
+            f"{root}/clock", batch_id,
+        )
+        now = spark.read.parquet(f"{root}/clock/batch={batch_id}").select("now").scalar()
+        waiting = read_batches(spark, f"{root}/open", f"{fields}, attempt INT, due_at TIMESTAMP_NTZ")
+        waiting = waiting.filter(F.col("batch") == batch_id - 1).drop("batch").withColumn("_due", F.col("due_at") <= now)
+        again = waiting.filter("_due").withColumn("attempt", F.col("attempt") + 1).drop("due_at", "_due")
+        tried = attempt(batch.withColumn("attempt", F.lit(1)).unionByName(again))
+        status = F.when(F.col("error").isNull(), "completed").when(F.col("attempt") < tries, "retry").otherwise("failed")
+        write_batch(tried.withColumn("status", status), f"{root}/outcomes", batch_id)
+        held = spark.read.parquet(f"{root}/outcomes/batch={batch_id}").filter("status = 'retry'").drop("status", "error")
+        held = held.withColumn("due_at", now + F.expr(f"INTERVAL {delay}"))
+        write_batch(held.unionByName(waiting.filter(~F.coalesce("_due", F.lit(False))).drop("_due")), f"{root}/open", batch_id)
+
+    return _start(new, f"{root}/_checkpoint_retry", step)
+
+
 def cycle_count_stream(
     events: DataFrame, ts: str, root: str, zone: str = CYCLE_ZONE, delay: str = "6 hours"
 ) -> StreamingQuery:
