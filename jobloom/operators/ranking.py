@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobloom.operators.lookup import computed_once
 
-#: Sampled rows per range.
+#: Sampled rows per range, and of all ranges together: they meet in one task.
 SAMPLE_ROWS = 64
+SAMPLE_BOUND = 65_536
 
 
 def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:
@@ -16,6 +17,17 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int,
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
 
 
+def points_upto(points: Column, key: Column, most: int) -> Column:
+    """How many of at most `most` sorted points are not above `key`: a bisection, by falling powers of two."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(most.bit_length()))])
+
+    def further(n: Column, step: Column) -> Column:
+        fits = (n + step <= F.size(points)) & (F.get(points, n + step - 1) <= key)
+        return F.when(fits, n + step).otherwise(n)
+
+    return F.aggregate(steps, F.lit(0), further)
+
+
 def global_row_number(df: DataFrame, order: list[Column], name: str, splits: int | None = None) -> DataFrame:
     """1-based position of every row in a total order (ascending `order`, no ties).
 
@@ -27,7 +39,7 @@ def global_row_number(df: DataFrame, order: list[Column], name: str, splits: int
     """
     splits = splits or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = df.withColumn("_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]))
-    sample = keyed.select("_key").orderBy(F.xxhash64("_key"), "_key").limit(SAMPLE_ROWS * splits)
+    sample = keyed.select("_key").orderBy(F.xxhash64("_key"), "_key").limit(min(SAMPLE_ROWS * splits, SAMPLE_BOUND))
     step = F.greatest((F.col("n") / F.lit(splits)).cast("int"), F.lit(1))
     points = sample.agg(F.array_sort(F.collect_list("_key")).alias("s"), F.count("*").alias("n")).select(
         F.filter("s", lambda x, i: (F.pmod(i, step) == 0) & (i > 0)).alias("p")
@@ -35,7 +47,8 @@ def global_row_number(df: DataFrame, order: list[Column], name: str, splits: int
     ranged = computed_once(
         keyed.withColumn("_points", points.scalar()),
         ("_points",),
-        _range=F.size(F.filter("_points", lambda p: p <= F.col("_key"))),
+        # the points are every `step`-th of the sample, so less than two a range
+        _range=points_upto(F.col("_points"), F.col("_key"), 2 * splits),
     )
     sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

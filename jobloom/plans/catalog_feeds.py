@@ -11,7 +11,7 @@ from jobloom.operators.normalize import graph_safe
 from jobloom.plans import views
 from jobloom.plans.catalog_graph import _CYCLE_SQL, graph_jobs
 from jobloom.plans.catalog_records import payloads
-from jobloom.plans.cycle import job_nodes_with_age, outcomes, publish_jobs, retain, run_cycle, stage_source
+from jobloom.plans.cycle import job_nodes_with_age, outcomes, publish_jobs, remove_done, retain, run_cycle, stage_source
 from jobloom.plans.registry import query
 from jobloom.session import scratch_dir
 from jobloom.sources import readers, sinks, state
@@ -487,6 +487,29 @@ def retention_rows(spark, sf_dir):
     return rows.unionByName(jobs.select(F.lit("job").alias("kind"), F.col("_id").alias("id"), F.lit("pending").alias("status")))
 
 
+@query(
+    "retention_removed",
+    """SELECT 'raw' AS kind, CAST(o_orderkey AS VARCHAR) AS id, 0 AS batch FROM orders WHERE o_orderkey % 13 = 0 AND o_orderkey % 2 = 0
+    UNION ALL SELECT 'raw', CAST(o_orderkey AS VARCHAR), 1 FROM orders WHERE o_orderkey % 2 = 1
+    UNION ALL SELECT 'job', sha256('naukri' || o_orderkey), 2 FROM orders WHERE o_orderkey % 13 <> 0 AND o_orderkey % 2 = 1
+    UNION ALL SELECT 'node', sha256('naukri' || o_orderkey), 0 FROM orders WHERE o_orderkey % 13 <> 0""",
+)
+def retention_removed(spark, sf_dir):
+    """What the logs hold after a clean-up between two cycles; the records that waited are still cleaned by the second,
+    and the graph keeps the jobs whose rows are gone."""
+    root = scratch_dir(spark, "removed")
+    raw = payloads(spark, sf_dir, "naukri")
+    odd = raw.filter("external_id % 2 = 1")
+    run_cycle(spark, "AFTERNOON", "2001-08-01 10:00:00", {"naukri": raw.filter("external_id % 2 = 0")}, dictionaries(spark), root, 0)
+    stage_source(odd, "naukri", root, 1)
+    remove_done(spark, ("naukri",), root)
+    run_cycle(spark, "AFTERNOON", "2001-08-02 10:00:00", {"naukri": odd}, dictionaries(spark), root, 2)
+    left = sinks.read_batches(spark, f"{root}/raw/naukri", schemas.RAW).select(F.lit("raw").alias("kind"), F.col("external_id").alias("id"), "batch")
+    jobs = sinks.read_batches(spark, f"{root}/jobs", schemas.JOB).select(F.lit("job").alias("kind"), F.col("_id").alias("id"), "batch")
+    nodes = state.read_state(spark, f"{root}/state", "node_job").select(F.lit("node").alias("kind"), F.col("job_key").alias("id"), F.lit(0).alias("batch"))
+    return left.unionByName(jobs).unionByName(nodes)
+
+
 @query(
     "cycle_again",
     """SELECT CAST(o_orderkey AS VARCHAR) AS external_id, 'failed' AS status, 2 AS n_read FROM orders WHERE o_orderkey % 13 = 0
