@@ -11,6 +11,7 @@ from jobloom.functions.text import canonical, title_words
 from jobloom.functions.values import array_or_empty
 from jobloom.operators import roles, skills
 from jobloom.operators.nearest import cosine, nearest_roles
+from jobloom.operators.overlap import overlap_join
 from jobloom.plans import views
 from jobloom.plans.fixtures import BUCKET_ROWS, BUCKET_TEXTS, ROLE_ROWS, ROLE_SKILLS, sql_in, sql_rows
 from jobloom.plans.registry import query
@@ -292,6 +293,32 @@ def role_overlap_scores(spark, sf_dir):
     return counts.join(titles, "job_key").select("job_key", "role", "matched", F.round(score, 6).alias("score"))
 
 
+@query(
+    "role_overlap_prefix",
+    f"""WITH {_CASCADE[:_CASCADE.index('words AS (')].rstrip().rstrip(',')}
+    SELECT job_key, role, matched FROM matched WHERE matched >= 2""",
+)
+def role_overlap_prefix(spark, sf_dir):
+    """Roles that share two skills or more with a job, found through the rare skills of both."""
+    jobs = skills.classify_skills(views.basket_view(spark, sf_dir), "skills", views.taxonomy(spark), "classified")
+    jobs = jobs.select("job_key", F.col("classified.technical").alias("technical"))
+    listed = views.role_skill(spark).select("role", F.lower("skill").alias("skill"))
+    return overlap_join(jobs, "job_key", "technical", listed, "role", "skill")
+
+
+@query(
+    "supplier_overlap_prefix",
+    """WITH basket AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem),
+    offered AS (SELECT l_suppkey, l_partkey, count(*) AS times FROM lineitem GROUP BY ALL)
+    SELECT l_orderkey, l_suppkey, sum(times)::BIGINT AS matched FROM basket JOIN offered USING (l_partkey) GROUP BY ALL HAVING sum(times) >= 3""",
+)
+def supplier_overlap_prefix(spark, sf_dir):
+    """The same join over data of any size: orders and suppliers that share parts, each weighed by how often the supplier sold it."""
+    lines = views.table(spark, sf_dir, "lineitem")
+    baskets = lines.groupBy("l_orderkey").agg(F.collect_set("l_partkey").alias("parts"))
+    return overlap_join(baskets, "l_orderkey", "parts", lines.select("l_suppkey", "l_partkey"), "l_suppkey", "l_partkey", least=3)
+
+
 def cascade(spark: SparkSession, sf_dir: str, times: int = 1) -> DataFrame:
     return roles.find_role(
         views.basket_view(spark, sf_dir), "job_key", "title", "skills",
