@@ -20,6 +20,11 @@ def role_skill_links(maps_to: DataFrame, requires: DataFrame, k: int = 20) -> Da
     pairs = (
         maps_to.join(requires, "job_key").groupBy("role_title", "skill").agg(F.count("*").alias("frequency"))
     )
+    return top_links(pairs, k)
+
+
+def top_links(pairs: DataFrame, k: int = 20) -> DataFrame:
+    """(role_title, skill, frequency, rank): top k of counted pairs for each role."""
     return top_per_group(pairs, ["role_title"], [F.desc("frequency"), F.asc("skill")], k)
 
 
@@ -37,6 +42,11 @@ def skill_demand(jobs: DataFrame, requires: DataFrame, as_of) -> DataFrame:
         .groupBy("skill")
         .agg(F.count("*").alias("demand_count"))
     )
+    return ranked_demand(counts)
+
+
+def ranked_demand(counts: DataFrame) -> DataFrame:
+    """(skill, demand_count) with the rank over all skills and its tier."""
     ranked = global_row_number(counts, [-F.col("demand_count"), F.col("skill")], "demand_rank")
     return ranked.withColumn("demand_tier", demand_tier(F.col("demand_rank")))
 

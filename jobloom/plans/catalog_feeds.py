@@ -11,6 +11,7 @@ from jobloom.operators.normalize import graph_safe
 from jobloom.plans import views
 from jobloom.plans.catalog_graph import _CYCLE_SQL, graph_jobs
 from jobloom.plans.catalog_records import payloads
+from jobloom.plans.counts import demand_counts, link_counts, update_counts
 from jobloom.plans.cycle import job_nodes_with_age, outcomes, publish_jobs, remove_done, retain, run_cycle, stage_source
 from jobloom.plans.registry import query
 from jobloom.session import scratch_dir
@@ -557,6 +558,39 @@ def cycle_analytics(spark, sf_dir):
     return links.unionByName(demand).unionByName(aged.select(F.lit("aged jobs").alias("kind"), F.lit("").alias("name"), "n", F.lit("").alias("day")))
 
 
+_DAYS = ("2001-08-01", "2001-08-15", "2001-08-30", "2001-09-10", "2001-09-25")
+
+
+@query(
+    "cycle_demand",
+    f"""WITH whole AS (SELECT o_orderkey AS k, o_orderpriority AS role FROM orders WHERE o_orderkey % 4 = 0 OR o_orderkey % 9 <> 0),
+    days AS (SELECT * FROM (VALUES {", ".join(f"({b}, DATE '{d}')" for b, d in enumerate(_DAYS))}) t(b, day)),
+    writes AS (SELECT k % 5 AS b, k, role, 'skill' || (k % 11) AS skill FROM whole
+      UNION ALL SELECT 3, k, 'Again', 'again' || (k % 3) FROM whole WHERE k % 7 = 0 AND k % 5 < 2),
+    seen AS (SELECT d.b AS t, d.day AS now, w.*, e.day + 21 AS expires FROM days d JOIN writes w ON w.b <= d.b JOIN days e ON e.b = w.b),
+    jobs AS (SELECT t, k, max_by(expires, b) > any_value(now) AS active FROM seen GROUP BY ALL),
+    roles AS (SELECT DISTINCT t, k, role FROM seen), skills AS (SELECT DISTINCT t, k, skill FROM seen)
+    SELECT t AS cycle, 'link' AS kind, role || '|' || skill AS name, count(*) AS n FROM roles JOIN skills USING (t, k) GROUP BY ALL
+    UNION ALL SELECT t, 'demand', skill, count(*) FROM skills JOIN jobs USING (t, k) WHERE active GROUP BY ALL""",
+)
+def cycle_demand(spark, sf_dir):
+    """Counts kept up over five cycles against a full recount at each: jobs run out, and some come again with another role, skill and expiry."""
+    root = scratch_dir(spark, "counts")
+    jobs = written_jobs(spark, sf_dir)
+    again = jobs.filter("_id % 7 = 0 AND _id % 5 < 2").withColumn("role_title", F.lit("Again"))
+    again = again.withColumn("graph_skills", F.array(F.concat(F.lit("again"), (F.col("_id") % 3).cast("string"))))
+    out = None
+    for batch, day in enumerate(_DAYS):
+        rows = jobs.filter(F.col("_id") % 5 == batch)
+        sinks.write_graph(graph.build_graph(rows.unionByName(again) if batch == 3 else rows, day), f"{root}/graph", batch)
+        update_counts(spark, root, batch, day, buckets=16)
+        links = link_counts(spark, root, batch).select(F.lit("link").alias("kind"), F.concat_ws("|", "role_title", "skill").alias("name"), F.col("frequency").alias("n"))
+        demand = demand_counts(spark, root, batch).select(F.lit("demand").alias("kind"), F.col("skill").alias("name"), F.col("demand_count").alias("n"))
+        found = links.unionByName(demand).withColumn("cycle", F.lit(batch).cast("bigint"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 @query(
     "publish_cycle",
     "SELECT CAST(o_orderkey AS VARCHAR) AS job_id, CASE WHEN o_orderkey % 2 = 0 THEN 0 ELSE 1 END AS batch FROM orders WHERE o_orderkey % 13 <> 0",
