@@ -17,8 +17,10 @@ from jobloom.llm.common import settle
 
 #: Segments that a template names in any case; what follows them and the last literal is one tail.
 DEPTH = 3
-#: A segment is frequent with so many urls. SHARE, a share of its node's besides, holds in the SQL alone.
-LEAST, SHARE = 4, 0.05
+#: A segment is frequent with so many urls.
+LEAST = 4
+#: Stars as a segment of the url itself get a backslash in front, so that no url looks like a wildcard or a tail.
+STARS = r"^(\\*\*{1,2})$"
 #: Chi-square of three label classes in two groups, at the level of 1 %.
 DIFFERS = 9.21
 #: Weight of the share of blocked urls over all hosts, and the share from which a template is rejected.
@@ -91,7 +93,7 @@ def judge(spark: SparkSession, pages: DataFrame, rules: dict[str, str], id_col:
         frequent = branches.where(F.col("n") >= LEAST).join(whole, "node")
         differs = _chi_square(*(F.col(c) for c in ("n", "b", "a", "all_n", "all_b", "all_a"))) >= DIFFERS
         kept = frequent.where(differs).select("node", "segment", F.lit(True).alias("literal"))
-        token = F.when(F.col("literal"), F.col("segment")).otherwise("*")
+        token = F.when(F.col("literal"), F.regexp_replace("segment", STARS, r"\\$1")).otherwise("*")
         node = F.when(F.col("segment").isNull(), F.col("node")).otherwise(F.concat("node", F.lit("/"), token))
         named = F.col("literal").isNotNull() | F.lit(level <= DEPTH)
         rows = rows.join(kept, ["node", "segment"], "left").withColumns({
@@ -109,42 +111,39 @@ def judge(spark: SparkSession, pages: DataFrame, rules: dict[str, str], id_col:
 
 
 def sql(rules: dict[str, str], pages: str = "pages") -> str:
-    """The same in DuckDB's SQL, with three cuts that `judge` has not.
-
-    Its share of blocked urls has no upper bound, it tells nothing apart after `DEPTH` segments, and
-    no section with less than `SHARE` of its node's urls.
-    """
-    order = sorted(rules, key=lambda r: (-len(r), r))
+    """The same in DuckDB's SQL: one step of a recursive query a level, over the rows that have segments left."""
     fits, ruled = [], []
-    for rule in order:
+    for rule in sorted(rules, key=lambda r: (-len(r), r)):
         top, slash, rest = rule.partition("/")
         fits.append(f"WHEN (host = '{top}' OR suffix(host, '.{top}')) AND prefix(path, '{slash}{rest}') THEN '{rule}'")
         ruled.append(f"WHEN '{rule}' THEN '{rules[rule]}'")
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    counts = "count(*) AS n, count(*) FILTER (ruled = 'block') AS b, count(*) FILTER (ruled = 'allow') AS a"
+
+    def counts(prefix: str, over: str = "") -> str:
+        cases = {"n": "", "b": " FILTER (ruled = 'block')", "a": " FILTER (ruled = 'allow')"}
+        return ", ".join(f"count(*){case}{over} AS {prefix}{name}" for name, case in cases.items())
+
     chi = " + ".join(
         f"CASE WHEN {whole}::DOUBLE * {size} / all_n > 0 THEN ({of} - {whole}::DOUBLE * {size} / all_n) * ({of} - {whole}::DOUBLE * {size} / all_n) / ({whole}::DOUBLE * {size} / all_n) ELSE 0 END"
         for own, whole in (("b", "all_b"), ("a", "all_a"), ("(n - b - a)", "(all_n - all_b - all_a)"))
         for of, size in ((own, "n"), (f"({whole} - {own})", "(all_n - n)")))
-    steps, last = [], "cut"
-    for k in range(1, DEPTH + 1):
-        steps.append(f"""
-branch{k} AS (SELECT node, segments[{k}] AS segment, {counts} FROM {last} WHERE len(segments) >= {k} GROUP BY ALL),
-whole{k} AS (SELECT node, sum(n) AS all_n, sum(b) AS all_b, sum(a) AS all_a FROM branch{k} GROUP BY node),
-kept{k} AS (SELECT node, segment FROM branch{k} JOIN whole{k} USING (node) WHERE n >= {LEAST} AND n >= {SHARE}::DOUBLE * all_n AND {chi} >= {DIFFERS}),
-level{k} AS (
-    SELECT t.* REPLACE (CASE WHEN len(segments) >= {k} THEN t.node || '/' || coalesce(x.segment, '*') ELSE t.node END AS node)
-    FROM {last} AS t LEFT JOIN kept{k} AS x ON x.node = t.node AND x.segment = t.segments[{k}]),""")
-        last = f"level{k}"
     return f"""
-WITH rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM {pages}),
+WITH RECURSIVE rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM {pages}),
 split AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), '{upper}', '{lower}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
-fitted AS (SELECT *, CASE {' '.join(fits)} END AS rule FROM split),
-cut AS (SELECT *, CASE rule {' '.join(ruled)} END AS ruled, host AS node, CASE WHEN path <> '' THEN string_split(substr(path, 2), '/') ELSE []::VARCHAR[] END AS segments FROM fitted),
-{''.join(steps)}
-named AS (SELECT *, node || CASE WHEN len(segments) > {DEPTH} THEN '/**' ELSE '' END AS template FROM {last}),
-template AS (SELECT template, {counts} FROM named GROUP BY template),
-prior AS (SELECT (sum(b) + 1.0::DOUBLE) / (sum(b) + sum(a) + 2.0::DOUBLE) AS prior FROM template),
+fitted AS (SELECT *, {f"CASE {' '.join(fits)} END" if fits else 'NULL::VARCHAR'} AS rule FROM split),
+start AS (SELECT *, {f"CASE rule {' '.join(ruled)} END" if ruled else 'NULL::VARCHAR'} AS ruled FROM fitted),
+walk AS (
+    SELECT *, 0 AS level, host AS node, host AS template, false AS more, CASE WHEN path <> '' THEN string_split(substr(path, 2), '/') ELSE []::VARCHAR[] END AS left_over FROM start
+    UNION ALL
+    SELECT page_id, host, path, rule, ruled, level + 1, next_node,
+        CASE WHEN named THEN next_node ELSE template END, CASE WHEN named THEN len(left_over) > 1 ELSE true END, left_over[2:]
+    FROM (SELECT *, kept OR level < {DEPTH} AS named, node || '/' || CASE WHEN kept THEN regexp_replace(left_over[1], '{STARS}', '\\\\\\1') ELSE '*' END AS next_node
+        FROM (SELECT *, n >= {LEAST} AND {chi} >= {DIFFERS} AS kept
+            FROM (SELECT *, {counts("", " OVER (PARTITION BY node, left_over[1])")}, {counts("all_", " OVER (PARTITION BY node)")}
+                FROM walk WHERE len(left_over) > 0)))),
+named AS (SELECT * REPLACE (CASE WHEN more THEN template || '/**' ELSE template END AS template) FROM walk WHERE len(left_over) = 0),
+template AS (SELECT template, {counts("")} FROM named GROUP BY template),
+prior AS (SELECT least((sum(b) + 1.0::DOUBLE) / (sum(b) + sum(a) + 2.0::DOUBLE), {NEUTRAL}::DOUBLE) AS prior FROM template),
 rejected AS (SELECT template FROM template, prior WHERE (b + {SMOOTHING}::DOUBLE * prior) / (b + a + {SMOOTHING}::DOUBLE) >= {REJECT})
 SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN template IN (FROM rejected) THEN 'block' ELSE 'allow' END) AS verdict, template
 FROM named

@@ -19,14 +19,91 @@ def judged(spark, urls):
     return urlfilter.judge(spark, pages, URL_RULES).toPandas().sort_values("page_id").reset_index(drop=True)
 
 
-def test_same_as_sql(spark, rng):
-    urls = URLS + [f"http://{h}.example.{t}/{rng.choice(['en', 'de', 'fr'])}/{rng.randint(0, 99999)}{rng.choice(['', '/', '.html', '/a/b/c'])}" for h in "abc" for t in ("com", "org") for _ in range(60)]
-    mine = judged(spark, urls)
-    pages = pd.DataFrame({"page_id": range(len(urls)), "url": urls})
+def brute(rows, rules):
+    """The tree in plain Python: rows of a node by segment, node after node to the end of every path."""
+    label = [rules.get(r.rule) for r in rows.itertuples()]
+
+    def tally(ids):
+        b = sum(label[i] == "block" for i in ids)
+        a = sum(label[i] == "allow" for i in ids)
+        return len(ids), b, a
+
+    def differs(own, whole):
+        n, b, a = own
+        total, total_b, total_a = whole
+        chi = 0.0
+        for mine, both in ((b, total_b), (a, total_a), (n - b - a, total - total_b - total_a)):
+            for of, size in ((mine, n), (both - mine, total - n)):
+                expected = both * size / total
+                chi += (of - expected) ** 2 / expected if expected else 0
+        return n >= 4 and chi >= 9.21
+
+    left = [r.path[1:].split("/") if r.path else [] for r in rows.itertuples()]
+    node, template, more = rows.host.tolist(), rows.host.tolist(), [False] * len(rows)
+    for level in range(max(map(len, left))):
+        wholes, branches = {}, {}
+        going = [i for i in range(len(rows)) if len(left[i]) > level]
+        for i in going:
+            wholes.setdefault(node[i], []).append(i)
+            branches.setdefault((node[i], left[i][level]), []).append(i)
+        for (above, segment), ids in branches.items():
+            kept = differs(tally(ids), tally(wholes[above]))
+            token = ("\\" if segment.lstrip("\\") in ("*", "**") else "") + segment if kept else "*"
+            for i in ids:
+                node[i] = f"{above}/{token}"
+                named = kept or level < 3
+                template[i] = node[i] if named else template[i]
+                more[i] = len(left[i]) > level + 1 or not named
+    template = [t + "/**" if m else t for t, m in zip(template, more, strict=True)]
+    sums = {}
+    for t, lab in zip(template, label, strict=True):
+        b, a = sums.get(t, (0, 0))
+        sums[t] = b + (lab == "block"), a + (lab == "allow")
+    all_b, all_a = sum(b for b, _ in sums.values()), sum(a for _, a in sums.values())
+    prior = min((all_b + 1) / (all_b + all_a + 2), 0.5)
+    bad = {t for t, (b, a) in sums.items() if (b + 4 * prior) / (b + a + 4) >= 0.9}
+    return template, [lab or ("block" if t in bad else "allow") for t, lab in zip(template, label, strict=True)]
+
+
+def three_ways(spark, urls, rules):
+    """The operator, its SQL and the plain tree agree; the operator's rows."""
+    pages = spark.createDataFrame([(i, u, "x", "y") for i, u in enumerate(urls)], "page_id long, url string, node string, template string")
+    mine = urlfilter.judge(spark, pages, rules).toPandas().sort_values("page_id").reset_index(drop=True)
     con = duckdb.connect()
-    con.register("pages", pages)
-    theirs = con.sql(urlfilter.sql(URL_RULES)).df().sort_values("page_id").reset_index(drop=True)[list(mine.columns)]
-    assert mine.astype(str).replace("nan", "None").equals(theirs.astype(str).replace("nan", "None"))
+    con.register("pages", pd.DataFrame({"page_id": range(len(urls)), "url": urls}))
+    theirs = con.sql(urlfilter.sql(rules)).df().sort_values("page_id").reset_index(drop=True)[list(mine.columns)]
+    plain = lambda df: df.astype(object).where(df.notna(), None).values.tolist()
+    assert plain(mine) == plain(theirs)
+    template, verdict = brute(mine, rules)
+    assert mine.template.tolist() == template and mine.verdict.tolist() == verdict
+    return mine
+
+
+def test_same_as_sql_and_plain_tree(spark, rng):
+    urls = URLS + [f"http://{h}.example.{t}/{rng.choice(['en', 'de', 'fr'])}/{rng.randint(0, 99999)}{rng.choice(['', '/', '.html', '/a/b/c'])}" for h in "abc" for t in ("com", "org") for _ in range(60)]
+    three_ways(spark, urls, URL_RULES)
+
+
+def test_deep_paths_and_stars_three_ways(spark, rng):
+    """Sections that differ after the third segment, stars as segments, repeated urls, many more blocked labels than allowed ones."""
+    words = ["a", "b", "*", "**", "\\*", "", "ä"]
+    urls = [f"http://h{rng.randint(0, 2)}.io/" + "/".join(rng.choice(words) if rng.random() < 0.8 else str(rng.randint(0, 99)) for _ in range(rng.randint(0, 7))) for _ in range(900)]
+    rules = {"h0.io/a/b/": "block", "h0.io/a/b/a": "allow", "h1.io/": "block", "h2.io/*/": "block", "h2.io/**/a/": "allow", "h2.io/b/b/b/": "block"}
+    rows = three_ways(spark, urls, rules)
+    assert rows.template.str.contains(r"\\\*", regex=True).any()
+
+
+def test_one_sided_rules_three_ways(spark):
+    rows = three_ways(spark, [f"http://a.net/{i}" for i in range(100)] + [f"http://clean.org/{i}" for i in range(20)], {"net/": "block"})
+    assert (rows.verdict[rows.host == "clean.org"] == "allow").all()
+
+
+def test_null_ids_repeats_and_long_paths(spark):
+    """Repeated rows and null ids give a row each; a path of 150 segments is walked like any other."""
+    urls = [(None, "http://a.net/x")] * 3 + [(7, "http://a.net/x")] * 2 + [(8, "http://b.org/" + "/".join(["s"] * 150))]
+    rows = urlfilter.judge(spark, spark.createDataFrame(urls, "page_id long, url string"), URL_RULES).toPandas()
+    assert len(rows) == 6 and rows.page_id.isna().sum() == 3
+    assert set(rows.verdict[rows.host == "a.net"]) == {"block"} and rows.template[rows.host == "b.org"].tolist() == ["b.org/*/*/*/**"]
 
 
 def test_hosts_paths_and_rules(spark):
