@@ -11,18 +11,17 @@ from jobloom.functions import dates
 SALTS = 64
 
 
-def streak_stops(
-    df: DataFrame, feed: str, seq: str, is_new: str, k: int, page: str | None = None, width: int = 100_000
+def streaks(
+    df: DataFrame, feed: str, seq: str, is_new: str, page: str | None = None, width: int = 100_000, carry: DataFrame | None = None
 ) -> DataFrame:
-    """(feed, stop): the position at which k duplicates in a row are complete.
+    """(feed, page if given, _seq, _streak): how many duplicates in a row end at each position.
 
     `seq` is a whole number, unique in its feed. A feed is cut into spans of `width`
     positions, so one task never holds more than a span of a hot feed: runs are
     counted inside each span, and the run carried in from earlier spans comes from
     the one summary row per span. With `page` the count starts anew on every page.
+    `carry` (feed, page if given, _run) holds runs that stood open before all of these rows.
     """
-    if k < 1:
-        raise ValueError("k must be at least 1")
     runs_of = [feed] if page is None else [feed, page]
     span = F.floor(F.col(seq) / F.lit(width)).alias("_span")
     rows = df.select(*runs_of, span, F.col(seq).alias("_seq"), F.col(is_new).alias("_new"))
@@ -40,6 +39,9 @@ def streak_stops(
     spans = rows.groupBy(*runs_of, "_span").agg(
         F.max("_news").alias("_news"), F.max_by("_run", "_seq").alias("_tail")
     )
+    if carry is not None:  # like a span in front of all others, without a new row
+        before = carry.select(*runs_of, F.lit(-(2**62)).cast("bigint").alias("_span"), F.lit(0).cast("bigint").alias("_news"), F.col("_run").alias("_tail"))
+        spans = spans.unionByName(before)
     by_span = Window.partitionBy(*runs_of).orderBy("_span")
     spans = spans.withColumn(
         "_island", F.sum((F.col("_news") > 0).cast("long")).over(by_span)
@@ -52,12 +54,17 @@ def streak_stops(
         *runs_of, "_span", "_carry"
     )
     streak = F.col("_run") + F.when(F.col("_news") == 0, F.col("_carry")).otherwise(F.lit(0))
-    return (
-        rows.join(carried, [*runs_of, "_span"])
-        .filter(streak >= k)
-        .groupBy(feed)
-        .agg(F.min("_seq").alias("stop"))
-    )
+    return rows.join(carried, [*runs_of, "_span"]).select(*runs_of, "_seq", streak.alias("_streak"))
+
+
+def streak_stops(
+    df: DataFrame, feed: str, seq: str, is_new: str, k: int, page: str | None = None, width: int = 100_000
+) -> DataFrame:
+    """(feed, stop): the position at which k duplicates in a row are complete."""
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    complete = streaks(df, feed, seq, is_new, page, width).filter(F.col("_streak") >= k)
+    return complete.groupBy(feed).agg(F.min("_seq").alias("stop"))
 
 
 def _upto(df: DataFrame, feed: str, position: str, stops: DataFrame, salts: int = SALTS) -> DataFrame:

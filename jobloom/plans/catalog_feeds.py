@@ -315,6 +315,15 @@ def stream_stage(spark, sf_dir):
     return sinks.read_batches(spark, f"{root}/staged", "event_id BIGINT, user_id BIGINT, event_type STRING").drop("batch")
 
 
+@query("stream_streak_cut", _streak_sql("source", "0"))
+def stream_streak_cut(spark, sf_dir):
+    """The cut of `duplicate_streak_cut` with the running streak as state: four slices, a new stream for each."""
+    root = scratch_dir(spark, "streak")
+    rows = views.arrivals_view(spark, sf_dir).select("source", "event_id", "is_new")
+    in_slices(spark, rows, root, by_id(rows), lambda new: streams.streak_stream(new, "source", "event_id", "is_new", 5, root, width=1000))
+    return sinks.read_batches(spark, f"{root}/taken", "source STRING, event_id BIGINT, is_new BOOLEAN").drop("batch")
+
+
 @query("stream_cycle_counts", _CYCLE_SQL)
 def stream_cycle_counts(spark, sf_dir):
     root = scratch_dir(spark, "cycles")

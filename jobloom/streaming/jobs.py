@@ -10,13 +10,14 @@ from pyspark.sql.streaming import StreamingQuery
 from jobloom import schemas
 from jobloom.fixed_values import CYCLE_ZONE
 from jobloom.functions import dates
-from jobloom.operators.feeds import next_mark, run_metrics, since
+from jobloom.operators.feeds import next_mark, run_metrics, since, streaks
 from jobloom.operators.graph import build_graph
 from jobloom.operators.jobs import Dictionaries, job_rows
 from jobloom.operators.normalize import graph_safe
 from jobloom.operators.staging import clean_batch, first_copies, not_yet
 from jobloom.sources.readers import FIRST_MARK, MARKS
-from jobloom.sources.sinks import read_batches, write_batch, write_graph
+from jobloom.sources.sinks import committed, read_batches, write_batch, write_graph
+from jobloom.sources.state import read_touched, upsert_state
 
 
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", **options) -> DataFrame:
@@ -158,6 +159,52 @@ def retry_stream(
     return _start(new, f"{root}/_checkpoint_retry", step)
 
 
+def streak_stream(
+    new: DataFrame, feed: str, seq: str, is_new: str, k: int, root: str, page: str | None = None, width: int = 100_000
+) -> StreamingQuery:
+    """Rows of each feed up to the position where k duplicates in a row are complete, across micro-batches.
+
+    The state of a feed is one row in buckets: its last position, the run that stands open there (on its page, where
+    `page` is given) and the stop once there is one. A batch opens the buckets of its feeds. Rows that are not
+    taken go to `left_out` with a `reason`: stopped, late (at or before the last position of an earlier batch) or
+    incomplete (no feed or no position). Positions are whole numbers, unique in their feed.
+    """
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    home, on_page = f"{root}/streaks", [] if page is None else [page]
+    types = {f.name: f.dataType.simpleString() for f in new.schema.fields}
+    empty = ", ".join(f"`{c}` {types[c]}" for c in (feed, *on_page)) + ", _at BIGINT, _run BIGINT, _stop BIGINT"
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        earlier = committed(spark, home, before=batch_id)
+        known = read_touched(spark, home, "feeds", batch, [feed], earlier[-1]) if earlier else spark.createDataFrame([], empty)
+        met = batch.join(known.select(feed, "_at", "_stop"), feed, "left")
+        reason = (
+            F.when(F.col(feed).isNull() | F.col(seq).isNull(), "incomplete")
+            .when(F.col("_stop").isNotNull(), "stopped").when(F.col(seq) <= F.col("_at"), "late")
+        )
+        met = met.withColumn("reason", reason).drop("_at", "_stop")
+        runs = streaks(met.filter("reason IS NULL"), feed, seq, is_new, page, width, known.filter("_stop IS NULL"))
+        write_batch(
+            runs.groupBy(feed).agg(
+                *[F.max_by(c, "_seq").alias(c) for c in on_page],
+                F.max("_seq").cast("bigint").alias("_at"), F.max_by("_streak", "_seq").cast("bigint").alias("_run"),
+                F.min(F.when(F.col("_streak") >= k, F.col("_seq"))).cast("bigint").alias("_stop"),
+            ),
+            f"{root}/feeds_now", batch_id,
+        )
+        now = spark.read.parquet(f"{root}/feeds_now/batch={batch_id}")
+        met = met.join(now.select(feed, "_stop"), feed, "left")
+        met = met.withColumn("reason", F.coalesce("reason", F.when(F.col(seq) > F.col("_stop"), "stopped"))).drop("_stop")
+        write_batch(met.filter("reason IS NULL").drop("reason"), f"{root}/taken", batch_id)
+        write_batch(met.filter("reason IS NOT NULL"), f"{root}/left_out", batch_id)
+        # last: the next batch goes on from here
+        upsert_state(spark, {"feeds": now}, {"feeds": [feed]}, home, batch_id)
+
+    return _start(new, f"{root}/_checkpoint_streak", step)
+
+
 def cycle_count_stream(
     events: DataFrame, ts: str, root: str, zone: str = CYCLE_ZONE, delay: str = "6 hours"
 ) -> StreamingQuery:
