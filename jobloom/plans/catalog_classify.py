@@ -12,6 +12,7 @@ from jobloom.functions.values import array_or_empty
 from jobloom.operators import roles, skills
 from jobloom.operators.nearest import cosine, nearest_roles
 from jobloom.operators.overlap import overlap_join
+from jobloom.operators.title_rules import first_rule
 from jobloom.plans import views
 from jobloom.plans.fixtures import BUCKET_ROWS, BUCKET_TEXTS, ROLE_ROWS, ROLE_SKILLS, sql_in, sql_rows
 from jobloom.plans.registry import query
@@ -220,6 +221,28 @@ def title_priority_role(spark, sf_dir):
     )
 
 
+@query(
+    "title_rules_table",
+    """WITH titles AS (SELECT p_partkey, lower(p_name || ' ' || p_type || ' ' || p_brand) AS title FROM part),
+    rules AS (SELECT substr(title, pos, 4 + (p_partkey + pos) % 9) AS key, -(p_partkey * 64 + pos) AS ord, 'Role ' || (p_partkey % 17) AS role
+      FROM titles, (SELECT unnest(range(1, 51)) AS pos) WHERE pos + 3 <= length(title)),
+    first AS (SELECT key, min(ord) AS ord, min_by(role, ord) AS role FROM rules GROUP BY key),
+    best AS (SELECT t.title, min_by(f.role, f.ord) AS role FROM (SELECT DISTINCT title FROM titles) t JOIN first f ON contains(t.title, f.key) GROUP BY ALL)
+    SELECT p_partkey, role FROM titles LEFT JOIN best USING (title)""",
+)
+def title_rules_table(spark, sf_dir):
+    """Rules cut out of every part's own text at up to 50 places, so their number grows with the table; the first in order wins."""
+    name = F.lower(F.concat_ws(" ", "p_name", "p_type", "p_brand"))
+    titles = views.table(spark, sf_dir, "part").select("p_partkey", name.alias("title"))
+    places = titles.withColumn("pos", F.explode(F.sequence(F.lit(1), F.lit(50)))).filter(F.col("pos") + 3 <= F.length("title"))
+    width = (F.lit(4) + (F.col("p_partkey") + F.col("pos")) % 9).cast("int")
+    rules = places.select(
+        F.substring(F.col("title"), F.col("pos"), width).alias("key"), (-(F.col("p_partkey") * 64 + F.col("pos"))).alias("ord"),
+        F.concat(F.lit("Role "), (F.col("p_partkey") % 17).cast("string")).alias("role"),
+    )
+    return first_rule(titles, "title", rules, "key", "ord", "role").select("p_partkey", "role")
+
+
 # Shared steps of the cascade, each on its own so that it can be read against the rules.
 _CASCADE = f"""{views.V_TITLES}, {views.V_BASKETS}, {views.V_TAXONOMY}, {views.V_ROLE_SKILL},
 tech AS (SELECT job_key, skill FROM v_baskets JOIN v_taxonomy USING (skill) WHERE bucket = 'technical'),
