@@ -195,6 +195,32 @@ def test_nearest_against_brute_force(spark, block_bytes):
     assert got == want
 
 
+def test_roles_that_fit_one_block_move_no_rows(spark, monkeypatch):
+    """Few roles go to every task: no cells, no shuffle of rows; bad vectors have no role, equal roles are taken in order."""
+    monkeypatch.setattr(nearest, "index_roles", lambda *_: pytest.fail("rows are moved to cells"))
+    role_vec = spark.createDataFrame(
+        [("b", 2, [1.0, 0.0]), ("a", 1, [2.0, 0.0]), ("up", 3, [0.0, 1.0]), ("bad", 0, [0.0, 0.0]), ("short", 0, [1.0])],
+        "role string, ord bigint, vector array<double>",
+    )
+    rows = [(1, [3.0, 0.1]), (1, [0.1, 2.0]), (2, None), (3, [None, 1.0]), (4, [0.0, 0.0]), (5, [float("nan"), 1.0]), (6, [1.0]), (None, [1.0, 0.0])]
+    out = nearest_roles(spark.createDataFrame(rows, "k bigint, v array<float>"), "k", "v", role_vec, k=2)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    found = sorted((r["k"] or 0, r["place"], r["role"]) for r in out.collect())
+    assert found == [(0, 1, "a"), (0, 2, "b"), (1, 1, "a"), (1, 1, "up"), (1, 2, "a"), (1, 2, "b")]
+
+
+def test_repeated_keys_of_vectors_count_once(spark, monkeypatch):
+    """The least vector of a key counts, whether its roles fit one block or not; only keys and names are shuffled for the others."""
+    jobs = spark.createDataFrame([(k, "Store Keeper", []) for k in (1, 1, 2, 3, None)], "k bigint, title string, skills array<string>")
+    vectors = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (1, None), (2, [1.0, 0.0]), (3, None), (None, [1.0, 0.0])], "key bigint, vector array<double>")
+    role_vec = spark.createDataFrame([("x", 1, [1.0, 0.0]), ("y", 2, [0.0, 1.0])], "role string, ord bigint, vector array<double>")
+    want = [(0, "Others"), (1, "y"), (1, "y"), (2, "x"), (3, "Others")]
+    for block in (roles.block_roles, lambda _: None):
+        monkeypatch.setattr(roles, "block_roles", block)
+        out = roles.find_role(jobs, "k", "title", "skills", views.taxonomy(spark), views.role_skill(spark), role_vec, vectors)
+        assert sorted((r["k"] or 0, r["role"]) for r in out.collect()) == want
+
+
 def test_no_role_vectors(spark, tables):
     jobs, vectors, role_vec = tables
     out = roles.find_role(
