@@ -7,6 +7,7 @@ from collections import Counter
 
 import pytest
 
+from jobloom.operators import overlap
 from jobloom.operators.overlap import overlap_candidates, overlap_join
 
 
@@ -38,6 +39,28 @@ def test_whole_result_on_random_bags(spark, least):
     ])
 
 
+@pytest.mark.parametrize("item_entries, list_items", [(6, 4096), (512, 3), (0, 0), (512, 4096)])
+def test_lookup_and_prefixes_agree(spark, monkeypatch, item_entries, list_items):
+    """Lists with common items, long ones and all others: whichever way each is counted, the pairs are all there, with their whole sums."""
+    monkeypatch.setattr(overlap, "ITEM_ENTRIES", item_entries)
+    monkeypatch.setattr(overlap, "LIST_ITEMS", list_items)
+    rng = random.Random(7)
+    rows = [(i, [rng.randint(0, 40) for _ in range(rng.randint(0, 6))]) for i in range(150)]
+    groups = [(rng.randint(0, 25), min(rng.randint(0, 60), rng.randint(0, 60))) for _ in range(400)] + [(3, 5)] * 4
+    mine = overlap_join(
+        spark.createDataFrame(rows, "k long, items array<long>"), "k", "items", spark.createDataFrame(groups, "g long, w long"), "g", "w", 2
+    )
+    assert sorted(map(tuple, mine.collect())) == brute(rows, groups, 2)
+
+
+def test_rare_items_move_no_pairs(spark, monkeypatch):
+    """Lists whose items few groups hold are counted where they are: no row for each pair is shuffled."""
+    monkeypatch.setattr(overlap, "_pairs", lambda *_: pytest.fail("pairs are shuffled"))
+    left = spark.createDataFrame([(1, ["a", "b"]), (2, ["b"])], "k int, items array<string>")
+    right = spark.createDataFrame([("g", "a"), ("g", "b"), ("h", "b"), ("h", "b")], "g string, w string")
+    assert sorted(map(tuple, overlap_join(left, "k", "items", right, "g", "w").collect())) == [(1, "g", 2), (1, "h", 2), (2, "h", 2)]
+
+
 def test_hot_items_make_no_candidates_by_themselves(spark):
     """Every row and every group holds one hot item; only the few that share a rare one as well are looked at."""
     rows = [(i, ["hot", f"r{i}"]) for i in range(3000)]
