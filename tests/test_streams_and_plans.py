@@ -10,7 +10,8 @@ from jobloom.operators.normalize import normalize
 from jobloom.operators.ranking import global_row_number
 from jobloom.operators.staging import stage_raw
 from jobloom.plans import cycle, views
-from jobloom.plans.catalog_feeds import dictionaries
+from jobloom.plans.catalog_classify import title_rules_table
+from jobloom.plans.catalog_feeds import dictionaries, landing, stream_graph
 from jobloom.plans.catalog_records import payloads
 from jobloom.plans.cycle import run_cycle
 from jobloom.sources import sinks
@@ -108,6 +109,19 @@ def test_half_written_graph_is_not_read(spark, tmp_path):
     assert sinks.read_graph(spark, root, ["node_tool"])["node_tool"].count() == 3
 
 
+def test_landings_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    assert landing(spark.range(6400), f"{tmp_path}/in") // 2 >= 32
+    assert len(spark.read.parquet(f"{tmp_path}/in").inputFiles()) >= 64
+    monkeypatch.setattr("jobloom.plans.catalog_feeds.scratch_dir", lambda *_: f"{tmp_path}/graph")
+    stream_graph(spark, SF)
+    assert len(spark.read.parquet(f"{tmp_path}/graph/landing").inputFiles()) > 32
+
+
+def test_rows_are_dealt_out_before_they_become_many(spark):
+    text = plan(title_rules_table(spark, SF))
+    assert "hashpartitioning(p_partkey" in text and "REPARTITION_BY_NUM" in text
+
+
 def test_ranges_follow_the_shuffle_partitions(spark):
     df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("n"))
     ranked = global_row_number(df, [F.col("n")], "rank")
