@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from jobloom import schemas
 from jobloom.functions.values import packed, unpacked
-from jobloom.operators import analytics, deltas, graph, staging
-from jobloom.plans import cycle
+from jobloom.operators import analytics, deltas, graph, roles, staging
+from jobloom.plans import cycle, views
 from jobloom.sources import readers, sinks, state
 
 
@@ -125,3 +125,13 @@ def test_known_ids_travel_packed(spark):
     jobs = spark.createDataFrame([(digest(f"naukri{i}"),) for i in (1, 1, 2)] + [("plain",), (None,)], "_id STRING")
     raw = spark.createDataFrame([("naukri", "1", "queued"), ("naukri", "2", "failed"), ("naukri", None, "queued")], "source STRING, external_id STRING, status STRING")
     assert [r["_id"] for r in staging.known_ids(raw, jobs).collect()] == [digest("naukri1")]
+
+
+def test_lists_are_looked_up_once(spark, monkeypatch):
+    """What the distinct lists hold is read twice, and found only once."""
+    seen, candidates = [], roles.candidate_roles
+    monkeypatch.setattr(roles, "candidate_roles", lambda lists, *rest: seen.append(plan(lists)) or candidates(lists, *rest))
+    rows = spark.createDataFrame([(1, ["React", "css"]), (2, ["zzz"]), (3, None)], "k INT, skills ARRAY<STRING>")
+    found = roles.with_profiles(rows, "skills", views.taxonomy(spark), views.role_skill(spark)).collect()
+    assert len(seen) == 1 and "Exchange" not in seen[0] and "Scan parquet" in seen[0]
+    assert {r["k"]: [c["role"] for c in r["_candidates"] or []] for r in found} == {1: ["Frontend Developer"], 2: [], 3: []}
