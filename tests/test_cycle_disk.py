@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from jobloom import schemas
 from jobloom.functions.values import packed, unpacked
 from jobloom.operators import analytics, deltas, graph, roles, staging
-from jobloom.plans import cycle, views
+from jobloom.plans import counts, cycle, views
 from jobloom.sources import readers, sinks, state
 
 
@@ -135,3 +135,18 @@ def test_lists_are_looked_up_once(spark, monkeypatch):
     found = roles.with_profiles(rows, "skills", views.taxonomy(spark), views.role_skill(spark)).collect()
     assert len(seen) == 1 and "Exchange" not in seen[0] and "Scan parquet" in seen[0]
     assert {r["k"]: [c["role"] for c in r["_candidates"] or []] for r in found} == {1: ["Frontend Developer"], 2: [], 3: []}
+
+
+def test_counts_of_jobs_with_numbers_for_keys(spark, tmp_path):
+    root = str(tmp_path)
+    for batch, skill in enumerate("st"):
+        nodes = spark.range(3).select(F.col("id").alias("job_key"), F.lit("2025-01-01").cast("timestamp_ntz").alias("expires_at"))
+        tables = {
+            "node_job": nodes,
+            "edge_maps_to": nodes.select("job_key", F.lit("r").alias("role_title")),
+            "edge_requires": nodes.select("job_key", F.lit(skill).alias("skill")),
+        }
+        sinks.write_graph(tables, f"{root}/graph", batch)
+        counts.update_counts(spark, root, batch, "2024-01-01", buckets=4)
+    assert sorted(map(tuple, counts.demand_counts(spark, root).collect())) == [("s", 3), ("t", 3)]
+    assert sorted(map(tuple, counts.link_counts(spark, root).collect())) == [("r", "s", 3), ("r", "t", 3)]
